@@ -18,13 +18,12 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import index_month
 from ..functions.predicates import not_ended, started_by
-from .spine import MonthBounds
 from .windows import month_ranges
 
 PAIR_COLUMNS = ("subscription_id", "customer_id", "monthly_amount_cents", "status", "plan_interval")
 
 
-def active_sub_months(windows: DataFrame, bounds: MonthBounds,
+def active_sub_months(windows: DataFrame, bounds: DataFrame,
                       columns=PAIR_COLUMNS) -> DataFrame:
     """One row per (spine month, window) in which the window is active."""
     ranges = month_ranges(windows, bounds)
@@ -39,7 +38,7 @@ def _aggregate_pairs(pairs: DataFrame) -> DataFrame:
         F.sum("monthly_amount_cents").alias("mrr_cents"))
 
 
-def monthly_by_explode(windows: DataFrame, bounds: MonthBounds) -> DataFrame:
+def monthly_by_explode(windows: DataFrame, bounds: DataFrame) -> DataFrame:
     """Form B: expand, then exact distinct counts per month."""
     cols = ("subscription_id", "customer_id", "monthly_amount_cents")
     return _aggregate_pairs(active_sub_months(windows, bounds, cols))

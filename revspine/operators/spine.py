@@ -2,59 +2,60 @@
 
 The spine runs from the month of the earliest ``created_at`` over *all*
 subscriptions (before any status filter, trap T5) to the month of ``as_of``
-(``CURRENT_DATE()`` when not given, T6).  The lower bound is an uncorrelated
-scalar subquery: Catalyst evaluates it once per query and reuses it wherever
-the same expression appears, and every consumer sees a literal in codegen.
-
-The spine has one row per month, so it is bounded by the calendar span, not by
-the data; it is the one input that is always safe to broadcast.
+(``CURRENT_DATE()`` when not given, T6).
+
+The bounds are a one-row DataFrame (a global aggregate: partial minimum per
+task, one row shuffled per task).  Consumers attach it with a broadcast cross
+join - its size is exactly one row, so the broadcast is bounded by
+construction - and Spark reuses the single broadcast wherever the same bounds
+plan appears in a query.  The spine itself has one row per month: it is bounded
+by the calendar span, not by the data.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_date, index_month, month_index, utc_date
 
+START, END = "spine_start_idx", "spine_end_idx"
+
 
 def min_created(subs: DataFrame, col: str = "created_at") -> DataFrame:
-    """A5: one-row global ``MIN(DATE(created_at))`` (partial aggregation, no shuffle of rows)."""
+    """A5: one-row global ``MIN(DATE(created_at))``."""
     return subs.agg(F.min(utc_date(col)).alias("first_created"))
 
 
 def first_created(subs: DataFrame, col: str = "created_at") -> Column:
-    """The same minimum as a scalar-subquery column."""
+    """The same minimum as an uncorrelated scalar-subquery column."""
     return min_created(subs, col).scalar()
 
 
-@dataclass(frozen=True)
-class MonthBounds:
-    """First and last spine month as month indices (see ``functions.dates``)."""
+def month_bounds(subs: DataFrame, as_of=None) -> DataFrame:
+    """One row: first and last spine month as month indices (``functions.dates``)."""
+    return subs.agg(month_index(F.min(utc_date("created_at"))).alias(START),
+                    month_index(as_of_date(as_of)).alias(END))
+
 
-    start_idx: Column
-    end_idx: Column
+def with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Attach the one-row bounds to every row (broadcast; one row by construction)."""
+    return df.crossJoin(F.broadcast(bounds))
 
-    @classmethod
-    def of(cls, subs: DataFrame, as_of=None) -> "MonthBounds":
-        return cls(month_index(first_created(subs)), month_index(as_of_date(as_of)))
 
-    def sequence(self) -> Column:
-        """All spine month indices; empty when the table is empty (T7) or the
-        first subscription starts after ``as_of`` (a descending ``sequence``
-        would otherwise count backwards)."""
-        return F.when(self.start_idx <= self.end_idx, F.sequence(self.start_idx, self.end_idx))
+def _sequence(start: Column, end: Column) -> Column:
+    """All month indices from start to end; empty when the table is empty
+    or the first subscription starts after ``as_of`` (a descending ``sequence``
+    would otherwise count backwards)."""
+    return F.when(start <= end, F.sequence(start, end))
 
 
-def spine_indices(subs: DataFrame, as_of=None) -> DataFrame:
-    """The spine as a one-column DataFrame ``idx`` (month indices)."""
-    b = MonthBounds.of(subs, as_of)
-    return subs.sparkSession.range(1).select(F.explode(b.sequence()).alias("idx"))
+def spine_indices(bounds: DataFrame) -> DataFrame:
+    """The spine as a one-column DataFrame ``idx`` of month indices."""
+    return bounds.select(F.explode(_sequence(F.col(START), F.col(END))).alias("idx"))
 
 
 def month_spine(subs: DataFrame, as_of=None) -> DataFrame:
     """``GENERATE_DATE_ARRAY(first month, as_of month, 1 MONTH)`` unnested,
     one DATE row ``month_start`` per month."""
-    return spine_indices(subs, as_of).select(index_month("idx").alias("month_start"))
+    return spine_indices(month_bounds(subs, as_of)).select(index_month("idx").alias("month_start"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_index, utc_date
 from ..functions.money import end_date, monthly_cents
 from ..functions.predicates import BASE_STATUSES, FULL_STATUSES, filter_status
-from .spine import MonthBounds
+from .spine import END, START, with_bounds
 
 FULL_COLUMNS = ("subscription_id", "customer_id", "plan_amount", "plan_interval",
                 "plan_interval_count", "quantity", "currency", "status")
@@ -39,17 +39,19 @@ def subscription_windows(subs: DataFrame, mode: str = "full") -> DataFrame:
     )
 
 
-def month_ranges(windows: DataFrame, bounds: MonthBounds) -> DataFrame:
+def month_ranges(windows: DataFrame, bounds: DataFrame) -> DataFrame:
     """Add ``first_idx``/``last_idx``: the spine months in which a window counts.
 
     A month ``m`` counts when ``start <= m + 1 month`` (T1: a start on the 1st
     also counts in the month before) and ``end IS NULL OR end >= m`` (T2), so
-    the range is ``[month(start - 1 day), month(end)]`` clamped to the spine.
-    Windows that end before they start, or lie outside the spine, drop out (T3).
+    the range is ``[month(start - 1 day), month(end)]`` clamped to the spine
+    (``bounds`` from ``spine.month_bounds``).  Windows that end before they
+    start, or lie outside the spine, drop out (T3).
     """
-    first = F.greatest(month_index(F.date_sub("start_date", 1)), bounds.start_idx)
-    last = F.least(F.coalesce(month_index("end_date"), bounds.end_idx), bounds.end_idx)
-    return (windows.filter(F.col("start_date").isNotNull())
-                   .withColumn("first_idx", first)
-                   .withColumn("last_idx", last)
-                   .filter(F.col("first_idx") <= F.col("last_idx")))
+    first = F.greatest(month_index(F.date_sub("start_date", 1)), F.col(START))
+    last = F.least(F.coalesce(month_index("end_date"), F.col(END)), F.col(END))
+    return (with_bounds(windows.filter(F.col("start_date").isNotNull()), bounds)
+            .withColumn("first_idx", first)
+            .withColumn("last_idx", last)
+            .drop(START, END)
+            .filter(F.col("first_idx") <= F.col("last_idx")))

@@ -27,7 +27,7 @@ from ..functions.predicates import drop_trialing
 from ..operators.activity import monthly_by_cross, monthly_by_explode
 from ..operators.interval_agg import monthly_deltas, running_totals
 from ..operators.series import with_change, with_change_pct, with_prev
-from ..operators.spine import MonthBounds, month_spine, spine_indices
+from ..operators.spine import month_bounds, month_spine, spine_indices
 from ..operators.windows import month_ranges, subscription_windows
 
 METHODS = ("delta", "explode", "cross")
@@ -48,10 +48,10 @@ def monthly_totals(subs: DataFrame, mode: str = "full", as_of=None,
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
     win = revenue_windows(subs, mode)
-    bounds = MonthBounds.of(subs, as_of)
+    bounds = month_bounds(subs, as_of)
     if method == "delta":
         ranges = month_ranges(win, bounds)
-        totals = running_totals(spine_indices(subs, as_of), monthly_deltas(ranges))
+        totals = running_totals(spine_indices(bounds), monthly_deltas(ranges))
         return totals.select(index_month("idx").alias("month_start"), "active_subscriptions",
                              "active_customers", "mrr_cents")
     if method == "explode":

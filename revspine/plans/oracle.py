@@ -136,5 +136,208 @@ def active_sub_months_sql(as_of: str = AS_OF) -> str:
               "\nFROM mrr_by_sub_month")
 
 
-__all__ = ["monthly_mrr_sql", "month_spine_sql", "subscription_windows_sql", "active_sub_months_sql",
-           "mrr_ctes", "SQL_INVOICE_LINES"]
+
+
+# --------------------------------------------------------------------------
+# Report queries over the API series.
+# --------------------------------------------------------------------------
+
+def _fmt_currency(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL THEN NULL ELSE (CASE WHEN {x} < 0 THEN '-' ELSE '' END) || '$' || "
+            f"format('{{:,}}', CAST(round(abs({x})) AS BIGINT)) END")
+
+
+def _fmt_pct(x: str) -> str:
+    t = f"CAST(abs(round({x} * 10)) AS BIGINT)"
+    return (f"CASE WHEN {x} IS NULL THEN '—' ELSE (CASE WHEN {x} > 0 THEN '+' WHEN {x} < 0 THEN '-' ELSE '' END) || "
+            f"CAST({t} // 10 AS VARCHAR) || '.' || CAST({t} % 10 AS VARCHAR) || '%' END")
+
+
+def _trend(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'none' WHEN {x} >= 0 THEN 'up' ELSE 'down' END"
+
+
+def _fmt_delta(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL THEN NULL ELSE (CASE WHEN {x} >= 0 THEN '+' ELSE '' END) || "
+            f"CAST({x} AS VARCHAR) || ' from last month' END")
+
+
+def series_ctes(as_of: str = AS_OF) -> str:
+    return mrr_ctes("api", as_of) + """,
+series AS (
+    SELECT strftime(month, '%Y-%m') AS month, CAST(mrr_amount AS DOUBLE) AS mrr_amount,
+           active_subscriptions, active_customers
+    FROM monthly_mrr
+),
+ordered AS (
+    SELECT *, LAG(mrr_amount) OVER (ORDER BY month) AS prev_mrr,
+           LAG(active_subscriptions) OVER (ORDER BY month) AS prev_subs,
+           row_number() OVER (ORDER BY month DESC) AS rn_desc,
+           row_number() OVER (ORDER BY month) AS rn_asc
+    FROM series
+),
+kpi AS (
+    SELECT l.mrr_amount AS current_mrr,
+           CASE WHEN l.prev_mrr <> 0 THEN (l.mrr_amount - l.prev_mrr) / l.prev_mrr * 100 END AS mom_change_pct,
+           l.active_subscriptions,
+           l.active_subscriptions - l.prev_subs AS subscription_delta,
+           l.active_customers,
+           CASE WHEN f.mrr_amount > 0 THEN (l.mrr_amount - f.mrr_amount) / f.mrr_amount * 100 END AS total_growth_pct,
+           f.mrr_amount AS first_mrr
+    FROM (SELECT 1 AS one) d
+    LEFT JOIN (SELECT * FROM ordered WHERE rn_desc = 1) l ON TRUE
+    LEFT JOIN (SELECT * FROM ordered WHERE rn_asc = 1) f ON TRUE
+),
+span AS (
+    SELECT count(*) AS months_loaded, min(month) AS first_month, max(month) AS last_month,
+           CASE WHEN count(*) > 0 THEN min(month) || ' — ' || max(month) ELSE '' END AS range_text
+    FROM series
+)"""
+
+
+def kpi_cards_sql() -> str:
+    return "WITH " + series_ctes() + "\nSELECT * FROM kpi"
+
+
+def series_span_sql() -> str:
+    return "WITH " + series_ctes() + "\nSELECT * FROM span"
+
+
+def monthly_breakdown_sql() -> str:
+    pct = "CASE WHEN prev_mrr <> 0 THEN (mrr_amount - prev_mrr) / prev_mrr * 100 END"
+    return ("WITH " + series_ctes() + f"""
+SELECT month, mrr_amount, active_subscriptions, active_customers,
+       {pct} AS mom_change_pct,
+       {_fmt_currency('mrr_amount')} AS mrr_text,
+       {_fmt_pct(pct)} AS change_text,
+       {_trend(pct)} AS trend
+FROM ordered ORDER BY month""")
+
+
+def mrr_trend_sql() -> str:
+    return ("WITH " + series_ctes() + f"""
+SELECT month, mrr_amount, active_subscriptions, active_customers,
+       '$' || CAST(CAST(round(mrr_amount / 1000) AS BIGINT) AS VARCHAR) || 'k' AS axis_label,
+       {_fmt_currency('mrr_amount')} AS tooltip_mrr,
+       CAST(active_subscriptions AS VARCHAR) || ' subs · ' || CAST(active_customers AS VARCHAR) || ' customers'
+           AS tooltip_detail
+FROM series ORDER BY month""")
+
+
+def report_text_sql() -> str:
+    return ("WITH " + series_ctes() + f"""
+SELECT COALESCE({_fmt_currency('current_mrr')}, '—') AS current_mrr_text,
+       CASE WHEN mom_change_pct IS NOT NULL THEN {_fmt_pct('mom_change_pct')} || ' MoM' END AS mom_text,
+       {_trend('mom_change_pct')} AS mom_trend,
+       COALESCE(CAST(active_subscriptions AS VARCHAR), '—') AS subscriptions_text,
+       {_fmt_delta('subscription_delta')} AS subscription_delta_text,
+       {_trend('subscription_delta')} AS subscription_trend,
+       COALESCE(CAST(active_customers AS VARCHAR), '—') AS customers_text,
+       {_fmt_pct('total_growth_pct')} AS total_growth_text,
+       {_trend('total_growth_pct')} AS total_growth_trend,
+       CASE WHEN first_mrr IS NOT NULL THEN 'from ' || {_fmt_currency('first_mrr')} END AS first_mrr_text,
+       CASE WHEN months_loaded > 0 THEN CAST(months_loaded AS VARCHAR) || ' months loaded' ELSE '' END
+           AS months_loaded_text,
+       range_text
+FROM kpi CROSS JOIN span""")
+
+
+def mrr_payload_sql() -> str:
+    return ("WITH " + series_ctes() + """
+SELECT to_json({'data': COALESCE(list({'month': month, 'active_subscriptions': active_subscriptions,
+                                       'active_customers': active_customers,
+                                       'mrr_amount': CAST(mrr_amount AS DECIMAL(18, 2))} ORDER BY month), []),
+                'status': 'ok'}) AS payload
+FROM series""")
+
+
+# --------------------------------------------------------------------------
+# Extraction queries (Q5 without the writes).  The raw records are built from
+# the fixtures by fixed rules (sources.fixtures); these state what flattening
+# them must give.
+# --------------------------------------------------------------------------
+
+_LIST_ORDER = ("created_at DESC NULLS LAST, invoice_id ASC NULLS LAST, amount_due DESC NULLS LAST, "
+               "amount_paid DESC NULLS LAST, status ASC NULLS LAST, subscription_id ASC NULLS LAST, "
+               "period_start ASC NULLS LAST, period_end ASC NULLS LAST, paid_at ASC NULLS LAST, "
+               "currency ASC NULLS LAST, hosted_invoice_url ASC NULLS LAST")
+
+_INVOICE_COLS = ("invoice_id, customer_id, subscription_id, status, amount_due, amount_paid, currency, "
+                 "period_start, period_end, created_at, paid_at, hosted_invoice_url, extracted_at")
+
+_FLAT_SUB = f"""
+flat_subscriptions AS (
+    SELECT subscription_id, customer_id, customer_email, customer_name, status,
+           CASE WHEN plan_amount IS NULL THEN NULL ELSE price_id END AS price_id,
+           CASE WHEN plan_amount IS NULL THEN NULL ELSE product_id END AS product_id,
+           plan_amount,
+           CASE WHEN k % 10 = 9 THEN NULL ELSE plan_interval END AS plan_interval,
+           CAST(CASE WHEN k % 10 = 9 THEN NULL ELSE COALESCE(plan_interval_count, 1) END AS BIGINT)
+               AS plan_interval_count,
+           currency,
+           CAST(CASE WHEN plan_amount IS NULL THEN 1 ELSE quantity END AS BIGINT) AS quantity,
+           created_at, current_period_start, current_period_end, canceled_at, cancel_at_period_end,
+           ended_at, trial_start, trial_end, extracted_at
+    FROM subscriptions
+)"""
+
+
+def _capped(n: int) -> str:
+    return f"""
+capped AS (
+    SELECT * FROM (
+        SELECT {_INVOICE_COLS},
+               row_number() OVER (PARTITION BY customer_id ORDER BY {_LIST_ORDER}) AS list_rank
+        FROM invoice_lines)
+    WHERE list_rank <= {n}
+),
+deduped AS (
+    SELECT {_INVOICE_COLS} FROM (
+        SELECT *, row_number() OVER (PARTITION BY invoice_id ORDER BY list_rank, {_LIST_ORDER}) AS seen
+        FROM capped)
+    WHERE seen = 1
+)"""
+
+
+def flatten_subscriptions_sql() -> str:
+    return ("WITH " + SQL_SUBSCRIPTIONS + "," + _FLAT_SUB + """
+SELECT * EXCLUDE (customer_id, customer_email, customer_name) FROM flat_subscriptions""")
+
+
+def extract_subscriptions_sql() -> str:
+    return "WITH " + SQL_SUBSCRIPTIONS + "," + _FLAT_SUB + "\nSELECT * FROM flat_subscriptions"
+
+
+def extract_errors_sql() -> str:
+    return """
+SELECT 2 * o_orderkey + 1 AS position, 'cus_' || CAST(o_custkey AS VARCHAR) AS customer_id,
+       'sub_missing_' || CAST(o_orderkey AS VARCHAR) AS subscription_id, 'subscription not found' AS reason
+FROM orders WHERE o_orderkey % 1000 = 0
+UNION ALL
+SELECT 2 * o_orderkey + 1, 'cus_missing_' || CAST(o_orderkey AS VARCHAR),
+       'sub_' || CAST(o_orderkey AS VARCHAR), 'customer not found'
+FROM orders WHERE o_orderkey % 1000 = 500"""
+
+
+def flatten_invoices_sql() -> str:
+    return "WITH " + SQL_INVOICE_LINES + f"\nSELECT {_INVOICE_COLS} FROM invoice_lines"
+
+
+def cap_per_customer_sql(n: int) -> str:
+    return "WITH " + SQL_INVOICE_LINES + "," + _capped(n) + "\nSELECT * FROM capped"
+
+
+def dedup_invoices_sql(n: int = 100) -> str:
+    return "WITH " + SQL_INVOICE_LINES + "," + _capped(n) + "\nSELECT * FROM deduped"
+
+
+def invoices_per_customer_sql(n: int = 100) -> str:
+    return ("WITH " + SQL_INVOICE_LINES + "," + _capped(n)
+            + "\nSELECT customer_id, count(*) AS invoices FROM capped GROUP BY customer_id")
+
+
+def load_summary_sql(n: int = 100) -> str:
+    return ("WITH " + SQL_INVOICE_LINES + "," + _capped(n) + """
+SELECT 'subscriptions' AS table_name, count(*) AS rows_fetched, count(*) AS rows_loaded FROM orders
+UNION ALL
+SELECT 'invoices', (SELECT count(*) FROM capped), (SELECT count(*) FROM deduped)""")

@@ -50,6 +50,11 @@ def subscriptions(spark: SparkSession, sf_dir: str, with_customer: bool = True)
     ``with_customer=False`` leaves the two customer text columns NULL and skips
     the customer join; the MRR queries never read them.
     """
+    return _subscription_rows(spark, sf_dir, with_customer).select(*SUBSCRIPTION_COLUMNS)
+
+
+def _subscription_rows(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataFrame:
+    """``subscriptions`` plus the order key ``k`` and ``o_custkey``."""
     o = _read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     m10 = k % 10
@@ -102,12 +107,24 @@ def subscriptions(spark: SparkSession, sf_dir: str, with_customer: bool = True)
         name = F.lit(None).cast("string")
     email = F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com"))
     return out.select(
+        "k", "o_custkey",
         "subscription_id", "customer_id", email.alias("customer_email"), name.alias("customer_name"),
         "status", "price_id", "product_id", "plan_amount", "plan_interval", "plan_interval_count",
         "currency", "quantity", "created_at", "current_period_start", "current_period_end",
         "canceled_at", "cancel_at_period_end", "ended_at", "trial_start", "trial_end", "extracted_at")
 
 
+SUBSCRIPTION_COLUMNS = (
+    "subscription_id", "customer_id", "customer_email", "customer_name", "status", "price_id",
+    "product_id", "plan_amount", "plan_interval", "plan_interval_count", "currency", "quantity",
+    "created_at", "current_period_start", "current_period_end", "canceled_at",
+    "cancel_at_period_end", "ended_at", "trial_start", "trial_end", "extracted_at")
+INVOICE_COLUMNS = (
+    "invoice_id", "customer_id", "subscription_id", "status", "amount_due", "amount_paid",
+    "currency", "period_start", "period_end", "created_at", "paid_at", "hosted_invoice_url",
+    "extracted_at")
+
+
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices (13 columns) from ``lineitem`` joined to ``orders``, before dedup,
     plus the line's ``l_partkey``/``l_suppkey`` for the "first seen" order."""
@@ -139,6 +156,102 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey", "l_suppkey")
 
 
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest entries, one per order at position ``2k``, plus entries that
+    must fail: ``sub_missing_k`` (k % 1000 = 0) and ``cus_missing_k``
+    (k % 1000 = 500), both at position ``2k + 1``."""
+    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    k = F.col("o_orderkey")
+    cust = _sid("cus_", F.col("o_custkey"))
+    extra_sub = F.when(k % MISSING_SUB_EVERY == 0, _sid("sub_missing_", k)).otherwise(_sid("sub_", k))
+    extra_cust = F.when(k % MISSING_SUB_EVERY == MISSING_CUSTOMER_AT, _sid("cus_missing_", k)).otherwise(cust)
+    entries = F.array(
+        F.struct((k * 2).alias("position"), cust.alias("customer_id"), _sid("sub_", k).alias("subscription_id")),
+        F.struct((k * 2 + 1).alias("position"), extra_cust.alias("customer_id"),
+                 extra_sub.alias("subscription_id")))
+    keep = F.col("position") % 2 == 0
+    keep = keep | (F.col("k") % MISSING_SUB_EVERY).isin(0, MISSING_CUSTOMER_AT)
+    rows = o.select(k.alias("k"), F.col("o_custkey"), F.inline(entries)).filter(keep)
+    return rows.select(
+        "position", "customer_id", "subscription_id",
+        _sid("plan_", F.col("k") % 10).alias("plan"),
+        F.try_element_at(F.array(*[F.lit(a).cast("bigint") for a in PLAN_AMOUNTS]),
+                         (F.col("k") % 10 + 1).cast("int")).alias("amount"),
+        F.lit("month").alias("interval"),
+        _sid("clock_", F.col("o_custkey") % CLOCKS).alias("clock_id"),
+        F.lit("active").alias("status"))
+
+
+# Raw time fields are written as epoch seconds for even keys and as ISO-8601
+# text for odd keys, so both forms of P2 are exercised at scale.
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
+SUB_TIME_KEYS = ("created", "current_period_start", "current_period_end", "canceled_at", "ended_at",
+                 "trial_start", "trial_end")
+INV_TIME_KEYS = ("period_start", "period_end", "created", "paid_at")
+
+
+def _time_text(ts: F.Column, epoch: F.Column) -> F.Column:
+    return F.when(epoch, F.unix_seconds(ts).cast("string")).otherwise(F.date_format(ts, ISO_FORMAT))
+
+
+def _unquote_epochs(json: F.Column, keys) -> F.Column:
+    """Write epoch times as JSON numbers, as the billing API does."""
+    return F.regexp_replace(json, '"(' + "|".join(keys) + ')":"(-?[0-9]+)"', '"$1":$2')
+
+
+def raw_subscription_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw subscription objects as JSON text (column ``value``).
+
+    ``items.data`` is empty when the plan amount is NULL; ``recurring`` is
+    absent for k % 10 = 9; ``quantity`` and ``interval_count`` are absent when
+    they are 1 / NULL."""
+    r = _subscription_rows(spark, sf_dir, with_customer=False)
+    k = F.col("k")
+    epoch = k % 2 == 0
+    recurring = F.when(k % 10 != 9, F.struct(F.col("plan_interval").alias("interval"),
+                                             F.col("plan_interval_count").alias("interval_count")))
+    item = F.struct(F.when(F.col("quantity") != 1, F.col("quantity")).alias("quantity"),
+                    F.struct(F.col("price_id").alias("id"), F.col("product_id").alias("product"),
+                             F.col("plan_amount").alias("unit_amount"), recurring.alias("recurring")).alias("price"))
+    items = F.struct(F.filter(F.array(item), lambda _: F.col("plan_amount").isNotNull()).alias("data"))
+    obj = F.struct(
+        F.col("subscription_id").alias("id"), "status", "currency", items.alias("items"),
+        _time_text(F.col("created_at"), epoch).alias("created"),
+        _time_text(F.col("current_period_start"), epoch).alias("current_period_start"),
+        _time_text(F.col("current_period_end"), epoch).alias("current_period_end"),
+        _time_text(F.col("canceled_at"), epoch).alias("canceled_at"),
+        "cancel_at_period_end",
+        _time_text(F.col("ended_at"), epoch).alias("ended_at"),
+        _time_text(F.col("trial_start"), epoch).alias("trial_start"),
+        _time_text(F.col("trial_end"), epoch).alias("trial_end"))
+    return r.select(_unquote_epochs(F.to_json(obj), SUB_TIME_KEYS).alias("value"))
+
+
+def raw_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw customer objects as JSON text (column ``value``)."""
+    c = _read(spark, sf_dir, "customer")
+    name = F.col("c_name")
+    obj = F.struct(_sid("cus_", F.col("c_custkey")).alias("id"),
+                   F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
+                   name.alias("name"))
+    return c.select(F.to_json(obj).alias("value"))
+
+
+def raw_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw invoice objects as JSON text (column ``value``), duplicates included."""
+    li = invoice_lines(spark, sf_dir)
+    epoch = F.col("l_partkey") % 2 == 0
+    obj = F.struct(
+        F.col("invoice_id").alias("id"), F.col("customer_id").alias("customer"),
+        F.col("subscription_id").alias("subscription"), "status", "amount_due", "amount_paid", "currency",
+        _time_text(F.col("period_start"), epoch).alias("period_start"),
+        _time_text(F.col("period_end"), epoch).alias("period_end"),
+        _time_text(F.col("created_at"), epoch).alias("created"),
+        F.struct(_time_text(F.col("paid_at"), epoch).alias("paid_at")).alias("status_transitions"),
+        "hosted_invoice_url")
+    return li.select(_unquote_epochs(F.to_json(obj), INV_TIME_KEYS).alias("value"))
+
+
 def golden_series(spark: SparkSession) -> DataFrame:
     """The six-row demo series whose KPIs the preview page shows (tests only)."""
     return spark.createDataFrame(
