@@ -2,20 +2,31 @@
 
 Expanding every window into its months (one row per window per month) costs
 ``N x months`` rows and then a distinct-count ``Expand``.  Instead each window
-emits a ``+`` event at its first month and a ``-`` event after its last one;
-the events are summed per month (partial aggregation leaves at most one row per
-month per map task, whatever the skew) and a running sum over the month spine
-gives the totals.  The spine is bounded by the calendar span, so the final
-single-partition running sum is bounded too.
+emits a ``+`` event at its first month and a ``-`` event after its last one,
+and a running sum over the months gives the totals.  Events before the spine
+starts net out, and an open-ended window closes at ``OPEN_END`` (beyond any
+spine), so no range needs clamping and the map side needs no spine bounds.
 
 Exact distinct counts need one more idea: a key (subscription or customer) with
-several windows must count once per month.  Ranges are first reduced per
-``(key, first month)`` to the longest one (a map-side-combined aggregate, so a
-hot key or a group of copies collapses before the shuffle and is then bounded
-by the number of spine months), then ordered per key: each range only adds the
-months after the furthest month any earlier range of that key reached.  Those
-added pieces are disjoint per key, so their ``+1``/``-1`` events count every
-key at most once per month.
+several windows must count once per month.  Per ``(key, first month)`` only the
+longest range matters; ordered by first month, each range only adds the months
+after the furthest month any earlier range of that key reached.  Those added
+pieces are disjoint per key, so their ``+1``/``-1`` events count every key at
+most once per month.
+
+Physical shape - one scan, two shuffles of keyed rows, the rest bounded by the
+calendar span:
+
+1. one pass over the windows emits tagged rows: value events (untagged by key)
+   and one row per subscription key and per customer key;
+2. ``groupBy(kind, key, idx)`` with map-side combine: value events collapse to
+   at most one row per month per task, and a hot key or a group of copies
+   collapses to one row per first month before anything is shuffled;
+3. one window per ``(kind, key)`` (at most one row per first month per key)
+   turns the ranges into coverage events;
+4. all events summed per month (map-side combined again), then a running sum
+   over at most the months touched - a single-partition window whose size is
+   bounded by the calendar, not by the data.
 """
 
 from __future__ import annotations
@@ -23,63 +34,83 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import month_index
+
+OPEN_END = 1 << 30  # month index standing for "never ends"
 DELTA_COLUMNS = ("d_rows", "d_valued", "d_cents", "d_subs", "d_custs")
+VALUE, SUB, CUST = 0, 1, 2
+
+
+def window_ranges(windows: DataFrame) -> DataFrame:
+    """``first_idx``/``last_idx`` of each window: the months ``m`` with
+    ``start <= m + 1 month`` (T1) and ``end IS NULL OR end >= m`` (T2), i.e.
+    ``[month(start - 1 day), month(end)]``; an open end is ``OPEN_END``.
+    Windows that end before they start are dropped (T3)."""
+    first = month_index(F.date_sub("start_date", 1))
+    last = F.coalesce(month_index("end_date"), F.lit(OPEN_END))
+    return (windows.filter(F.col("start_date").isNotNull())
+                   .withColumn("first_idx", first)
+                   .withColumn("last_idx", last)
+                   .filter(F.col("first_idx") <= F.col("last_idx")))
 
 
-def value_events(ranges: DataFrame, value: str = "monthly_amount_cents") -> DataFrame:
-    """Row, non-NULL-value and value-sum events: ``(idx, d_rows, d_valued, d_cents)``."""
+def monthly_deltas(ranges: DataFrame, sub_key: str = "subscription_id", cust_key: str = "customer_id",
+                   value: str = "monthly_amount_cents") -> DataFrame:
+    """All events summed per month index ``idx`` (one row per month touched)."""
     v = F.col(value)
     valued = v.isNotNull().cast("int")
-    ev = F.array(
-        F.struct(F.col("first_idx").alias("idx"), F.lit(1).alias("d_rows"),
-                 valued.alias("d_valued"), v.alias("d_cents")),
-        F.struct((F.col("last_idx") + 1).alias("idx"), F.lit(-1).alias("d_rows"),
-                 (-valued).alias("d_valued"), (-v).alias("d_cents")),
-    )
-    return ranges.select(F.inline(ev))
-
-
-def coverage_events(ranges: DataFrame, key: str, out: str) -> DataFrame:
-    """``(idx, out)`` events whose running sum is the exact number of distinct
-    ``key`` values active in each month."""
-    per_first = ranges.groupBy(key, "first_idx").agg(F.max("last_idx").alias("last_idx"))
-    earlier = Window.partitionBy(key).orderBy("first_idx").rowsBetween(Window.unboundedPreceding, -1)
+    no_key, no_last, zero = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(0)
+
+    def row(kind, key, idx, last, d_rows, d_valued, d_cents):
+        return F.struct(F.lit(kind).alias("kind"), key.alias("key"), idx.alias("idx"), last.alias("last_idx"),
+                        d_rows.alias("d_rows"), d_valued.alias("d_valued"), d_cents.alias("d_cents"))
+
+    tagged = ranges.select(F.inline(F.array(
+        row(VALUE, no_key, F.col("first_idx"), no_last, F.lit(1), valued, v),
+        row(VALUE, no_key, F.col("last_idx") + 1, no_last, F.lit(-1), -valued, -v),
+        row(SUB, F.col(sub_key), F.col("first_idx"), F.col("last_idx"), zero, zero, F.lit(None).cast("bigint")),
+        row(CUST, F.col(cust_key), F.col("first_idx"), F.col("last_idx"), zero, zero, F.lit(None).cast("bigint")),
+    ))).filter((F.col("kind") == VALUE) | F.col("key").isNotNull())  # COUNT(DISTINCT) skips NULL keys
+    combined = tagged.groupBy("kind", "key", "idx").agg(
+        F.sum("d_rows").alias("d_rows"), F.sum("d_valued").alias("d_valued"),
+        F.sum("d_cents").alias("d_cents"), F.max("last_idx").alias("last_idx"))
+
+    earlier = Window.partitionBy("kind", "key").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.max("last_idx").over(earlier)  # NULL on a key's first range; greatest() skips it
-    added = (per_first
-             .select(F.greatest(F.col("first_idx"), reached + 1).alias("from_idx"), "last_idx")
-             .filter(F.col("from_idx") <= F.col("last_idx")))
-    ev = F.array(
-        F.struct(F.col("from_idx").alias("idx"), F.lit(1).alias(out)),
-        F.struct((F.col("last_idx") + 1).alias("idx"), F.lit(-1).alias(out)),
-    )
-    return added.select(F.inline(ev))
-
-
-def monthly_deltas(ranges: DataFrame, sub_key: str = "subscription_id",
-                   cust_key: str = "customer_id") -> DataFrame:
-    """All events summed per month index: at most ``months + 1`` rows."""
-    parts = [value_events(ranges),
-             coverage_events(ranges, sub_key, "d_subs"),
-             coverage_events(ranges, cust_key, "d_custs")]
-    ev = parts[0]
-    for p in parts[1:]:
-        ev = ev.unionByName(p, allowMissingColumns=True)
-    return ev.groupBy("idx").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
-                                   for c in DELTA_COLUMNS])
+    kind = F.col("kind")
+    ranged = combined.withColumn("from_idx", F.greatest(F.col("idx"), reached + 1))
+    is_sub, is_cust = (kind == SUB).cast("int"), (kind == CUST).cast("int")
+
+    def event(idx, d_rows, d_valued, d_cents, d_subs, d_custs):
+        return F.struct(idx.alias("idx"), d_rows.alias("d_rows"), d_valued.alias("d_valued"),
+                        d_cents.alias("d_cents"), d_subs.alias("d_subs"), d_custs.alias("d_custs"))
+
+    none = F.lit(None).cast("bigint")
+    events = F.when(kind == VALUE, F.array(event(F.col("idx"), F.col("d_rows"), F.col("d_valued"),
+                                                 F.col("d_cents"), zero, zero))) \
+              .when(F.col("from_idx") <= F.col("last_idx"),
+                    F.array(event(F.col("from_idx"), zero, zero, none, is_sub, is_cust),
+                            event(F.col("last_idx") + 1, zero, zero, none, -is_sub, -is_cust)))
+    return (ranged.select(F.inline(events))
+                  .groupBy("idx")
+                  .agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in DELTA_COLUMNS]))
 
 
 def running_totals(spine_idx: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Per spine month: active rows, valued rows, cents, distinct subscriptions
-    and customers.  Months with no active row are dropped (T4), and a month
-    whose rows all have NULL cents sums to NULL (T9).
+    """Per spine month: both exact distinct counts and ``mrr_cents``.
 
-    Both inputs have one row per month, so the broadcast and the unpartitioned
-    window below are bounded by the calendar span."""
+    Months with no active row are dropped (T4); a month whose rows all have
+    NULL cents sums to NULL (T9).  Events before the spine start are part of
+    the running sum (they net out for windows that ended before it).  Both
+    inputs have at most one row per month touched, so the unpartitioned
+    window and the final join are bounded by the calendar span."""
+    zeros = [F.lit(0).cast("bigint").alias(c) for c in DELTA_COLUMNS]
+    months = deltas.unionByName(spine_idx.select("idx", *zeros)) \
+                   .groupBy("idx").agg(*[F.sum(c).alias(c) for c in DELTA_COLUMNS])
     upto = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = spine_idx.join(F.broadcast(deltas), "idx", "left")
-    run = joined.select("idx", *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(upto).alias(c)
-                                 for c in DELTA_COLUMNS])
-    return (run.filter(F.col("d_rows") > 0)
+    run = months.select("idx", *[F.sum(c).over(upto).alias(c) for c in DELTA_COLUMNS])
+    return (run.join(spine_idx, "idx", "left_semi")
+               .filter(F.col("d_rows") > 0)
                .select("idx",
                        F.col("d_subs").alias("active_subscriptions"),
                        F.col("d_custs").alias("active_customers"),

@@ -25,10 +25,10 @@ from ..functions.dates import index_month, month_text
 from ..functions.money import as_double, cents_to_dollars
 from ..functions.predicates import drop_trialing
 from ..operators.activity import monthly_by_cross, monthly_by_explode
-from ..operators.interval_agg import monthly_deltas, running_totals
+from ..operators.interval_agg import monthly_deltas, running_totals, window_ranges
 from ..operators.series import with_change, with_change_pct, with_prev
 from ..operators.spine import month_bounds, month_spine, spine_indices
-from ..operators.windows import month_ranges, subscription_windows
+from ..operators.windows import subscription_windows
 
 METHODS = ("delta", "explode", "cross")
 BASE_OUTPUT = ("month", "active_subscriptions", "active_customers", "mrr_amount")
@@ -50,8 +50,7 @@ def monthly_totals(subs: DataFrame, mode: str = "full", as_of=None,
     win = revenue_windows(subs, mode)
     bounds = month_bounds(subs, as_of)
     if method == "delta":
-        ranges = month_ranges(win, bounds)
-        totals = running_totals(spine_indices(bounds), monthly_deltas(ranges))
+        totals = running_totals(spine_indices(bounds), monthly_deltas(window_ranges(win)))
         return totals.select(index_month("idx").alias("month_start"), "active_subscriptions",
                              "active_customers", "mrr_cents")
     if method == "explode":

@@ -36,6 +36,19 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give heavy per-row work at least the session's parallelism.
+
+    A Parquet row group is the unit of a scan split, and the driver's test
+    files hold a single row group each, so their scans are one task.  Before
+    the JSON building below (the one expensive per-row step of the fixtures),
+    such an under-split input is hash-partitioned on ``keys`` (deterministic,
+    no pre-sort).  An input that already has enough splits - any table of real
+    size - is returned untouched, so no shuffle is added at scale."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, *keys) if df.rdd.getNumPartitions() < n else df
+
+
 def _days(n) -> F.Column:
     return F.make_dt_interval(days=n.cast("int"))
 
@@ -55,7 +68,7 @@ def subscriptions(spark: SparkSession, sf_dir: str, with_customer: bool = True)
 
 def _subscription_rows(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataFrame:
     """``subscriptions`` plus the order key ``k`` and ``o_custkey``."""
-    o = _read(spark, sf_dir, "orders")
+    o = spread(_read(spark, sf_dir, "orders"), "o_orderkey")
     k = F.col("o_orderkey")
     m10 = k % 10
     status = (F.when((F.col("o_orderpriority") == "5-LOW") & (k % 3 == 0), "trialing")
@@ -185,18 +198,23 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Raw time fields are written as epoch seconds for even keys and as ISO-8601
 # text for odd keys, so both forms of P2 are exercised at scale.
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
-SUB_TIME_KEYS = ("created", "current_period_start", "current_period_end", "canceled_at", "ended_at",
-                 "trial_start", "trial_end")
-INV_TIME_KEYS = ("period_start", "period_end", "created", "paid_at")
-
-
-def _time_text(ts: F.Column, epoch: F.Column) -> F.Column:
-    return F.when(epoch, F.unix_seconds(ts).cast("string")).otherwise(F.date_format(ts, ISO_FORMAT))
 
 
-def _unquote_epochs(json: F.Column, keys) -> F.Column:
-    """Write epoch times as JSON numbers, as the billing API does."""
-    return F.regexp_replace(json, '"(' + "|".join(keys) + ')":"(-?[0-9]+)"', '"$1":$2')
+def _raw_json(fields, time_fields, epoch: F.Column) -> F.Column:
+    """JSON text of one raw object.  ``time_fields`` (name -> timestamp column, or
+    name -> dict for a nested object) are written as epoch-second numbers where
+    ``epoch`` holds, as ISO-8601 text otherwise; only the chosen branch runs."""
+    def times(as_epoch: bool):
+        out = []
+        for name, ts in time_fields.items():
+            if isinstance(ts, dict):
+                out.append(F.struct(*[(F.unix_seconds(t) if as_epoch else F.date_format(t, ISO_FORMAT)).alias(n)
+                                      for n, t in ts.items()]).alias(name))
+            else:
+                out.append((F.unix_seconds(ts) if as_epoch else F.date_format(ts, ISO_FORMAT)).alias(name))
+        return out
+    return F.when(epoch, F.to_json(F.struct(*fields, *times(True)))) \
+            .otherwise(F.to_json(F.struct(*fields, *times(False))))
 
 
 def raw_subscription_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,24 +225,18 @@ def raw_subscription_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     they are 1 / NULL."""
     r = _subscription_rows(spark, sf_dir, with_customer=False)
     k = F.col("k")
-    epoch = k % 2 == 0
     recurring = F.when(k % 10 != 9, F.struct(F.col("plan_interval").alias("interval"),
                                              F.col("plan_interval_count").alias("interval_count")))
     item = F.struct(F.when(F.col("quantity") != 1, F.col("quantity")).alias("quantity"),
                     F.struct(F.col("price_id").alias("id"), F.col("product_id").alias("product"),
                              F.col("plan_amount").alias("unit_amount"), recurring.alias("recurring")).alias("price"))
     items = F.struct(F.filter(F.array(item), lambda _: F.col("plan_amount").isNotNull()).alias("data"))
-    obj = F.struct(
-        F.col("subscription_id").alias("id"), "status", "currency", items.alias("items"),
-        _time_text(F.col("created_at"), epoch).alias("created"),
-        _time_text(F.col("current_period_start"), epoch).alias("current_period_start"),
-        _time_text(F.col("current_period_end"), epoch).alias("current_period_end"),
-        _time_text(F.col("canceled_at"), epoch).alias("canceled_at"),
-        "cancel_at_period_end",
-        _time_text(F.col("ended_at"), epoch).alias("ended_at"),
-        _time_text(F.col("trial_start"), epoch).alias("trial_start"),
-        _time_text(F.col("trial_end"), epoch).alias("trial_end"))
-    return r.select(_unquote_epochs(F.to_json(obj), SUB_TIME_KEYS).alias("value"))
+    fields = [F.col("subscription_id").alias("id"), "status", "currency", items.alias("items"),
+              "cancel_at_period_end"]
+    times = {"created": F.col("created_at")} | {
+        n: F.col(n) for n in ("current_period_start", "current_period_end", "canceled_at", "ended_at",
+                              "trial_start", "trial_end")}
+    return r.select(_raw_json(fields, times, k % 2 == 0).alias("value"))
 
 
 def raw_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,17 +251,13 @@ def raw_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw invoice objects as JSON text (column ``value``), duplicates included."""
-    li = invoice_lines(spark, sf_dir)
-    epoch = F.col("l_partkey") % 2 == 0
-    obj = F.struct(
-        F.col("invoice_id").alias("id"), F.col("customer_id").alias("customer"),
-        F.col("subscription_id").alias("subscription"), "status", "amount_due", "amount_paid", "currency",
-        _time_text(F.col("period_start"), epoch).alias("period_start"),
-        _time_text(F.col("period_end"), epoch).alias("period_end"),
-        _time_text(F.col("created_at"), epoch).alias("created"),
-        F.struct(_time_text(F.col("paid_at"), epoch).alias("paid_at")).alias("status_transitions"),
-        "hosted_invoice_url")
-    return li.select(_unquote_epochs(F.to_json(obj), INV_TIME_KEYS).alias("value"))
+    li = spread(invoice_lines(spark, sf_dir), "invoice_id")
+    fields = [F.col("invoice_id").alias("id"), F.col("customer_id").alias("customer"),
+              F.col("subscription_id").alias("subscription"), "status", "amount_due", "amount_paid", "currency",
+              "hosted_invoice_url"]
+    times = {"period_start": F.col("period_start"), "period_end": F.col("period_end"),
+             "created": F.col("created_at"), "status_transitions": {"paid_at": F.col("paid_at")}}
+    return li.select(_raw_json(fields, times, F.col("l_partkey") % 2 == 0).alias("value"))
 
 
 def golden_series(spark: SparkSession) -> DataFrame:
