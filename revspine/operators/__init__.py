@@ -1 +1,2 @@
-"""operators"""
+"""DataFrame operators: spine, windows, interval aggregation, series windows,
+extraction and report figures."""

@@ -104,13 +104,11 @@ def running_totals(spine_idx: DataFrame, deltas: DataFrame) -> DataFrame:
     the running sum (they net out for windows that ended before it).  Both
     inputs have at most one row per month touched, so the unpartitioned
     window and the final join are bounded by the calendar span."""
-    zeros = [F.lit(0).cast("bigint").alias(c) for c in DELTA_COLUMNS]
-    months = deltas.unionByName(spine_idx.select("idx", *zeros)) \
-                   .groupBy("idx").agg(*[F.sum(c).alias(c) for c in DELTA_COLUMNS])
+    months = deltas.join(spine_idx.withColumn("in_spine", F.lit(True)), "idx", "full")
     upto = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = months.select("idx", *[F.sum(c).over(upto).alias(c) for c in DELTA_COLUMNS])
-    return (run.join(spine_idx, "idx", "left_semi")
-               .filter(F.col("d_rows") > 0)
+    run = months.select("idx", "in_spine",
+                        *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(upto).alias(c) for c in DELTA_COLUMNS])
+    return (run.filter(F.col("in_spine") & (F.col("d_rows") > 0))
                .select("idx",
                        F.col("d_subs").alias("active_subscriptions"),
                        F.col("d_custs").alias("active_customers"),

@@ -1 +1 @@
-"""plans"""
+"""Composite queries (MRR variants, ETL) and the query registry with its SQL oracle."""

@@ -1 +1,6 @@
-"""streaming"""
+"""Streaming: intentionally no operators.
+
+The reference loads its tables by full refresh and names incremental loading
+only as future advice; it has no stream source, watermark, event-time window,
+stateful operator or late-data rule.  Nothing here is built beyond it.
+"""
