@@ -16,7 +16,7 @@ EXTRACTED = dt.datetime(2024, 1, 1)
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", 8, app_name="revspine-tests")
+    s = build_session("local[*]", 8, min_partition_size="32KB", app_name="revspine-tests")
     yield s
     s.stop()
 
