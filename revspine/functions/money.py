@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .dates import utc_date
+from .predicates import is_true
 
 MODES = ("full", "view", "api")
 
@@ -36,7 +37,7 @@ def end_date(ended_at="ended_at", status="status", canceled_at="canceled_at",
     return F.coalesce(
         utc_date(ended_at),
         F.when(_c(status) == "canceled", utc_date(canceled_at)),
-        F.when(_c(cancel_at_period_end), utc_date(current_period_end)),
+        F.when(is_true(_c(cancel_at_period_end)), utc_date(current_period_end)),
     )
 
 

@@ -28,12 +28,8 @@ def sub_delta(latest, prev):
     return latest - prev
 
 
-def kpi_cards(monthly: DataFrame) -> DataFrame:
-    """K1: one row - current MRR, MoM %, subscriptions and their delta,
-    customers, total growth % and the first month's MRR.  Percentages are
-    unrounded; NULL where the dashboard shows a dash (T13: no Infinity)."""
-    e = series_ends(monthly)
-    return e.select(
+def _kpis() -> list:
+    return [
         F.col("latest_mrr_amount").alias("current_mrr"),
         change_pct(F.col("latest_mrr_amount"), F.col("prev_mrr_amount")).alias("mom_change_pct"),
         F.col("latest_active_subscriptions").alias("active_subscriptions"),
@@ -41,19 +37,25 @@ def kpi_cards(monthly: DataFrame) -> DataFrame:
         F.col("latest_active_customers").alias("active_customers"),
         total_growth(F.col("first_mrr_amount"), F.col("latest_mrr_amount")).alias("total_growth_pct"),
         F.col("first_mrr_amount").alias("first_mrr"),
-    )
+    ]
+
+
+def _span() -> list:
+    return [F.col("rows").alias("months_loaded"), F.col("first_month"), F.col("latest_month").alias("last_month"),
+            F.when(F.col("rows") > 0, F.concat(F.col("first_month"), F.lit(" — "), F.col("latest_month")))
+             .otherwise(F.lit("")).alias("range_text")]
+
+
+def kpi_cards(monthly: DataFrame) -> DataFrame:
+    """K1: one row - current MRR, MoM %, subscriptions and their delta,
+    customers, total growth % and the first month's MRR.  Percentages are
+    unrounded; NULL where the dashboard shows a dash (T13: no Infinity)."""
+    return series_ends(monthly).select(*_kpis())
 
 
 def series_span(monthly: DataFrame) -> DataFrame:
     """K4: months loaded, first and last month, and the range caption."""
-    return monthly.agg(
-        F.count(F.lit(1)).alias("months_loaded"),
-        F.min("month").alias("first_month"),
-        F.max("month").alias("last_month"),
-    ).select("months_loaded", "first_month", "last_month",
-             F.when(F.col("months_loaded") > 0,
-                    F.concat(F.col("first_month"), F.lit(" — "), F.col("last_month")))
-              .otherwise(F.lit("")).alias("range_text"))
+    return series_ends(monthly).select(*_span())
 
 
 def monthly_breakdown(monthly: DataFrame) -> DataFrame:
@@ -79,10 +81,9 @@ def mrr_trend(monthly: DataFrame) -> DataFrame:
 
 def report_text(monthly: DataFrame) -> DataFrame:
     """Q4's text: the KPI cards and captions exactly as displayed."""
-    k = kpi_cards(monthly)
-    s = series_span(monthly)
+    one = series_ends(monthly).select(*_kpis(), *_span())  # one aggregate over the series
     dash = F.lit(MISSING)
-    return k.crossJoin(s).select(
+    return one.select(
         F.coalesce(fmt_currency("current_mrr"), dash).alias("current_mrr_text"),
         F.when(F.col("mom_change_pct").isNotNull(),
                F.concat(fmt_pct("mom_change_pct"), F.lit(" MoM"))).alias("mom_text"),

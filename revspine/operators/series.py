@@ -53,7 +53,7 @@ def row_change_pct(df: DataFrame, col: str = "mrr_amount", order: str = "month",
 
 def series_ends(df: DataFrame, order: str = "month",
                 cols=("mrr_amount", "active_subscriptions", "active_customers")) -> DataFrame:
-    """One row with the first, previous and latest values of ``cols``.
+    """One row with the row count and the first, previous and latest values of ``cols``.
 
     ``prev_*`` is the row before the latest one (NULL for a one-row series);
     an empty series gives one row of NULLs, like the dashboard's ``undefined``.
@@ -63,8 +63,9 @@ def series_ends(df: DataFrame, order: str = "month",
                                F.lag(order).over(w).alias("_prev_order"))
     row = F.struct(order, *cols, *[f"_prev_{c}" for c in cols], "_prev_order")
     agg = with_prev_cols.agg(F.min_by(row, F.col(order)).alias("first"),
-                             F.max_by(row, F.col(order)).alias("latest"))
-    return agg.select(
+                             F.max_by(row, F.col(order)).alias("latest"),
+                             F.count(F.lit(1)).alias("rows"))
+    return agg.select("rows",
         F.col(f"first.{order}").alias(f"first_{order}"),
         *[F.col(f"first.{c}").alias(f"first_{c}") for c in cols],
         F.col("latest._prev_order").alias(f"prev_{order}"),

@@ -98,7 +98,7 @@ def q_flatten_invoices(spark, sf_dir):
 
 def q_cap_per_customer(spark, sf_dir):
     fetched = fetch_invoices(fx.manifest(spark, sf_dir), q_flatten_invoices(spark, sf_dir), CAP_TEST_LIMIT)
-    return fetched.select(*INVOICE_COLUMNS, F.col("list_rank"))
+    return fetched.select(*INVOICE_COLUMNS, F.col("list_rank").cast("bigint").alias("list_rank"))
 
 
 def registry() -> dict[str, tuple[Query, str | None]]:

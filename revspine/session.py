@@ -39,7 +39,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.ui.enabled", "false")
-          .config("spark.ui.showConsoleProgress", "false"))
+          .config("spark.ui.showConsoleProgress", "false")
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)

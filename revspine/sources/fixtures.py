@@ -45,8 +45,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     such an under-split input is hash-partitioned on ``keys`` (deterministic,
     no pre-sort).  An input that already has enough splits - any table of real
     size - is returned untouched, so no shuffle is added at scale."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n, *keys) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as is
+        return df
+    return df.repartition(n, *keys) if splits < n else df
 
 
 def _days(n) -> F.Column:

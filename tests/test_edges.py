@@ -118,3 +118,17 @@ def test_customer_counted_once(spark):
     rows = all_forms(subs)
     assert [r[2] for r in rows] == [1] * len(rows)
     assert [r[1] for r in rows][:3] == [1, 2, 2]  # the third one ends on Feb 20
+
+
+def test_hot_customer_and_copied_subscription(spark):
+    """One customer owns a third of the rows and one subscription is copied many
+    times; the exact counts must not change with the skew."""
+    rows = [dict(created_at=f"2024-0{1 + i % 5}-1{i % 9}", plan_amount=100 + i,
+                 customer_id="hot" if i % 3 == 0 else f"c{i}",
+                 ended_at=(f"2024-0{2 + i % 4}-0{1 + i % 8}" if i % 4 == 0 else None),
+                 status="canceled" if i % 4 == 0 else "active") for i in range(90)]
+    rows += [dict(rows[1], subscription_id="copied")] * 40
+    subs = make_subs(spark, rows)
+    res = all_forms(subs)
+    assert max(r[2] for r in res) <= 61  # 60 other customers + "hot"
+    assert any(r[1] >= 50 for r in res)
