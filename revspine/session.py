@@ -40,7 +40,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
-          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+          # Python call-site capture for error messages costs several JVM round
+          # trips per Column function while a plan is built; the plans here are
+          # built from hundreds of such calls.
+          .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)

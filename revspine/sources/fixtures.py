@@ -32,8 +32,24 @@ GOLDEN_SERIES = [
 ]
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> str:
+    try:
+        return f"{spark.sparkContext.applicationId}/{id(spark)}"
+    except Exception:  # no SparkContext view (Spark Connect)
+        return str(id(spark))
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, resolved once per session: every fixture reuses the same
+    relation instead of inferring the Parquet schema again (a small job each)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (_session_key(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -148,9 +164,9 @@ INVOICE_COLUMNS = (
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices (13 columns) from ``lineitem`` joined to ``orders``, before dedup,
     plus the line's ``l_partkey``/``l_suppkey`` for the "first seen" order."""
-    li = _read(spark, sf_dir, "lineitem").select(
+    li = spread(_read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        "l_returnflag", "l_shipdate")
+        "l_returnflag", "l_shipdate"), "l_orderkey", "l_linenumber")
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     inv_id = F.concat(F.lit("in_"), F.col("l_orderkey").cast("string"), F.lit("_"),
@@ -258,7 +274,7 @@ def raw_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw invoice objects as JSON text (column ``value``), duplicates included."""
-    li = spread(invoice_lines(spark, sf_dir), "invoice_id")
+    li = invoice_lines(spark, sf_dir)
     fields = [F.col("invoice_id").alias("id"), F.col("customer_id").alias("customer"),
               F.col("subscription_id").alias("subscription"), "status", "amount_due", "amount_paid", "currency",
               "hosted_invoice_url"]

@@ -131,3 +131,16 @@ def test_etl_full_refresh_end_to_end(spark, db):
     assert etl_full_refresh(spark, empty, db, now=fx.EXTRACTED_AT, manifest_lines=True) == \
         {"subscriptions": 0, "invoices": 0}
     assert spark.table(f"{db}.subscriptions").count() == orders
+
+
+def test_t20_empty_manifest_gives_empty_frames(spark):
+    from revspine.plans.etl import extract
+    from revspine.schemas import MANIFEST_LINES, RAW_INVOICE
+    empty_manifest = spark.createDataFrame([], MANIFEST_LINES)
+    subs = parse_json(spark.createDataFrame([('{"id":"sub_1","status":"active"}',)], "value string"), RAW_SUBSCRIPTION)
+    custs = parse_json(spark.createDataFrame([('{"id":"cus_1"}',)], "value string"), RAW_CUSTOMER)
+    invs = parse_json(spark.createDataFrame([('{"id":"in_1","customer":"cus_1"}',)], "value string"), RAW_INVOICE)
+    ex = extract(empty_manifest, subs, custs, invs, "2024-01-01 00:00:00")
+    assert ex.subscriptions.count() == 0 and ex.invoices.count() == 0 and ex.errors.count() == 0
+    assert [tuple(r) for r in ex.summary().orderBy("table_name").collect()] == [
+        ("invoices", 0, 0), ("subscriptions", 0, 0)]
