@@ -73,3 +73,28 @@ def test_text_formats(spark):
 def test_round_half_away_from_zero(spark):
     got = spark.range(1).select(F.round(F.lit(2.5)), F.round(F.lit(-2.5))).first()
     assert tuple(got) == (3.0, -3.0)
+
+
+def test_queries_force_utc_session(spark):
+    """Calendar dates are taken in UTC whatever zone the caller's session uses."""
+    from __spark_entry__ import queries
+    q = queries()["monthly_mrr_api"]
+    utc = [tuple(r) for r in q(spark, "/root/testdata/sf0.001").collect()]
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = [tuple(r) for r in q(spark, "/root/testdata/sf0.001").collect()]
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert other == utc
+
+
+def test_calendar_helpers(spark):
+    from revspine.functions import index_month, month_index, month_of, month_text, next_month, utc_date
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 31, 23, 59, 59),), (dt.datetime(1999, 12, 1),)], "t timestamp")
+    rows = df.select(utc_date("t").alias("d")).select(
+        month_of("d").alias("m"), next_month(month_of("d")).alias("n"), month_text("d").alias("txt"),
+        index_month(month_index("d")).alias("back"), month_index("d").alias("i")).collect()
+    assert [tuple(r) for r in rows] == [
+        (dt.date(2024, 1, 1), dt.date(2024, 2, 1), "2024-01", dt.date(2024, 1, 1), 2024 * 12),
+        (dt.date(1999, 12, 1), dt.date(2000, 1, 1), "1999-12", dt.date(1999, 12, 1), 1999 * 12 + 11)]
