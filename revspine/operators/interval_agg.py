@@ -48,10 +48,8 @@ def window_ranges(windows: DataFrame) -> DataFrame:
     Windows that end before they start are dropped (T3)."""
     first = month_index(F.date_sub("start_date", 1))
     last = F.coalesce(month_index("end_date"), F.lit(OPEN_END))
-    return (windows.filter(F.col("start_date").isNotNull())
-                   .withColumn("first_idx", first)
-                   .withColumn("last_idx", last)
-                   .filter(F.col("first_idx") <= F.col("last_idx")))
+    return (windows.select("*", first.alias("first_idx"), last.alias("last_idx"))
+                   .filter(F.col("start_date").isNotNull() & (F.col("first_idx") <= F.col("last_idx"))))
 
 
 def monthly_deltas(ranges: DataFrame, sub_key: str = "subscription_id", cust_key: str = "customer_id",

@@ -26,17 +26,24 @@ def with_prev(df: DataFrame, col: str = "mrr_amount", order: str = "month",
     return df.withColumn(out, prev_value(col, order))
 
 
+def change(cur: Column, prev: Column) -> Column:
+    """Change against the previous month, two decimals; no previous month counts as 0."""
+    return F.round(cur - F.coalesce(prev, F.lit(0.0)), 2)
+
+
+def change_pct_rounded(cur: Column, prev: Column) -> Column:
+    """Percent change, one decimal; NULL when the previous value is NULL or 0."""
+    return F.when(prev != 0, F.round((cur - prev) / prev * 100, 1))
+
+
 def with_change(df: DataFrame, col: str = "mrr_amount", prev: str = "prev_month_mrr",
                 out: str = "mrr_change") -> DataFrame:
-    """Change against the previous month; no previous month counts as 0."""
-    return df.withColumn(out, F.round(F.col(col) - F.coalesce(F.col(prev), F.lit(0.0)), 2))
+    return df.withColumn(out, change(F.col(col), F.col(prev)))
 
 
 def with_change_pct(df: DataFrame, col: str = "mrr_amount", prev: str = "prev_month_mrr",
                     out: str = "mrr_change_pct") -> DataFrame:
-    """Percent change, one decimal; NULL when the previous value is NULL or 0."""
-    p = F.col(prev)
-    return df.withColumn(out, F.when(p != 0, F.round((F.col(col) - p) / p * 100, 1)))
+    return df.withColumn(out, change_pct_rounded(F.col(col), F.col(prev)))
 
 
 def change_pct(cur: Column, prev: Column) -> Column:

@@ -26,7 +26,7 @@ from ..functions.money import as_double, cents_to_dollars
 from ..functions.predicates import drop_trialing
 from ..operators.activity import monthly_by_cross, monthly_by_explode
 from ..operators.interval_agg import monthly_deltas, running_totals, window_ranges
-from ..operators.series import with_change, with_change_pct, with_prev
+from ..operators.series import change, change_pct_rounded, prev_value
 from ..operators.spine import month_bounds, month_spine, spine_indices
 from ..operators.windows import subscription_windows
 
@@ -61,11 +61,13 @@ def monthly_totals(subs: DataFrame, mode: str = "full", as_of=None,
 def monthly_mrr(subs: DataFrame, mode: str = "full", as_of=None, method: str = "delta") -> DataFrame:
     """Q1 (``full``), Q2 (``view``), Q3 (``api``), ordered by month (L2)."""
     t = monthly_totals(subs, mode, as_of, method)
+    amount = cents_to_dollars("mrr_cents")
     out = t.select(month_text("month_start").alias("month"), "active_subscriptions", "active_customers",
-                   cents_to_dollars("mrr_cents").alias("mrr_amount"), "mrr_cents")
+                   (as_double(amount) if mode == "api" else amount).alias("mrr_amount"), "mrr_cents")
     if mode == "full":
-        out = with_change_pct(with_change(with_prev(out)))
-        return out.select(*FULL_OUTPUT).orderBy("month")
-    if mode == "api":
-        out = out.withColumn("mrr_amount", as_double("mrr_amount"))
+        prev = prev_value("mrr_amount")  # W1, one Window node for all three uses
+        out = out.select(*FULL_OUTPUT[:5], prev.alias("prev_month_mrr"),
+                         change(F.col("mrr_amount"), prev).alias("mrr_change"),
+                         change_pct_rounded(F.col("mrr_amount"), prev).alias("mrr_change_pct"))
+        return out.orderBy("month")
     return out.select(*BASE_OUTPUT).orderBy("month")
