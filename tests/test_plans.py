@@ -5,7 +5,6 @@ import io
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from revspine.operators.extract import cap_per_customer, dedup_invoices, fetch_invoices
 from revspine.plans.mrr import monthly_mrr
