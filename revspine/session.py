@@ -16,7 +16,7 @@ UTC = "UTC"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  min_partition_size: str | None = None,
+                  min_partition_size: str | None = None, driver_memory: str | None = None,
                   app_name: str = "revspine") -> SparkSession:
     """Create (or reuse) a session configured the way the engine expects.
 
@@ -29,6 +29,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     if shuffle_partitions is not None:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory is not None:
+        # local mode runs every task inside the driver JVM; only effective when
+        # this call starts the JVM.
+        b = b.config("spark.driver.memory", driver_memory)
     if min_partition_size is not None:
         # AQE merges shuffle partitions down to this size; small local data
         # would otherwise end up in one or two tasks.
