@@ -132,3 +132,27 @@ def test_hot_customer_and_copied_subscription(spark):
     res = all_forms(subs)
     assert max(r[2] for r in res) <= 61  # 60 other customers + "hot"
     assert any(r[1] >= 50 for r in res)
+
+
+def test_t12_first_month_change_is_full_amount(spark):
+    subs = make_subs(spark, [dict(created_at="2024-05-10", plan_amount=1234)])
+    first = run(subs, "full")[0]
+    assert first[5] is None and first[6] == first[3] == 12.34 and first[7] is None
+
+
+def test_t13_zero_previous_month_gives_null_percent(spark):
+    from revspine.operators import report
+    subs = make_subs(spark, [dict(created_at="2024-01-10", plan_amount=0),
+                             dict(created_at="2024-03-10", plan_amount=1000)])
+    rows = run(subs, "full")
+    assert [r[0] for r in rows][:3] == ["2024-01", "2024-02", "2024-03"]
+    assert rows[2][5] == 0.0 and rows[2][7] is None  # previous month 0 -> NULL, never Infinity
+    series = monthly_mrr(subs, "api", AS_OF)
+    b = report.monthly_breakdown(series).collect()
+    assert b[2].mom_change_pct is None and b[2].change_text == "—"
+
+
+def test_t16_currencies_are_summed_together(spark):
+    subs = make_subs(spark, [dict(created_at="2024-06-10", plan_amount=1000, currency="usd"),
+                             dict(created_at="2024-06-10", plan_amount=500, currency="eur")])
+    assert run(subs, "full")[-1][4] == 1500
