@@ -8,12 +8,14 @@ mode        week/day plans                       NULL int. count  columns
 ``api``     raw amount                           counts as 1      4
 ==========  ===================================  ===============  ==========
 
-Physical shape (``method="delta"``, the default): one columnar scan of the
-subscription columns, a map-side-combined aggregate of window-end events per
-month, two per-key reductions for the exact distinct counts (shuffled on the
-key after collapsing copies), and a running sum over the month spine.  No step
-expands windows into months, no join compares every window with every month,
-and nothing larger than the month spine is broadcast.
+Physical shape (``method="delta"``, the default; see ``operators.interval_agg``):
+one columnar scan of the subscription columns that tags window-end events and
+per-key ranges, one map-side-combined aggregate, one window per key for the
+exact distinct counts, and a running sum over the months; plus a one-column
+scan for the spine's lower bound.  No step expands windows into months, no
+join compares every window with every month, and nothing larger than the
+month spine is broadcast.  ``explode`` and ``cross`` are the expanding forms,
+kept as test partners.
 """
 
 from __future__ import annotations
