@@ -11,6 +11,8 @@ a key join of the given tables, so its size grows with them.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def _session_key(spark: SparkSession) -> str:
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, resolved once per session: every fixture reuses the same
     relation instead of inferring the Parquet schema again (a small job each)."""
-    path = f"{sf_dir}/{name}.parquet"
+    path = os.path.join(sf_dir, f"{name}.parquet")
     key = (_session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
