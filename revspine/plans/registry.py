@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import report
 from ..operators.activity import active_sub_months
@@ -101,7 +102,24 @@ def q_cap_per_customer(spark, sf_dir):
     return fetched.select(*INVOICE_COLUMNS, F.col("list_rank").cast("bigint").alias("list_rank"))
 
 
+def _wall_clock(q: Query) -> Query:
+    """Present UTC instants as UTC wall-clock ``TIMESTAMP_NTZ``: the type of the
+    oracle's ``TIMESTAMP`` (and of a tz-naive value in Arrow and Python), so
+    results compare independently of any reader's local zone.  The session is
+    UTC, so the cast keeps every value."""
+    def wrapped(spark, sf_dir):
+        df = q(spark, sf_dir)
+        return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                           if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                           for f in df.schema.fields])
+    return wrapped
+
+
 def registry() -> dict[str, tuple[Query, str | None]]:
+    return {k: (_wall_clock(q), sql) for k, (q, sql) in _registry().items()}
+
+
+def _registry() -> dict[str, tuple[Query, str | None]]:
     return {
         # MRR (Q1-Q3) and their building blocks
         "month_spine": (q_month_spine, oracle.month_spine_sql()),

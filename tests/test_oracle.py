@@ -30,13 +30,13 @@ def test_every_query_has_oracle():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF)
-    cols = sorted(df.columns)
-    srows = [r.asDict() for r in df.collect()]
-    cur = con.execute(oracle_sql()[name])
-    dcols = [d[0] for d in cur.description]
-    drows = [dict(zip(dcols, r)) for r in cur.fetchall()]
-    assert sorted(dcols) == cols
+    s_tab = queries()[name](spark, SF).toArrow()
+    d_tab = con.sql(oracle_sql()[name]).to_arrow_table()
+    s_types = {f.name: str(f.type) for f in s_tab.schema}
+    d_types = {f.name: str(f.type) for f in d_tab.schema}
+    assert s_types == d_types  # same column names and Arrow types
+    cols = sorted(s_types)
+    srows, drows = s_tab.to_pylist(), d_tab.to_pylist()
     assert len(srows) == len(drows)
     assert _rows(srows, cols) == _rows(drows, cols)
 
