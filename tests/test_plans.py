@@ -63,3 +63,12 @@ def test_mrr_reads_the_table_once_plus_the_bound(spark):
     p = plan(monthly_mrr(_table(spark), "api", "2024-07-01"))
     scans = [ln for ln in p.splitlines() if ln.startswith("ReadSchema:")]
     assert len(scans) == 2, scans  # the windows, and created_at for the spine's lower bound
+
+
+def test_mrr_has_exactly_two_keyed_shuffles(spark):
+    p = plan(monthly_mrr(_table(spark), "view", "2024-07-01"))
+    exchanges = [ln for ln in p.splitlines() if ln.startswith("Arguments: hashpartitioning(")]
+    keyed = [ln for ln in exchanges if "kind" in ln]
+    assert len(keyed) == 2, exchanges  # (kind, key, month) for the combine, (kind, key) for the window
+    others = [ln for ln in exchanges if "kind" not in ln]
+    assert all("idx" in ln for ln in others), others  # the rest is keyed by month only
