@@ -23,8 +23,10 @@ START, END = "spine_start_idx", "spine_end_idx"
 
 
 def min_created(subs: DataFrame, col: str = "created_at") -> DataFrame:
-    """A5: one-row global ``MIN(DATE(created_at))``."""
-    return subs.agg(F.min(utc_date(col)).alias("first_created"))
+    """A5: one-row global ``MIN(DATE(created_at))``, computed as
+    ``DATE(MIN(created_at))`` - the same value, since ``DATE`` is monotonic -
+    so the scan aggregates the raw column and converts one value, not every row."""
+    return subs.agg(utc_date(F.min(col)).alias("first_created"))
 
 
 def first_created(subs: DataFrame, col: str = "created_at") -> Column:
@@ -34,7 +36,7 @@ def first_created(subs: DataFrame, col: str = "created_at") -> Column:
 
 def month_bounds(subs: DataFrame, as_of=None) -> DataFrame:
     """One row: first and last spine month as month indices (``functions.dates``)."""
-    return subs.agg(month_index(F.min(utc_date("created_at"))).alias(START),
+    return subs.agg(month_index(utc_date(F.min("created_at"))).alias(START),
                     month_index(as_of_date(as_of)).alias(END))
 
 
