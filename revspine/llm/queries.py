@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, sharding, simhash_dedup
+from . import decontaminate, exact_dedup, html_extract, language_id, packing, repeats, secrets_scan, sharding, simhash_dedup, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,14 +22,39 @@ def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_secrets(spark, sf_dir):
+    return secrets_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark, sf_dir):
+    return language_id.classify(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sharding(spark, sf_dir):
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_repeats(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+def op9_html_extraction(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_exact_dedup, op2_packing, op7_sharding, op10_simhash_dedup)
+    own = (op1_exact_dedup, op2_packing, op3_toxicity, op4_secrets, op5_language_id, op6_decontamination, op7_sharding, op8_repeats,
+           op9_html_extraction, op10_simhash_dedup)
     return {q.__name__: q for q in own}
