@@ -17,7 +17,7 @@ once each; a NULL id is carried as NULL.
 
 from __future__ import annotations
 
-import os
+import re
 import zlib
 
 import numpy as np
@@ -31,6 +31,14 @@ from .common import chunks
 
 #: Fixed value: the published pre-tokenisation pattern of byte-level BPE (white space as the Unicode property).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+#: The same for texts of code points below 256, where its classes are short.
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+LATIN_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+_BEYOND_LATIN = re.compile("[^\x00-\xff]")
+_UNCOMMON = re.compile("[^\x00-\u024f\u2010-\u2027]")
+#: Fixed value: byte-level BPE writes printable bytes as themselves and the others, in order, from code point 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SYMBOLS = {b: b for b in _PRINTABLE} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 WINDOW = 1024
 OPEN_WINDOWS = 32
 MERGE = 256  # partitions whose rests are merged together
@@ -38,34 +46,46 @@ CACHED_WORDS = 400_000  # bound of a worker's word cache, which changes speed on
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+class _Words(dict):
+    """Ids (bytes) of pre-tokens, computed when first asked for."""
+
+    def __init__(self, tokenize):
+        self.tokenize = tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        symbols = word.encode("utf-8", "replace").decode("latin-1").translate(_BYTE_SYMBOLS)
+        ids = self[word] = np.array([t.id for t in self.tokenize(symbols)], "<u4").tobytes()
+        return ids
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE file of ``tokenizers``.
 
-    BPE never merges across pre-tokens, so ids are computed once per distinct
-    pre-token and joined; the cache is emptied when it reaches its bound.
+    BPE never merges across pre-tokens, so the file's model is asked once per
+    distinct pre-token; the cache is emptied when it reaches its bound.
     """
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.bpe = Tokenizer.from_file(path)
         self.bpe.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.find = regex.compile(PATTERN).findall
-        self.cache: dict[str, bytes] = {}
+        self.words = _Words(self.bpe.model.tokenize)
+        self.find, self.find_latin = regex.compile(PATTERN).findall, re.compile(LATIN_PATTERN).findall
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-        cache = self.cache
-        words = [self.find(t) for t in texts]
-        new = list({w for ws in words for w in ws if w not in cache})
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            for w, e in zip(part, self.bpe.encode_batch(part, add_special_tokens=False), strict=True):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([cache[w] for w in ws]) for ws in words]
+        words = self.words
+        out = []
+        for t in texts:
+            if len(words) > CACHED_WORDS:
+                words.clear()
+            if _UNCOMMON.search(t):  # classes of other characters differ between Unicode versions: ask the library
+                out.append(np.array(self.bpe.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            find = self.find if _BEYOND_LATIN.search(t) else self.find_latin
+            out.append(b"".join([words[w] for w in find(t)]))
+        return out
 
 
 def encoder(path: str) -> Encoder:
