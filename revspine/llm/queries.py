@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +55,11 @@ def op10_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     own = (op1_exact_dedup, op2_packing, op3_toxicity, op4_secrets, op5_language_id, op6_decontamination, op7_sharding, op8_repeats,
-           op9_html_extraction, op10_simhash_dedup)
+           op9_html_extraction, op10_simhash_dedup, pipeline)
     return {q.__name__: q for q in own}
