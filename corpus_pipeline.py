@@ -27,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those without a letter or without any
     confident language go; all columns stay."""
     model = language_id.fit(docs.where(~in_fold(F.col("doc_id"), 4, 2)))
-    return language_id.identify(docs, model).where(F.col("_score") >= LEAST_CONFIDENCE).select(*docs.columns)
+    return language_id.confident(docs, model, LEAST_CONFIDENCE)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +62,15 @@ def chunks(values: list, size, limit: int):
         yield lo, len(values)
 
 
+def pieces(batches, column: int, limit: int = 4 << 20):
+    """Arrow batches cut so that a text column holds about ``limit`` bytes each
+    (one row at least): what Python makes of a batch stays bounded however long its texts are."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_pylist()
+        for lo, hi in chunks(sizes, int, limit):
+            yield b.slice(lo, hi - lo)
+
+
 def in_fold(doc_id, modulus: int, remainder: int):
     """crc32(doc_id as text) mod ``modulus`` = ``remainder``; a NULL id is in no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

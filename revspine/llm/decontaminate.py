@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, text_bytes
+from .common import chunks, pieces, text_bytes
 from .hashing import xxh64_slices
 
 WIDTH = 5
@@ -237,10 +237,10 @@ def _shared(documents: DataFrame, benchmark: DataFrame) -> list:
     return [sc.broadcast(block) for block in item_blocks(benchmark)]  # each below BLOCK_BYTES
 
 
-def _hits(shared, radius: int, similarity: float, batches):
+def _hits(shared, radius: int, similarity: float, batches, columns: int):
     """(batch, for each row its items)."""
     items = None
-    for b in batches:
+    for b in pieces(batches, columns - 1):
         items = items or Items(shared.value, radius)
         texts = b.column(b.num_columns - 1).to_pylist()
         yield b, [f for lo, hi in chunks(texts, len, _WORK_BYTES) for f in items.search(texts[lo:hi], similarity)]
@@ -248,7 +248,7 @@ def _hits(shared, radius: int, similarity: float, batches):
 
 def _find(shared, radius: int, similarity: float):
     def run(batches):
-        for b, found in _hits(shared, radius, similarity, batches):
+        for b, found in _hits(shared, radius, similarity, batches, 2):
             out = [(doc, item, *hit) for doc, hits in zip(b.column(0).to_pylist(), found, strict=True) for item, hit in sorted(hits.items())]
             if out:
                 types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
@@ -257,9 +257,9 @@ def _find(shared, radius: int, similarity: float):
     return run
 
 
-def _drop(shared, radius: int, similarity: float):
+def _drop(shared, radius: int, similarity: float, columns: int):
     def run(batches):
-        for b, found in _hits(shared, radius, similarity, batches):
+        for b, found in _hits(shared, radius, similarity, batches, columns):
             yield b.filter(pa.array([not f for f in found], pa.bool_()))
 
     return run
@@ -270,5 +270,5 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text_col: str = "t
     names = documents.columns
     rows = documents.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], text_bytes(F.col(f"`{text_col}`")).alias("_text"))
     for shared in _shared(documents, benchmark):
-        rows = rows.mapInArrow(_drop(shared, radius, similarity), T.StructType(rows.schema.fields))
+        rows = rows.mapInArrow(_drop(shared, radius, similarity, len(names) + 1), T.StructType(rows.schema.fields))
     return rows.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_SPACE
+from .common import ASCII_SPACE, pieces
 
 TABLE_BYTES = 64 << 20  # contents held by one table before it spills
 FANOUT = 16  # spill files per level
@@ -142,7 +142,7 @@ def _collapse(budget: int):
 
     def run(batches):
         def records():
-            for b in batches:
+            for b in pieces(batches, 0):
                 yield from zip(*(c.to_pylist() for c in b.columns))
         yield from _batches(grace(records(), budget), schema)
 
@@ -195,7 +195,7 @@ def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         schema = []  # Spark's own Arrow schema, with whatever columns the table has
 
         def records():
-            for b in batches:
+            for b in pieces(batches, 0):
                 schema[:] = [b.schema]
                 yield from zip(*(c.to_pylist() for c in b.columns))
 

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import pieces
+
 SAMPLE_PAGES = 1500  # bound of the training sample
 
 # Element kinds of HTML.
@@ -46,13 +48,15 @@ OTHER_WORDS = frozenset("""ad ads advert advertisement advertising banner sponso
 header footer masthead topbar toolbar comment comments disqus reply replies respond notice cookie cookies consent gdpr alert popup modal overlay newsletter subscribe
 subscription signup login share sharing social related recommended more widget pagination pager copyright legal disclaimer skip search""".split())
 MAIN_TAGS = frozenset(("article", "main"))
+FRAME = frozenset(("#root", "html", "head", "body"))
 MAIN_WORDS = frozenset("article articlebody content entry main post story text body".split())
 PRIOR = 20  # pseudo-counts of the known kinds
 #: Pseudo-counts of (parent's state, state) by whether parent and child are of a
 #: known other kind: such children leave the content, and nothing enters below them.
 EDGE_PRIOR = {"plain": ((57, 3), (1, 59)), "child": ((999, 1), (950, 50)), "parent": ((9995, 5), (10, 990))}
+LEAST_LEAVE = 0.005  # a plain child may leave the content at least so often
 CLIP = 6.0  # of a node's own evidence
-CLIP_TAG = 2.5  # of the evidence of a tag that may stand anywhere
+CLIP_FEATURE = {"tag": 1.0, "size": 1.0, "link": 3.0}  # of what one feature says; a sample of few layouts says too much
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>""", re.DOTALL)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in RAW}
@@ -219,10 +223,14 @@ def train(counts: Counter) -> dict:
         all_ = [sum(own["f", s, name, v] for v in seen) + len(seen) + 1 for s in (0, 1)]
         # evidence per feature, content against not; values that are new to the model say nothing
         ratio[name] = {v: math.log((own["f", 1, name, v] + 1) / all_[1]) - math.log((own["f", 0, name, v] + 1) / all_[0]) for v in sorted(seen, key=str)}
-    for v in ratio["tag"]:
-        if v not in OTHER_TAGS | MAIN_TAGS:
-            ratio["tag"][v] = max(-CLIP_TAG, min(CLIP_TAG, ratio["tag"][v]))
+    for name, most in CLIP_FEATURE.items():
+        for v, x in ratio.get(name, {}).items():
+            if v not in OTHER_TAGS | MAIN_TAGS:  # these say what they are
+                bound = 3.0 if v in FRAME else most
+                ratio[name][v] = max(-bound, min(bound, x))
     edge = {g: [own["e", g, a, b] / (own["e", g, a, 0] + own["e", g, a, 1]) for a in (0, 1) for b in (0, 1)] for g in EDGE_PRIOR}
+    if edge["plain"][2] < LEAST_LEAVE:
+        edge["plain"][2:] = LEAST_LEAVE, 1 - LEAST_LEAVE
     return {"ratio": ratio, "edge": edge}
 
 
@@ -316,7 +324,7 @@ def main_text(pages: DataFrame, model: dict, html_col: str = "html") -> DataFram
     names = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches, len(names)):
             out = [extract(p, model) for p in b.column(len(names)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], [*b.schema.names[: len(names)], "text", "n_chars"])
 

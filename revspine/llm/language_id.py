@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, in_fold
+from .common import chunks, in_fold, pieces
 
 PER_LANGUAGE = 300  # bound of the training sample
 LANDMARKS = 32  # per language
@@ -146,24 +146,33 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     return train(sample) if sample else None
 
 
-def identify(df: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
-    """``df`` with ``_lang`` and ``_score`` put behind its columns."""
+def _scored(df: DataFrame, model: dict | None, text_col: str) -> DataFrame:
+    """The columns of ``df`` as c0, c1, ... with ``_lang`` and ``_score``."""
     names = df.columns
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], F.col(f"`{text_col}`").cast("string").alias("_text"))
+    scored = rows.drop("_text").withColumns({"_lang": F.lit("und"), "_score": F.lit(0.0)})
     if model is None:
-        return df.withColumns({"_lang": F.lit("und"), "_score": F.lit(0.0)})
+        return scored
     shared = df.sparkSession.sparkContext.broadcast(model)  # landmarks x vocabulary: bounded by the sample
 
     def run(batches):
         model = shared.value
         spectrum = Spectrum(model["vocabulary"])
-        for b in batches:
+        for b in pieces(batches, len(names)):
             lang, score = predict(model, spectrum, b.column(len(names)).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*b.schema.names[: len(names)], "_lang", "_score"])
 
-    rows = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    shape = rows.drop("_text").withColumns({"_lang": F.lit(""), "_score": F.lit(0.0)}).schema
-    done = rows.mapInArrow(run, shape)
-    return done.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)], "_lang", "_score")
+    return rows.mapInArrow(run, scored.schema)
+
+
+def identify(df: DataFrame, model: dict | None, text_col: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``df`` with the language and its score behind its columns."""
+    return _scored(df, model, text_col).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(df.columns)], F.col("_lang").alias(lang), F.col("_score").alias(score))
+
+
+def confident(df: DataFrame, model: dict | None, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose language has a score of ``least`` or more."""
+    return _scored(df, model, text_col).where(F.col("_score") >= least).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(df.columns)])
 
 
 def classify(documents: DataFrame) -> DataFrame:
@@ -171,4 +180,4 @@ def classify(documents: DataFrame) -> DataFrame:
     held = in_fold(F.col("doc_id"), 4, 2)
     model = fit(documents.where(~held))
     done = identify(documents.select("doc_id", "text"), model)
-    return done.select("doc_id", held.alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+    return done.select("doc_id", held.alias("held_out"), "lang_pred", "score")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, pieces
 
 #: Fixed value: the published pre-tokenisation pattern of byte-level BPE (white space as the Unicode property).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -180,7 +180,7 @@ def _pack_partition(path: str, window: int, open_windows: int, end_id: int, with
             done += len(windows)
             return rows
 
-        for b in batches:
+        for b in pieces(batches, 1):
             docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lo, hi in chunks(texts, len, 1 << 20):
                 rows = [r for d, ids in zip(docs[lo:hi], bpe.encode(texts[lo:hi]), strict=True) for r in out(packer.add(d, ids + end))]

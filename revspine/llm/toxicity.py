@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_fold
+from .common import cut, in_fold, pieces
 
 PER_CLASS = 4000  # bound of the labelled sample: toxic rows, and half of the clean ones
 TERM_DOCS = 5  # sample texts that a term must occur in
@@ -142,7 +142,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 def _count_terms(batches):
     """(term, toxic texts, clean texts) of every batch."""
-    for b in batches:
+    for b in pieces(batches, 1):
         counts = {0: Counter(), 1: Counter()}
         for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             counts[toxic].update(_terms(fold(text)))
@@ -152,7 +152,7 @@ def _count_terms(batches):
 
 def _copy_keys(batches):
     """Rows with three minimum hashes of their word shingles, which near copies mostly share."""
-    for b in batches:
+    for b in pieces(batches, 1):
         keys = []
         for text in b.column(1).to_pylist():
             words = text.split()
@@ -191,7 +191,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     hashed = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).withColumn("_h", F.xxhash64(F.lit(3), "_id"))
     drawn = [hashed.where(F.col("label") == c).orderBy("_h", "_id").limit(n) for c, n in ((0, 2 * per_class), (1, per_class))]
     few = drawn[0].unionByName(drawn[1])  # at most 3 * per_class rows of a few numbers: a bounded broadcast
-    texts = documents.join(F.broadcast(few), F.col(id_col) == F.col("_id")).select("label", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    named = documents.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = named.join(F.broadcast(few), "_id").select("label", "text")
     keyed = texts.mapInArrow(_copy_keys, "label int, text string, k1 bigint, k2 bigint, k3 bigint")
     for k in ("k1", "k2", "k3"):
         keyed = keyed.dropDuplicates(["label", k])
@@ -246,7 +247,7 @@ def _measured(df: DataFrame, lexicon: dict, exceptions: list[str]) -> DataFrame:
 
     def run(batches):
         matcher = Matcher(lexicon, exceptions)
-        for b in batches:
+        for b in pieces(batches, 1):
             out = [matcher.measure(fold(t)) for t in b.column(1).to_pylist()]
             n, weight, words = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(weight, pa.float64()), pa.array(words, pa.int64())], [first, "matches", "weight", "words"])

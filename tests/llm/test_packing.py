@@ -1,0 +1,102 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from helpers import SHAPE, documents, odd_rows
+from tokenizers import Tokenizer
+
+from revspine.llm import queries
+from revspine.llm.common import table
+from revspine.llm.packing import Encoder, Packer, pack, pour
+
+TOK = Tokenizer.from_file(queries.TOKENIZER)
+TOK.encode_special_tokens = True
+
+
+def ids(text):
+    return np.array([*TOK.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
+
+
+def _check(pieces, texts, window=1024):
+    """Every id in exactly one piece; sequences gapless and bounded."""
+    by_doc, by_seq = {}, {}
+    for p in pieces:
+        by_doc.setdefault(p.doc_id, []).append(p)
+        by_seq.setdefault(p.sequence_id, []).append(p)
+    assert set(by_doc) == set(texts)
+    for doc, own in by_doc.items():
+        whole = ids(texts[doc])
+        at = 0
+        for p in sorted(own, key=lambda p: p.start):
+            part = whole[4 * p.start : 4 * (p.start + p.length)]
+            assert p.start == at and p.ids_crc32 == zlib.crc32(part) and p.doc_tokens == len(whole) // 4
+            if hasattr(p, "token_ids"):
+                assert bytes(p.token_ids) == part
+            at += p.length
+        assert at == len(whole) // 4
+    sizes = []
+    for own in by_seq.values():
+        at = 0
+        for p in sorted(own, key=lambda p: p.offset):
+            assert p.offset == at and p.length > 0
+            at += p.length
+        assert at <= window
+        sizes.append(at)
+    return sizes
+
+
+def test_encoder_equals_the_library():
+    e, r = Encoder(queries.TOKENIZER), random.Random(5)
+    cases = ["", " ", "<|endoftext|> a", "it's we'll  \n\n x", "ﬁ ½ ² x\x85y\xa0z \x1c", "漢字 кот 🎉"]
+    for k in range(3000):
+        top = [127, 256, 256, 0x250, 0x2100, 0x1F700][k % 6]
+        points = (r.randrange(top) if r.random() < 0.6 else r.choice([32, 32, 39, 115, 10, 9, 0x85, 0xA0, 48]) for _ in range(r.randrange(25)))
+        cases.append("".join(chr(c) for c in points if not 0xD800 <= c < 0xE000))
+    assert e.encode(cases) == [ids(c)[:-4] for c in cases]
+
+
+def test_encoder_cache_bound_changes_nothing(monkeypatch):
+    monkeypatch.setattr("revspine.llm.packing.CACHED_WORDS", 3)
+    texts = ["one two three four five six", "six five four", "one"]
+    assert Encoder(queries.TOKENIZER).encode(texts) == [ids(t)[:-4] for t in texts]
+
+
+def test_packer_is_bounded_best_fit():
+    p = Packer(window=10, open_windows=2)
+    token = b"\1\0\0\0"
+    assert list(p.add("a", token * 6)) == [] and list(p.add("b", token * 7)) == []
+    assert list(p.add("c", token * 3)) == [[("b", 0, token * 7, 7), ("c", 0, token * 3, 3)]]  # the least room that holds it
+    assert list(p.add("d", token * 9)) == [] and len(p.open) == 2
+    full = list(p.add("e", token * 7))  # none fits: the fullest is completed and emitted, the rest goes on
+    assert [[x[0] for x in w] for w in full] == [["d", "e"]] and sum(len(x[2]) for x in full[0]) == 40 and len(p.open) == 2
+    rest = list(p.finish())
+    assert [sum(len(x[2]) // 4 for x in w) for w in rest + [p.rest]] == [10, 2]
+    assert list(Packer(10, 2).add("z", token * 25))[1] == [("z", 10, token * 10, 25)]
+
+
+def test_pour_cuts_at_the_window():
+    full, last = pour([("a", 0, b"\0" * 28, 7), ("b", 2, b"\0" * 20, 9)], 8)
+    assert [(d, s, len(i) // 4) for d, s, i, _ in full[0]] == [("a", 0, 7), ("b", 2, 1)] and [(d, s, len(i) // 4) for d, s, i, _ in last] == [("b", 3, 4)]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_odd_rows(spark, parts):
+    rows = [r for r in odd_rows() if r[0] not in (None, 5)]
+    got = pack(documents(spark, rows).repartition(parts), queries.TOKENIZER).collect()
+    sizes = _check(got, {r[0]: r[1] for r in rows})
+    assert sum(s < 1024 for s in sizes) <= 1  # rests of all partitions are merged
+    assert pack(spark.createDataFrame([], SHAPE), queries.TOKENIZER).count() == 0
+
+
+def test_repeated_rows_and_null_ids_are_packed_each(spark):
+    got = pack(documents(spark, [(None, "a"), (None, "b c"), (5, "a"), (5, "a")]), queries.TOKENIZER).collect()
+    assert sum(p.length for p in got) == sum(len(ids(t)) // 4 for t in ("a", "b c", "a", "a"))
+    assert sum(p.doc_id is None for p in got) == 2
+
+
+def test_query_round_trip(spark):
+    sf = "/root/testdata/sf0.001"
+    got = queries.op2_packing(spark, sf).collect()
+    sizes = _check(got, {r.doc_id: r.text for r in table(spark, sf, "documents").collect()})
+    assert sum(1024 - s for s in sizes) < 1024

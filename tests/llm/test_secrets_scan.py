@@ -1,0 +1,73 @@
+import hashlib
+import random
+import re
+
+from helpers import SHAPE, documents, odd_rows
+
+from revspine.llm import queries
+from revspine.llm.common import table
+from revspine.llm.secrets_scan import ALPHABET, base_spans, fit, markov_spans, scan, scan_documents, train
+
+# the contract's patterns, run plainly over the whole text
+PATTERNS = {"assign": (r"""(?a:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8), "access": (r"AKIA[A-Z0-9]+", 0, 16), "hex": (r"[0-9a-f]+", 0, 32)}
+
+
+def brute(text):
+    out = []
+    for rank, (kind, (pattern, group, least)) in enumerate(PATTERNS.items()):
+        out += [(m.start(), rank, kind, m.end()) for m in re.finditer(pattern, text or "") if len(m.group(group)) >= least]
+    return [(a, e, kind) for a, _, kind, e in sorted(out)]
+
+
+def test_base_spans_equal_the_plain_patterns():
+    r = random.Random(6)
+    parts = ["token = \"", "PassWD:", "api_key=", "APIKEY'  :  '", "secret", "AKIA", "AKIAABCDEFGH1234567", "deadbeef" * 4, "0123456789abcdef" * 2, " ", "é", "a" * 31, "f", "=", "\n", "x_y-z.", "ſecret=12345678", "toKen=12345678"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(12)))
+        assert base_spans(text) == brute(text), text
+
+
+def _model():
+    r = random.Random(7)
+    words = {w: 20 for w in "internationalization configuration_manager get_element_by_name response-handler authenticate the quick brown fox understanding document".split()}
+    return train({"".join(r.choice("0123456789abcdef") for _ in range(40)): 1 for _ in range(200)}, words)
+
+
+def test_markov_adds_random_strings_and_leaves_words():
+    model, r = _model(), random.Random(8)
+    for _ in range(100):
+        s = "".join(r.choice(ALPHABET[:62]) for _ in range(32))
+        assert markov_spans(f"see {s} there", [], model) == [(4, 36, "markov")]
+    assert markov_spans("see get_element_by_name_configuration there", [], model) == []
+    assert markov_spans("see " + "0f3a" * 10, [(4, 44, "hex")], model) == []  # the pattern's span stays alone
+
+
+def test_odd_rows(spark):
+    rows = odd_rows() + [(20, "é token=abcdefgh1 " + "ab12" * 8, None, "s")]
+    got = scan_documents(documents(spark, rows).selectExpr("*", "text AS spans", "1 AS n_hex")).collect()
+    assert len(got) == len(rows)
+    one = next(r for r in got if r.doc_id == 20)
+    assert (one.n_assign, one.n_access, one.n_hex, one.spans) == (1, 0, 1, "assign:2:17,hex:18:50")
+    assert one.base_sha256 == hashlib.sha256(one.spans.encode()).hexdigest()
+    empty = hashlib.sha256(b"").hexdigest()
+    assert all(r.base_sha256 == empty and r.spans == "" for r in got if r.doc_id != 20)
+    assert scan_documents(spark.createDataFrame([], SHAPE)).count() == 0
+
+
+def test_operator_gives_the_secrets(spark):
+    df = documents(spark, [(1, "password: hunter22!")])
+    assert [r.secrets for r in scan(df, fit(df)).collect()] == [["password: hunter22"]]
+
+
+def test_query_matches_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in table(spark, sf, "documents").collect()}
+    got = queries.op4_secrets(spark, sf).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        base = brute(texts[r.doc_id])
+        digest = hashlib.sha256(",".join(f"{k}:{a}:{e}" for a, e, k in base).encode()).hexdigest()
+        assert r.base_sha256 == digest and [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, _, k in base) for x in ("assign", "access", "hex")]
+        for span in filter(None, r.spans.split(",")):
+            kind, a, e = span.split(":")
+            assert kind == "markov" or (int(a), int(e), kind) in base

@@ -1,0 +1,79 @@
+from helpers import SHAPE, documents, odd_rows
+
+from revspine.llm import queries
+from revspine.llm.common import table
+from revspine.llm.toxicity import Matcher, fit, fold, score, score_documents
+
+import random
+import zlib
+
+import pytest
+
+
+def test_fold():
+    assert fold("ＳＴＵＰＩＤ") == "stupid" and fold("ѕtuріd") == "stupid" and fold("st​up­id") == "stupid"
+    assert fold("1d10t $tup1d m0r0n") == "idiot stupid moron"
+    assert fold("stupid$$$ 2024 x9") == "stupid$$$ 2024 x9" and fold(None) == ""
+
+
+def test_matcher_words_stems_and_exceptions():
+    m = Matcher({"moron$": 2.0, "lowe": 1.0, "lowen$": 0.0}, ["Moron College"])
+    found = lambda t: [(t[a:b], term) for a, b, term in sorted(m.find(t))]
+    assert found("moron, morons oxymoron") == [("moron", "moron$")]
+    assert found("lowest lowen slowe") == [("lowe", "lowe"), ("lowen", "lowen$")]
+    assert found("moron college moron") == [("moron", "moron$")]
+    assert m.measure("moron lowest x") == (2, 3.0, 3)
+    assert Matcher({}).find("moron") == []
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """Toxic texts hold one of three words or a stem; a copied one many other words."""
+    rows, labels, r = [], [], random.Random(9)
+    for k in range(1, 601):
+        toxic = k % 4 == 0
+        bad = ["blargh", "frumpf", f"qwarz{'abcdefghij'[k % 10]}en"][k % 3]
+        text = " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 6))) for _ in range(40)) + (f" {bad} end" if toxic else " end")
+        rows.append((k, text))
+        labels.append((k, 1, int(toxic)))
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), dict(rows)
+
+
+def test_learns_words_and_stems(spark, corpus):
+    docs, labels, _ = corpus
+    model = fit(docs, labels)
+    assert {"blargh$", "frumpf$"} <= set(model["lexicon"]) and any(t.startswith("qwar") for t in model["lexicon"])
+    new = documents(spark, [(1, "some blargh here"), (2, "fru​mpf"), (3, "qwarzzen"), (4, "nothing at all here"), (5, None), (6, "")])
+    got = {r.doc_id: r.score for r in score(new, model).collect()}
+    assert got[1] > 0.5 and got[2] > 0.5 and got[3] > 0.5 and got[4] < 0.5 and got[5] == got[6] < 0.5
+    assert all(0 <= s <= 1 for s in got.values())
+
+
+def test_labels_of_the_held_out_fold_change_nothing(spark, corpus):
+    docs, labels, _ = corpus
+    flipped = labels.selectExpr("doc_id", "quality", "IF(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0, 1 - toxic, toxic) AS toxic")
+    a = {r.doc_id: tuple(r) for r in score_documents(docs, labels).collect()}
+    b = {r.doc_id: tuple(r) for r in score_documents(docs, flipped).collect()}
+    assert a == b
+    for i, held in ((r.doc_id, r.held_out) for r in score_documents(docs, labels).collect()):
+        assert held == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_odd_rows_and_labels(spark, corpus):
+    _, labels, _ = corpus
+    df = documents(spark, odd_rows())
+    empty = spark.createDataFrame([], SHAPE)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert [r.predicted for r in score_documents(df, none).collect()] == [0] * len(odd_rows())
+    assert score_documents(empty, labels).count() == 0
+    odd = spark.createDataFrame([(None, 1, 1), (1, None, None), (4, 0, 1), (5, 1, 0)], "doc_id long, quality int, toxic int")
+    got = score_documents(df.selectExpr("*", "doc_id AS score", "1 AS weight", "'x' AS label"), odd).collect()
+    assert len(got) == len(odd_rows()) and all(r.score is not None for r in got)
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    got = queries.op3_toxicity(spark, sf).join(table(spark, sf, "labels"), "doc_id").where("held_out").collect()
+    right = sum(r.predicted == r.toxic for r in got) / len(got)
+    caught = sum(r.predicted for r in got if r.toxic) / sum(r.toxic for r in got)
+    assert len(got) > 500 and right >= 0.97 and caught >= 0.88
