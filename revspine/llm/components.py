@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, hot_join
 
 
 def _state(edges: DataFrame):
@@ -27,9 +27,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while now != before and now[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = hot_join(both, low, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        near = large.join(low, "u")
+        near = hot_join(large, low, ["u"])
         small = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         e = cut(small)
         before, now = now, _state(e)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, column_bytes, cut, text_bytes
+from .common import chunks, column_bytes, cut, hot_join, pieces, text_bytes
 from .components import connected_components
 from .hashing import xxh64_slices
 
@@ -74,7 +74,7 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, width: int = 3, seed
     """``id, fp`` (the 64 bits as a signed long) for every row."""
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches, 1):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fingerprint_texts(column_bytes(b.column(1)), width, seed).view(np.int64))], ["id", "fp"])
 
     return df.select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text")).mapInArrow(run, "id bigint, fp bigint")
@@ -228,8 +228,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     roots = connected_components(links(distinct.select("fp"), tau)).withColumnRenamed("node", "fp")
     placed = distinct.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = placed.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = hot_join(placed, least, ["root"]).select("fp", "component_id")
+    return hot_join(rows, named, ["fp"]).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, tau: int = 3) -> DataFrame:
