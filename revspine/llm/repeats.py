@@ -4,27 +4,29 @@ Every byte covered by a string of ``LENGTH`` bytes that also starts at another
 position of the corpus (same document or another) is removed; matches never
 cross documents and are judged on the input.
 
-A hash of the last eight bytes triggers phrase ends, so equal text is parsed
-alike wherever it stands.  A window (string of ``LENGTH`` bytes) belongs to the
-first phrase end whose trigger lies inside it, and the windows that start in one
-phrase are treated together, as one entry of the parse:
-
-1. *Core*: the bytes all those windows share (272 around and after the phrase
-   end).  Equal windows have equal cores, so an entry whose core occurs once in
-   the corpus holds no repeat; this drops nearly all entries of ordinary text.
-2. *Context*: all bytes the entry's windows cover.  The dictionary of distinct
-   contexts with their counts decides whole entries: a context that occurs twice
-   is repeated as a whole, however many copies there are.
-3. *Windows*: only contexts that are unique but share a core with another one,
-   at the ends of matches, are taken apart; their windows (and one copy of each
-   context they could match) are compared one by one.
-
-Only equality over ``LENGTH`` bytes matters here, so instead of sorting the
-suffixes of dictionary and parse into corpus order the steps above compute that
-order's classes of equal prefixes directly; counts combine before every shuffle
-and no class is ever gathered, which a global suffix array would need.  Classes
-are equal 128-bit hashes of the bytes.  Windows without any trigger (long runs
-of one character, say) are entries of their own.
+A window is a string of ``LENGTH`` bytes.  Its trigger is the least rolling
+hash of eight bytes in it (the first of equal ones), so equal windows have
+their trigger at the same place, and successive windows mostly share it: the
+windows of one trigger form a phrase, cut into stretches of ``REACH`` starts.
+
+1. *Parse*: a stretch has a core, the bytes all its windows share.  Equal
+   windows have equal cores, so a stretch whose core occurs once in the corpus
+   holds no repeat; counting cores (combined before the shuffle) drops nearly
+   all of ordinary text.
+2. *Dictionary*: the distinct contexts (all bytes of a stretch's windows) with
+   their counts.  A context that occurs twice is repeated as a whole, however
+   many copies there are; copies go no further than this count.
+3. *Order*: contexts that occur once but share their core with another one lie
+   at the ends of matches.  For those that share a core, the parts before it
+   are put into order by their suffixes and the parts from it on by their
+   prefixes, with the lengths that neighbours share.  A window is a suffix of
+   the one and a prefix of the other, so the two orders together give the
+   corpus order of all windows, in which equal ones are adjacent.
+
+Cores with more than ``GROUP`` distinct contexts are not brought together:
+there the windows themselves are counted, one row each, which combines before
+the shuffle and has no group at all.  Both ways are exact.  Contexts are told
+apart by two 64-bit hashes, windows of step 3 by their bytes.
 
 Defined results: NULL text counts as empty; texts shorter than ``LENGTH`` keep
 all bytes; rows that repeat id and text are documents like others, so their
@@ -35,6 +37,7 @@ their texts.
 from __future__ import annotations
 
 import hashlib
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -42,71 +45,68 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, hot_join, text_bytes
+from .common import chunks, cut, hot_join, pieces, text_bytes
 
 LENGTH = 400
-TRIGGER = 8  # bytes whose hash decides on a phrase end
-PHRASE = 64  # mean bytes of a phrase
-REACH = 128  # window starts that one entry covers
+TRIGGER = 8  # bytes of the rolling hash
+REACH = 128  # window starts of a stretch, 256 at most
+GROUP = 16384  # distinct contexts of one core that a task takes together
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_WORK_BYTES = 4 << 20
-_TEXT_BITS = 24  # of the text's hash beside a position
+_WORK_BYTES = 1 << 20
+_TEXT_BITS = 23  # of the text's hash beside a position
 _digest = xxhash.xxh3_64_intdigest
-_CORE, _CONTEXT, _ALONE = 1 << 8, 1 << 9, 1 << 10  # hash seeds
+_CORE, _CONTEXT = 1, 1 << 20  # hash seeds
 
 
-def phrase_ends(data: bytes) -> np.ndarray:
-    """Ends e of phrases: the hash of bytes e - 8 to e - 1 triggers."""
-    if len(data) < TRIGGER:
-        return np.zeros(0, np.int64)
+def triggers(data: bytes, length: int) -> np.ndarray:
+    """For every window of ``data``, the position of its least 8-byte hash.
+
+    Sliding minima from running minima within blocks, forward and backward."""
+    width, n = length - TRIGGER + 1, len(data) - length + 1
     eight = np.ndarray((len(data) - TRIGGER + 1,), "<u8", data, strides=(1,))
     with np.errstate(over="ignore"):
-        high = (eight * _FACTOR) >> np.uint64(40)
-    return np.flatnonzero(high % np.uint64(PHRASE) == 0) + TRIGGER
-
-
-def entries(data: bytes, begin: np.ndarray, stop: np.ndarray, length: int):
-    """Entries of documents laid end to end in ``data`` (document i is
-    ``begin[i]:stop[i]``, at least ``length`` bytes each).
-
-    Returns (document, first window, last window, core start, core end) arrays,
-    and (document, window) arrays of windows without a trigger."""
-    ends = phrase_ends(data)
-    doc = np.searchsorted(begin, ends - TRIGGER, "right") - 1
-    inside = ends <= stop[doc]
-    ends, doc = ends[inside], doc[inside]
-    fresh = np.append(True, doc[1:] != doc[:-1]) if len(doc) else np.zeros(0, bool)
-    after = np.where(fresh, begin[doc], np.roll(ends, 1) - TRIGGER + 1)  # first window not of the phrase end before
-    final = stop[doc] - length
-    low, high = np.maximum(after, ends - length), np.minimum(ends - TRIGGER, final)
-
-    # windows that no phrase end lies in: before an end that is far away, behind a document's last, or without any
-    last = np.append(doc[1:] != doc[:-1], True) if len(doc) else fresh
-    bare = np.setdiff1d(np.arange(len(begin)), doc)
-    gap_doc = np.concatenate([doc, doc[last], bare])
-    gap_low = np.concatenate([after, ends[last] - TRIGGER + 1, begin[bare]])
-    gap_high = np.concatenate([np.minimum(ends - length - 1, final), final[last], stop[bare] - length])
-    n = np.maximum(gap_high - gap_low + 1, 0)
-    alone_doc = np.repeat(gap_doc, n)
-    alone = np.repeat(gap_low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-
-    keep = low <= high
-    ends, doc, low, high = ends[keep], doc[keep], low[keep], high[keep]
-    # distance x of a window start before its phrase end, cut into stretches of REACH
-    k0, k1 = (ends - high - 1) // REACH, (ends - low - 1) // REACH
+        value = ((eight * _FACTOR) & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(eight), dtype=np.uint64)
+    blocks = np.append(value, np.full(-len(value) % width, 0xFFFFFFFFFFFFFFFF, np.uint64)).reshape(-1, width)
+    forward = np.minimum.accumulate(blocks, axis=1).ravel()
+    backward = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(backward[:n], forward[width - 1 : width - 1 + n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def stretches(data: bytes, begin: np.ndarray, stop: np.ndarray, length: int, reach: int = REACH):
+    """Stretches of documents laid end to end in ``data`` (document i is
+    ``begin[i]:stop[i]``, at least ``length`` bytes each): arrays of document,
+    first and last window start, core start and core end."""
+    parts = []
+    for lo in range(0, len(data) - length + 1, _WORK_BYTES):  # a very long text in pieces of as many windows
+        trigger = triggers(data[lo : lo + _WORK_BYTES + length - 1], length) + lo
+        start = np.arange(lo, lo + len(trigger))
+        doc = np.searchsorted(begin, start, "right") - 1
+        whole = start + length <= stop[doc]
+        trigger, start, doc = trigger[whole], start[whole], doc[whole]
+        if not len(start):
+            continue
+        fresh = np.append(True, (trigger[1:] != trigger[:-1]) | (doc[1:] != doc[:-1]))
+        first = np.flatnonzero(fresh)
+        last = np.append(first[1:], len(start)) - 1
+        parts.append((doc[first], start[first], start[last], trigger[first]))
+    if not parts:
+        return (np.zeros(0, np.int64),) * 5
+    doc, low, high, trigger = (np.concatenate(a) for a in zip(*parts, strict=True))
+    # distance of a window start before its trigger, cut at multiples of REACH counted from the trigger
+    k0, k1 = (trigger - high) // reach, (trigger - low) // reach
     n = k1 - k0 + 1
     k = np.repeat(k0, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    ends, doc, low, high = (np.repeat(a, n) for a in (ends, doc, low, high))
-    near, far = np.maximum(TRIGGER, REACH * k + 1), np.minimum(REACH * (k + 1), length)
-    low, high = np.maximum(low, ends - far), np.minimum(high, ends - near)
-    return (doc, low, high, ends - near, ends - far + length), (alone_doc, alone)
+    doc, low, high, trigger = (np.repeat(a, n) for a in (doc, low, high, trigger))
+    core = trigger - reach * k
+    far = np.minimum(reach * (k + 1) - 1, length - TRIGGER)
+    return doc, np.maximum(low, trigger - far), np.minimum(high, core), core, trigger - far + length
 
 
-def _parse(length: int):
+def _parse(length: int, reach: int):
     """mapInArrow function: documents (d, t, text) to rows (d, pos, k, c)."""
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches, 2):
             ids, prints, texts = (c.to_pylist() for c in b.columns)
             long_ = [i for i, t in enumerate(texts) if len(t) >= length]
             ids, prints, texts = ([a[i] for i in long_] for a in (ids, prints, texts))
@@ -114,27 +114,112 @@ def _parse(length: int):
                 data = b"".join(texts[lo:hi])
                 stop = np.cumsum([len(t) for t in texts[lo:hi]])
                 begin = np.append(0, stop[:-1])
-                (doc, low, high, core, core_end), (alone_doc, alone) = entries(data, begin, stop, length)
-                shape = ((core_end - core) << 20 | (core - low) << 10 | (high - low)).tolist()  # how windows lie around the phrase end
-                k = [_digest(data[a:e], _CORE) for a, e in zip(core.tolist(), core_end.tolist(), strict=True)]
+                doc, low, high, core, end = stretches(data, begin, stop, length, reach)
+                shape = ((core - low) * 512 + (high - low)).tolist()  # where the windows lie around the core
+                k = [_digest(data[a:e], _CORE) for a, e in zip(core.tolist(), end.tolist(), strict=True)]
                 c = [_digest(data[a : e + length], _CONTEXT + s) for a, e, s in zip(low.tolist(), high.tolist(), shape, strict=True)]
-                k += [_digest(data[a : a + length], _ALONE) for a in alone.tolist()]
-                c += [_digest(data[a : a + length], _ALONE + 1) for a in alone.tolist()]
-                doc = np.concatenate([doc, alone_doc])
-                first = np.concatenate([low, alone]) - begin[doc]
-                size = np.concatenate([high - low, np.zeros(len(alone), np.int64)])
-                pos = np.array(prints[lo:hi], np.int64)[doc] << 40 | first << 8 | size
+                pos = np.array(prints[lo:hi], np.int64)[doc] << 40 | low - begin[doc] << 8 | high - low
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(ids[lo:hi], np.int64)[doc]), pa.array(pos), pa.array(np.array(k, np.uint64).view(np.int64)), pa.array(np.array(c, np.uint64).view(np.int64))], ["d", "pos", "k", "c"])
 
     return run
 
 
+def _contexts(length: int, reach: int):
+    """mapInArrow function: (d, t, text, wanted) to rows (k, d, pos, w, before, after):
+    the bytes of the windows before the core's start and from it on."""
+
+    def run(batches):
+        for b in pieces(batches, 2):
+            out = []
+            for d, _, text, wanted, _ in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for x in wanted:
+                    first, size = x["pos"] >> 8 & 0xFFFFFFFF, x["pos"] & 0xFF
+                    trigger = int(triggers(text[first : first + length], length)[0])  # of the first window, so of all of them
+                    core = trigger - trigger // reach * reach
+                    out.append((x["k"], d, x["pos"], x["w"], text[first : first + core], text[first + core : first + size + length]))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            columns = zip(*out, strict=True) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["k", "d", "pos", "w", "before", "after"])
+
+    return run
+
+
+def _shared_lengths(strings: list[bytes], width: int) -> np.ndarray:
+    """How many leading bytes each string shares with the one before it."""
+    padded = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in strings), np.uint8).reshape(-1, width)
+    differ = padded[1:] != padded[:-1]
+    return np.append(0, np.where(differ.any(1), differ.argmax(1), width)) if width else np.zeros(len(strings), np.int64)
+
+
+def _ordered(keys: list, strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of (key, string), and the length shared with the string before (-1 where the key changes)."""
+    order = sorted(range(len(strings)), key=lambda i: (keys[i], strings[i].ljust(width, b"\0")))
+    shared = _shared_lengths([strings[i] for i in order], width)
+    group = np.array([keys[i] for i in order])
+    shared[np.append(True, group[1:] != group[:-1])] = -1
+    return np.array(order), shared
+
+
+def equal_windows(rows: list[tuple], length: int, reach: int = REACH) -> list[tuple[int, int]]:
+    """Repeated windows of contexts (k, d, pos, w, before, after), whole groups
+    of equal k: rows (d, pos) of the contexts with w = 1.
+
+    Window y of a context is the last y bytes of ``before`` and the first
+    ``length - y`` of ``after``: one class in the order of the reversed parts
+    before the core, one in that of the parts from it on."""
+    keys = [r[0] for r in rows]
+    left, left_shared = _ordered(keys, [r[4][::-1] for r in rows], reach)
+    right, right_shared = _ordered(keys, [r[5] for r in rows], length)
+    size = np.array([r[2] & 0xFF for r in rows])
+    most = np.array([len(r[4]) for r in rows])  # y of the first window; the last one's is smaller by size
+    weight = np.array([r[3] for r in rows])
+    hit = np.zeros((len(rows), reach), bool)
+    before, after = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+    for y in range(min(reach, int(most.max()) + 1)):
+        own = np.flatnonzero((most - size <= y) & (y <= most))
+        if len(own) < 2 and not (weight[own] > 1).any():
+            continue
+        before[left] = np.cumsum(left_shared < y)
+        after[right] = np.cumsum(right_shared < length - y)
+        _, which = np.unique(before[own] * (len(rows) + 1) + after[own], return_inverse=True)
+        hit[own, y] = np.bincount(which, weight[own])[which] > 1
+    out = []
+    for i in np.flatnonzero((weight == 1) & hit.any(1)).tolist():
+        first = (rows[i][2] >> 8 & 0xFFFFFFFF) + int(most[i])  # start of window y is this less y
+        starts = np.sort(first - np.flatnonzero(hit[i]))
+        for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
+            out.append((rows[i][1], rows[i][2] >> 40 << 40 | int(run[0]) << 8 | len(run) - 1))
+    return out
+
+
+def _resolve(length: int, reach: int):
+    """mapInArrow function: contexts sorted by k to repeated windows (d, pos)."""
+
+    def run(batches):
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        held: list[tuple] = []
+
+        def out():
+            found = equal_windows(held, length, reach)
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["d", "pos"])
+
+        for _, group in groupby(rows, key=lambda r: r[0]):
+            held += group  # at most GROUP contexts
+            if len(held) >= GROUP:
+                yield out()
+                held = []
+        if held:
+            yield out()
+
+    return run
+
+
 def _window_rows(length: int):
     """mapInArrow function: (d, t, text, wanted [(pos, w)]) to rows (h1, h2, w, d, pos) of single windows."""
 
     def run(batches):
-        for b in batches:
-            for d, t, text, wanted in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for b in pieces(batches, 2):
+            for d, t, text, wanted, _ in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 h1, h2, w, pos = [], [], [], []
                 for x in wanted:
                     first, size = x["pos"] >> 8 & 0xFFFFFFFF, x["pos"] & 0xFF
@@ -151,27 +236,34 @@ def _window_rows(length: int):
 def documents_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, d, t, text``: d and t (hash bits of the text) name a document."""
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text"))
-    return rows.select("id", F.coalesce("id", F.lit(-1).cast("bigint")).alias("d"), F.shiftrightunsigned(F.xxhash64("text"), 64 - _TEXT_BITS + 1).alias("t"), "text")
+    return rows.select("id", F.coalesce("id", F.lit(-1).cast("bigint")).alias("d"), F.shiftrightunsigned(F.xxhash64("text"), 64 - _TEXT_BITS).alias("t"), "text")
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_windows(docs: DataFrame, length: int = LENGTH, reach: int = REACH, group: int = GROUP) -> DataFrame:
     """``d, pos``: starts of windows that occur more than once; pos holds the
     text's hash bits, the first start and how many more follow it."""
-    rows = "d bigint, pos bigint, k bigint, c bigint"
-    parsed = docs.select("d", "t", "text").mapInArrow(_parse(length), rows)
+    parsed = docs.select("d", "t", "text").mapInArrow(_parse(length, reach), "d bigint, pos bigint, k bigint, c bigint")
     shared = parsed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
     open_ = cut(hot_join(parsed, shared, ["k"], "left_semi"))
 
     dictionary = open_.groupBy("k", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "pos")).alias("one"))
     whole = hot_join(open_, dictionary.where("n > 1").select("k", "c"), ["k", "c"], "left_semi").select("d", "pos")
-    torn = dictionary.groupBy("k").agg(F.max(F.col("n") == 1).alias("some")).where("some").select("k")
-    wanted = hot_join(dictionary, torn, ["k"], "left_semi").select("one.d", "one.pos", F.least("n", F.lit(2)).cast("int").alias("w"))
-    by_doc = wanted.groupBy("d", F.shiftright("pos", 40).alias("t")).agg(F.collect_list(F.struct("pos", "w")).alias("wanted"))  # entries of one document
-    single = docs.select("d", "t", "text").join(by_doc, ["d", "t"]).select("d", "t", "text", "wanted").mapInArrow(_window_rows(length), "h1 bigint, h2 bigint, w int, d bigint, pos bigint")
-    single = cut(single)
+    torn = dictionary.groupBy("k").agg(F.max(F.col("n") == 1).alias("some"), F.count(F.lit(1)).alias("contexts")).where("some").select("k", "contexts")
+    wanted = cut(hot_join(dictionary, torn, ["k"]).select("k", "contexts", "one.d", "one.pos", F.least("n", F.lit(2)).cast("int").alias("w")))
+
+    def at_texts(rows):
+        """The entries of each document with its text.  All of a document's
+        columns stay, so that these joins and the last one share one shuffle of the texts."""
+        by_doc = rows.groupBy("d", F.shiftright("pos", 40).alias("t")).agg(F.collect_list(F.struct("k", "pos", "w")).alias("wanted"))
+        return docs.join(by_doc, ["d", "t"]).select("d", "t", "text", "wanted", "id")
+
+    together = at_texts(wanted.where(F.col("contexts") <= group)).mapInArrow(_contexts(length, reach), "k bigint, d bigint, pos bigint, w int, before binary, after binary")
+    ordered = together.repartition("k").sortWithinPartitions("k").mapInArrow(_resolve(length, reach), "d bigint, pos bigint")
+
+    single = at_texts(wanted.where(F.col("contexts") > group)).mapInArrow(_window_rows(length), "h1 bigint, h2 bigint, w int, d bigint, pos bigint")
     twice = single.groupBy("h1", "h2").agg(F.sum("w").alias("n")).where("n > 1").select("h1", "h2")
-    parts = hot_join(single.where("w = 1"), twice, ["h1", "h2"], "left_semi").select("d", "pos")
-    return whole.unionByName(parts)
+    counted = hot_join(single.where("w = 1"), twice, ["h1", "h2"], "left_semi").select("d", "pos")
+    return whole.unionByName(ordered).unionByName(counted)
 
 
 def covered(positions: list[int], length: int) -> list[tuple[int, int]]:
@@ -188,7 +280,7 @@ def covered(positions: list[int], length: int) -> list[tuple[int, int]]:
 
 def _remove(length: int, with_text: bool):
     def run(batches):
-        for b in batches:
+        for b in pieces(batches, 1):
             out = []
             for ident, text, positions in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 runs = covered(positions or [], length)
@@ -205,11 +297,11 @@ def _remove(length: int, with_text: bool):
     return run
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = True, reach: int = REACH, group: int = GROUP) -> DataFrame:
     """Per row: id, ``n_bytes, n_removed, n_spans, kept_sha256`` and, if asked
     for, ``kept`` (remaining bytes) and ``spans`` (starts and ends of the removed runs)."""
     docs = documents_of(df, id_col, text_col)
-    found = repeated_windows(docs, length).groupBy("d", F.shiftright("pos", 40).alias("t")).agg(F.collect_list("pos").alias("positions"))  # of one document
+    found = repeated_windows(docs, length, reach, group).groupBy("d", F.shiftright("pos", 40).alias("t")).agg(F.collect_list("pos").alias("positions"))  # of one document
     joined = docs.join(found, ["d", "t"], "left").select("id", "text", "positions")
     done = joined.mapInArrow(_remove(length, with_text), "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<bigint>")
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "spans"] * with_text
