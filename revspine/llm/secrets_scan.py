@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, pieces
+
 # Fixed values of the scan's contract: kinds in their order, and patterns.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -32,7 +34,7 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")  # holds every access and hex match that is long enough
 SHORTEST = 20  # characters of a run that the models judge
-SAMPLE_DOCS = 4000  # bound of the documents that the models are trained on
+SAMPLE_DOCS = 8000  # bound of the documents that the models are trained on
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _INDEX = {c: k for k, c in enumerate(ALPHABET)}
 _WORD = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
@@ -125,7 +127,7 @@ def markov_spans(text: str, spans, model: dict) -> list[tuple[int, int, str]]:
 
 def _samples(batches):
     """Labelled words of a batch with their counts."""
-    for b in batches:
+    for b in pieces(batches, 0):
         found: dict[tuple[int, str], int] = {}
         for text in b.column(0).to_pylist():
             spans = base_spans(text)
@@ -140,22 +142,15 @@ def _samples(batches):
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> dict:
-    """Models from about ``sample_docs`` documents of smallest id hash and as
-    many again of those with a keyword; the driver gets bounded word counts."""
-    rows = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.abs(F.xxhash64(F.lit(4), F.col(id_col))).alias("h"))
-    low = F.lower("text")
-    keyword = F.col("text").contains("AKIA")
-    for word in _KEYWORDS:
-        keyword = keyword | low.contains(word)
-    sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(keyword).alias("k")).first()
-    if not sizes["n"]:
-        return train({}, {})
-    share = lambda n: F.lit(min(2**63 - 1, (2**63 - 1) * sample_docs // max(1, n)))
-    drawn = rows.where((F.col("h") <= share(sizes["n"])) | (keyword & (F.col("h") <= share(sizes["k"]))))
-    counted = drawn.select("text").mapInArrow(_samples, "label int, word string, n bigint").groupBy("label", "word").agg(F.sum("n").alias("n"))
-    plain = {r["word"]: r["n"] for r in counted.where("label = 0").orderBy(F.desc("n"), "word").limit(50_000).collect()}
-    strange = {r["word"]: r["n"] for r in counted.where("label = 1").orderBy("word").limit(20_000).collect()}
-    return train(strange, plain)
+    """Models from about ``sample_docs`` documents of smallest id hash; the
+    driver gets bounded word counts."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    n = rows.count()
+    most = min(2**63 - 1, -(2**63) + 2**64 * sample_docs // max(1, n))
+    drawn = rows.where(F.col("text").isNotNull() & (F.xxhash64(F.lit(4), "id") <= F.lit(most)))
+    counted = cut(drawn.select("text").mapInArrow(_samples, "label int, word string, n bigint").groupBy("label", "word").agg(F.sum("n").alias("n")))
+    take = lambda label, most: {r["word"]: r["n"] for r in counted.where(F.col("label") == label).orderBy(F.desc("n"), "word").limit(most).collect()}
+    return train(take(1, 20_000), take(0, 50_000))
 
 
 def _text_of(spans) -> str:
@@ -168,7 +163,7 @@ def scan(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "te
     order = {k: n for n, k in enumerate((*KINDS, "markov"))}
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches, 1):
             out = []
             for text in b.column(1).to_pylist():
                 base = base_spans(text)
