@@ -40,9 +40,11 @@ def first_item(arr) -> Column:
 
 
 def interval_count(recurring) -> Column:
-    """``recurring.interval_count`` defaulting to 1 only when ``recurring`` exists."""
+    """``recurring.interval_count`` defaulting to 1, but only when
+    ``recurring`` holds something: an empty object counts as absent (NULL)."""
     r = _c(recurring)
-    return F.when(r.isNotNull(), F.coalesce(r.getField("interval_count"), F.lit(1).cast("bigint")))
+    count, interval = r.getField("interval_count"), r.getField("interval")
+    return F.when(count.isNotNull() | interval.isNotNull(), F.coalesce(count, F.lit(1).cast("bigint")))
 
 
 def stamp(now) -> Column:

@@ -1,14 +1,9 @@
-"""Subscription x month activity (J4) and the two expanding aggregation forms.
+"""Subscription x month activity.
 
-``active_sub_months`` is the operator whose *output* is the pairs themselves
-(the full query's ``mrr_by_sub_month``), so it expands each window into its
-months with ``explode(sequence(first, last))``: work proportional to the
-output, no comparison of every window with every month.
-
-``monthly_by_explode`` (form B) and ``monthly_by_cross`` (form A, the literal
-cross join + range filter) aggregate those pairs with exact distinct counts.
-They are kept as independent partners of the delta form in tests; the query
-plans use ``interval_agg`` instead.
+``active_sub_months`` is the operator whose *output* is the pairs themselves,
+so it expands each window into its months with ``explode(sequence(first,
+last))``: work proportional to the output, no comparison of every window with
+every month.  No aggregate is computed from it (see ``interval_agg``).
 """
 
 from __future__ import annotations
@@ -17,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import index_month
-from ..functions.predicates import not_ended, started_by
 from .windows import month_ranges
 
 PAIR_COLUMNS = ("subscription_id", "customer_id", "monthly_amount_cents", "status", "plan_interval")
@@ -29,23 +23,3 @@ def active_sub_months(windows: DataFrame, bounds: DataFrame,
     ranges = month_ranges(windows, bounds)
     expanded = ranges.select(F.explode(F.sequence("first_idx", "last_idx")).alias("idx"), *columns)
     return expanded.select(index_month("idx").alias("month_start"), *columns)
-
-
-def _aggregate_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("month_start").agg(
-        F.countDistinct("subscription_id").alias("active_subscriptions"),
-        F.countDistinct("customer_id").alias("active_customers"),
-        F.sum("monthly_amount_cents").alias("mrr_cents"))
-
-
-def monthly_by_explode(windows: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Form B: expand, then exact distinct counts per month."""
-    cols = ("subscription_id", "customer_id", "monthly_amount_cents")
-    return _aggregate_pairs(active_sub_months(windows, bounds, cols))
-
-
-def monthly_by_cross(windows: DataFrame, spine: DataFrame) -> DataFrame:
-    """Form A: the reference's literal plan, spine CROSS JOIN windows + range filter."""
-    pairs = (F.broadcast(spine).crossJoin(windows)
-             .filter(started_by("start_date", "month_start") & not_ended("end_date", "month_start")))
-    return _aggregate_pairs(pairs)

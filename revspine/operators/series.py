@@ -21,11 +21,6 @@ def prev_value(col: str = "mrr_amount", order: str = "month") -> Column:
     return F.lag(col).over(_order(order))
 
 
-def with_prev(df: DataFrame, col: str = "mrr_amount", order: str = "month",
-              out: str = "prev_month_mrr") -> DataFrame:
-    return df.withColumn(out, prev_value(col, order))
-
-
 def change(cur: Column, prev: Column) -> Column:
     """Change against the previous month, two decimals; no previous month counts as 0."""
     return F.round(cur - F.coalesce(prev, F.lit(0.0)), 2)
@@ -36,16 +31,6 @@ def change_pct_rounded(cur: Column, prev: Column) -> Column:
     return F.when(prev != 0, F.round((cur - prev) / prev * 100, 1))
 
 
-def with_change(df: DataFrame, col: str = "mrr_amount", prev: str = "prev_month_mrr",
-                out: str = "mrr_change") -> DataFrame:
-    return df.withColumn(out, change(F.col(col), F.col(prev)))
-
-
-def with_change_pct(df: DataFrame, col: str = "mrr_amount", prev: str = "prev_month_mrr",
-                    out: str = "mrr_change_pct") -> DataFrame:
-    return df.withColumn(out, change_pct_rounded(F.col(col), F.col(prev)))
-
-
 def change_pct(cur: Column, prev: Column) -> Column:
     """Unrounded ``(cur - prev) / prev * 100``; NULL without a previous value or
     when it is 0 (T13: NULL, never Infinity/NaN)."""

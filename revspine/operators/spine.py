@@ -22,20 +22,10 @@ from ..functions.dates import as_of_date, index_month, month_index, utc_date
 START, END = "spine_start_idx", "spine_end_idx"
 
 
-def min_created(subs: DataFrame, col: str = "created_at") -> DataFrame:
-    """A5: one-row global ``MIN(DATE(created_at))``, computed as
-    ``DATE(MIN(created_at))`` - the same value, since ``DATE`` is monotonic -
-    so the scan aggregates the raw column and converts one value, not every row."""
-    return subs.agg(utc_date(F.min(col)).alias("first_created"))
-
-
-def first_created(subs: DataFrame, col: str = "created_at") -> Column:
-    """The same minimum as an uncorrelated scalar-subquery column."""
-    return min_created(subs, col).scalar()
-
-
 def month_bounds(subs: DataFrame, as_of=None) -> DataFrame:
-    """One row: first and last spine month as month indices (``functions.dates``)."""
+    """One row (A5, J5, C6): first and last spine month as month indices.  The
+    first is that of ``DATE(MIN(created_at))``, the same as ``MIN(DATE(created_at))``,
+    so the scan aggregates the raw column and converts one value, not every row."""
     return subs.agg(month_index(utc_date(F.min("created_at"))).alias(START),
                     month_index(as_of_date(as_of)).alias(END))
 

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+#: Text of a landed line that is no record of the declared schema; NULL for a good one.
+CORRUPT = "_corrupt_record"
+
 S, L, B, TS, D = T.StringType(), T.LongType(), T.BooleanType(), T.TimestampType(), T.DoubleType()
 
 
@@ -18,6 +21,7 @@ def _schema(fields, required):
     return T.StructType([T.StructField(n, t, n not in required) for n, t in fields])
 
 
+# Names, types and REQUIRED marks of both warehouse tables.
 SUBSCRIPTIONS_REQUIRED = ("subscription_id", "customer_id", "extracted_at")
 SUBSCRIPTIONS = _schema([
     ("subscription_id", S), ("customer_id", S), ("customer_email", S), ("customer_name", S),
@@ -36,6 +40,9 @@ INVOICES = _schema([
     ("extracted_at", TS),
 ], INVOICES_REQUIRED)
 
+SUBSCRIPTION_COLUMNS = tuple(SUBSCRIPTIONS.fieldNames())
+INVOICE_COLUMNS = tuple(INVOICES.fieldNames())
+
 REQUIRED = {"subscriptions": SUBSCRIPTIONS_REQUIRED, "invoices": INVOICES_REQUIRED}
 TABLES = {"subscriptions": SUBSCRIPTIONS, "invoices": INVOICES}
 
@@ -72,7 +79,7 @@ MANIFEST_ENTRY = T.StructType([
     T.StructField("plan", S), T.StructField("amount", L), T.StructField("interval", S),
     T.StructField("clock_id", S), T.StructField("status", S)])
 
-# The reference's manifest file: one JSON object holding a ``customers`` array.
+# A manifest as one document: a JSON object holding a ``customers`` array.
 MANIFEST_DOCUMENT = T.StructType([
     T.StructField("num_customers", L),
     T.StructField("customers", T.ArrayType(MANIFEST_ENTRY))])

@@ -7,9 +7,6 @@ division by a zero interval count fails loudly instead of producing ``inf``.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
@@ -59,20 +56,3 @@ def ensure_utc(spark: SparkSession) -> None:
     """The engine computes calendar dates in UTC; enforce it on a session."""
     if spark.conf.get("spark.sql.session.timeZone") != UTC:
         spark.conf.set("spark.sql.session.timeZone", UTC)
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
-
-    A cluster names it in ``spark.checkpoint.dir``; it is read from the
-    session and used as is.  Only when it is unset (local runs, tests) is a
-    fresh scratch folder created and registered.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="revspine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d

@@ -1,7 +1,9 @@
 """Test inputs derived by fixed rules from the driver's TPC-H-like tables.
 
-The reference ships no data; its inputs are two billing tables, a manifest and
-raw nested records.  Each is derived here from ``orders``, ``customer`` and
+The engine's inputs are two billing tables, a manifest and raw nested records,
+with the flaws of a real landing zone: copies of records, broken lines,
+repeated manifest entries, unknown ids, invoices that two customers share.
+Each is derived here from ``orders``, ``customer`` and
 ``lineitem`` (FIXTURES.md), twice: as Spark DataFrames (what the engine runs)
 and as DuckDB SQL (what the oracle runs).  Every derivation is a projection or
 a key join of the given tables, so its size grows with them.
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.extract import stamp
+from ..schemas import SUBSCRIPTION_COLUMNS
 
 # Fixed values of the derivation rules (FIXTURES.md).
 AS_OF = "2002-03-01"
@@ -25,50 +28,34 @@ PLAN_AMOUNTS = (2900, 7900, 19900, 49900, 79000, 199000, 21000, 1550, 333)  # by
 ALT_AMOUNT = 5000  # k % 10 = 9 and k % 4 != 1
 MISSING_SUB_EVERY = 1000  # extra manifest entry sub_missing_k when k % 1000 = 0
 MISSING_CUSTOMER_AT = 500  # extra manifest entry with cus_missing_k when k % 1000 = 500
+REPEATED_EVERY = 250  # the entry once more when k % 250 = 1
+COPY_EVERY = 97  # a second subscription record when k % 97 = 0, ...
+COPY_WINS_EVERY = 194  # ... which sorts after the first when k % 194 = 0
+CUSTOMER_COPY_EVERY = 89  # a second, nameless customer record when c_custkey % 89 = 0
+BROKEN_EVERY, BROKEN_AT = 777, 5  # an extra line that breaks off
+SHARED_EVERY, SHARED_AT = 333, 7  # line 1 of the order is invoiced to the next customer as well
+DOCUMENT_KEYS = 100  # order keys of one manifest document
 CLOCKS = 25
 URL_PREFIX = "https://example.com/"
 
+# The demo series whose figures are known (tests only).
 GOLDEN_SERIES = [
     ("2025-09", 4280.0, 52, 48), ("2025-10", 5120.0, 58, 53), ("2025-11", 5890.0, 62, 56),
     ("2025-12", 6430.0, 65, 59), ("2026-01", 7150.0, 70, 63), ("2026-02", 7680.0, 73, 66),
 ]
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> str:
-    try:
-        return f"{spark.sparkContext.applicationId}/{id(spark)}"
-    except Exception:  # no SparkContext view (Spark Connect)
-        return str(id(spark))
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, resolved once per session: every fixture reuses the same
-    relation instead of inferring the Parquet schema again (a small job each)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (_session_key(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give heavy per-row work at least the session's parallelism.
-
-    A Parquet row group is the unit of a scan split, and the driver's test
-    files hold a single row group each, so their scans are one task.  Before
-    the JSON building below (the one expensive per-row step of the fixtures),
-    such an under-split input is hash-partitioned on ``keys`` (deterministic,
-    no pre-sort).  An input that already has enough splits - any table of real
-    size - is returned untouched, so no shuffle is added at scale."""
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the plan as is
-        return df
-    return df.repartition(n, *keys) if splits < n else df
+    """Deal rows out by key before the heavy per-row work below (JSON building).
+
+    A Parquet row group is the unit of a scan split, and the given files hold
+    few of them.  The same plan at every size; the inputs derived here stand in
+    for stored tables, which need no such step."""
+    return df.repartition(*keys)
 
 
 def _days(n) -> F.Column:
@@ -152,22 +139,11 @@ def _subscription_rows(spark: SparkSession, sf_dir: str, with_customer: bool = T
         "canceled_at", "cancel_at_period_end", "ended_at", "trial_start", "trial_end", "extracted_at")
 
 
-SUBSCRIPTION_COLUMNS = (
-    "subscription_id", "customer_id", "customer_email", "customer_name", "status", "price_id",
-    "product_id", "plan_amount", "plan_interval", "plan_interval_count", "currency", "quantity",
-    "created_at", "current_period_start", "current_period_end", "canceled_at",
-    "cancel_at_period_end", "ended_at", "trial_start", "trial_end", "extracted_at")
-INVOICE_COLUMNS = (
-    "invoice_id", "customer_id", "subscription_id", "status", "amount_due", "amount_paid",
-    "currency", "period_start", "period_end", "created_at", "paid_at", "hosted_invoice_url",
-    "extracted_at")
-
-
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices (13 columns) from ``lineitem`` joined to ``orders``, before dedup,
-    plus the line's ``l_partkey``/``l_suppkey`` for the "first seen" order."""
+    plus ``l_orderkey``, ``l_linenumber``, ``l_partkey`` and ``o_custkey``."""
     li = spread(_read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
         "l_returnflag", "l_shipdate"), "l_orderkey", "l_linenumber")
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
@@ -191,13 +167,13 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status == "paid", created + _days(F.lit(3))).alias("paid_at"),
         F.concat(F.lit(URL_PREFIX), inv_id).alias("hosted_invoice_url"),
         stamp(EXTRACTED_AT).alias("extracted_at"),
-        "l_partkey", "l_suppkey")
+        "l_orderkey", "l_linenumber", "l_partkey", "o_custkey")
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest entries, one per order at position ``2k``, plus entries that
-    must fail: ``sub_missing_k`` (k % 1000 = 0) and ``cus_missing_k``
-    (k % 1000 = 500), both at position ``2k + 1``."""
+    """Manifest entries, one per order at position ``2k``, and at position
+    ``2k + 1`` entries that must fail, ``sub_missing_k`` (k % 1000 = 0) and
+    ``cus_missing_k`` (k % 1000 = 500), or that repeat the first (k % 250 = 1)."""
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     k = F.col("o_orderkey")
     cust = _sid("cus_", F.col("o_custkey"))
@@ -208,7 +184,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((k * 2 + 1).alias("position"), extra_cust.alias("customer_id"),
                  extra_sub.alias("subscription_id")))
     keep = F.col("position") % 2 == 0
-    keep = keep | (F.col("k") % MISSING_SUB_EVERY).isin(0, MISSING_CUSTOMER_AT)
+    keep = keep | (F.col("k") % MISSING_SUB_EVERY).isin(0, MISSING_CUSTOMER_AT) | (F.col("k") % REPEATED_EVERY == 1)
     rows = o.select(k.alias("k"), F.col("o_custkey"), F.inline(entries)).filter(keep)
     return rows.select(
         "position", "customer_id", "subscription_id",
@@ -242,47 +218,85 @@ def _raw_json(fields, time_fields, epoch: F.Column) -> F.Column:
             .otherwise(F.to_json(F.struct(*fields, *times(False))))
 
 
+def _broken(prefix: str, key, where) -> F.Column:
+    """A line that breaks off, where the condition holds."""
+    return F.when(where, F.concat(F.lit('{"id": "' + prefix), key.cast("string"), F.lit('", "status": ')))
+
+
+def _lines(df: DataFrame, *values) -> DataFrame:
+    """One row of JSON text per value that is not NULL."""
+    return df.select(F.explode(F.array_compact(F.array(*values))).alias("value"))
+
+
 def raw_subscription_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw subscription objects as JSON text (column ``value``).
 
     ``items.data`` is empty when the plan amount is NULL; ``recurring`` is
-    absent for k % 10 = 9; ``quantity`` and ``interval_count`` are absent when
-    they are 1 / NULL."""
+    an empty object for k % 10 = 9; ``quantity`` and ``interval_count`` are
+    absent when they are 1 / NULL.  Some orders give a second record in another
+    currency, some an extra broken line."""
     r = _subscription_rows(spark, sf_dir, with_customer=False)
     k = F.col("k")
-    recurring = F.when(k % 10 != 9, F.struct(F.col("plan_interval").alias("interval"),
-                                             F.col("plan_interval_count").alias("interval_count")))
+    present = k % 10 != 9
+    recurring = F.struct(F.when(present, F.col("plan_interval")).alias("interval"),
+                         F.when(present, F.col("plan_interval_count")).alias("interval_count"))
     item = F.struct(F.when(F.col("quantity") != 1, F.col("quantity")).alias("quantity"),
                     F.struct(F.col("price_id").alias("id"), F.col("product_id").alias("product"),
                              F.col("plan_amount").alias("unit_amount"), recurring.alias("recurring")).alias("price"))
     items = F.struct(F.filter(F.array(item), lambda _: F.col("plan_amount").isNotNull()).alias("data"))
-    fields = [F.col("subscription_id").alias("id"), "status", "currency", items.alias("items"),
-              "cancel_at_period_end"]
     times = {"created": F.col("created_at")} | {
         n: F.col(n) for n in ("current_period_start", "current_period_end", "canceled_at", "ended_at",
                               "trial_start", "trial_end")}
-    return r.select(_raw_json(fields, times, k % 2 == 0).alias("value"))
+
+    def record(currency):
+        fields = [F.col("subscription_id").alias("id"), "status", currency.alias("currency"), items.alias("items"), "cancel_at_period_end"]
+        return _raw_json(fields, times, k % 2 == 0)
+
+    other = F.when(k % COPY_WINS_EVERY == 0, F.lit("xts")).otherwise(F.lit("eur"))
+    return _lines(r, record(F.col("currency")), F.when(k % COPY_EVERY == 0, record(other)), _broken("sub_", k, k % BROKEN_EVERY == BROKEN_AT))
 
 
 def raw_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw customer objects as JSON text (column ``value``)."""
+    """Raw customer objects as JSON text (column ``value``), some twice, some broken."""
     c = _read(spark, sf_dir, "customer")
-    name = F.col("c_name")
-    obj = F.struct(_sid("cus_", F.col("c_custkey")).alias("id"),
-                   F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
-                   name.alias("name"))
-    return c.select(F.to_json(obj).alias("value"))
+    k, name = F.col("c_custkey"), F.col("c_name")
+    email = F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com"))
+
+    def record(shown):
+        return F.to_json(F.struct(_sid("cus_", k).alias("id"), email.alias("email"), shown.alias("name")))
+
+    return _lines(c, record(name), F.when(k % CUSTOMER_COPY_EVERY == 0, record(F.lit(None).cast("string"))),
+                  _broken("cus_", k, k % BROKEN_EVERY == BROKEN_AT))
 
 
 def raw_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw invoice objects as JSON text (column ``value``), duplicates included."""
+    """Raw invoice objects as JSON text (column ``value``), duplicates included;
+    some are invoiced to two customers, some orders add a broken line."""
     li = invoice_lines(spark, sf_dir)
-    fields = [F.col("invoice_id").alias("id"), F.col("customer_id").alias("customer"),
-              F.col("subscription_id").alias("subscription"), "status", "amount_due", "amount_paid", "currency",
-              "hosted_invoice_url"]
+    first = F.col("l_linenumber") == 1
     times = {"period_start": F.col("period_start"), "period_end": F.col("period_end"),
              "created": F.col("created_at"), "status_transitions": {"paid_at": F.col("paid_at")}}
-    return li.select(_raw_json(fields, times, F.col("l_partkey") % 2 == 0).alias("value"))
+
+    def record(customer):
+        fields = [F.col("invoice_id").alias("id"), customer.alias("customer"), F.col("subscription_id").alias("subscription"),
+                  "status", "amount_due", "amount_paid", "currency", "hosted_invoice_url"]
+        return _raw_json(fields, times, F.col("l_partkey") % 2 == 0)
+
+    k = F.col("l_orderkey")
+    return _lines(li, record(F.col("customer_id")),
+                  F.when(first & (k % SHARED_EVERY == SHARED_AT), record(_sid("cus_", F.col("o_custkey") + 1))),
+                  _broken("in_", k, first & (k % BROKEN_EVERY == BROKEN_AT)))
+
+
+def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest as documents of at most 100 order keys each: ``document``
+    (their order) and ``value`` (JSON text with a ``customers`` array)."""
+    m = manifest(spark, sf_dir)
+    entry = F.struct("customer_id", "subscription_id", "plan", "amount", "interval", "clock_id", "status")
+    grouped = (m.withColumn("document", F.expr(f"position div {2 * DOCUMENT_KEYS}"))
+                .groupBy("document").agg(F.array_sort(F.collect_list(F.struct("position", entry.alias("entry")))).alias("es")))
+    body = F.struct(F.size("es").cast("bigint").alias("num_customers"), F.transform("es", lambda e: e["entry"]).alias("customers"))
+    return grouped.select("document", F.to_json(body).alias("value"))
 
 
 def golden_series(spark: SparkSession) -> DataFrame:
@@ -352,8 +366,23 @@ subscriptions AS (
     FROM sub_dates LEFT JOIN customer c ON c.c_custkey = sub_dates.o_custkey
 )"""
 
+SQL_MANIFEST = f"""
+manifest AS (
+    SELECT 2 * o_orderkey AS position, 'cus_' || CAST(o_custkey AS VARCHAR) AS customer_id,
+           'sub_' || CAST(o_orderkey AS VARCHAR) AS subscription_id, o_orderkey AS k, o_custkey
+    FROM orders
+    UNION ALL
+    SELECT 2 * o_orderkey + 1,
+           CASE WHEN o_orderkey % {MISSING_SUB_EVERY} = {MISSING_CUSTOMER_AT} THEN 'cus_missing_' || CAST(o_orderkey AS VARCHAR)
+                ELSE 'cus_' || CAST(o_custkey AS VARCHAR) END,
+           CASE WHEN o_orderkey % {MISSING_SUB_EVERY} = 0 THEN 'sub_missing_' || CAST(o_orderkey AS VARCHAR)
+                ELSE 'sub_' || CAST(o_orderkey AS VARCHAR) END, o_orderkey, o_custkey
+    FROM orders
+    WHERE o_orderkey % {MISSING_SUB_EVERY} IN (0, {MISSING_CUSTOMER_AT}) OR o_orderkey % {REPEATED_EVERY} = 1
+)"""
+
 SQL_INVOICE_LINES = f"""
-invoice_lines AS (
+one_invoice AS (
     SELECT 'in_' || CAST(l.l_orderkey AS VARCHAR) || '_' || CAST(l.l_linenumber AS VARCHAR) AS invoice_id,
            'cus_' || CAST(o.o_custkey AS VARCHAR) AS customer_id,
            'sub_' || CAST(o.o_orderkey AS VARCHAR) AS subscription_id,
@@ -367,6 +396,12 @@ invoice_lines AS (
            CASE WHEN l.l_returnflag = 'A' THEN CAST(l.l_shipdate AS TIMESTAMP) + INTERVAL '3' DAY END AS paid_at,
            '{URL_PREFIX}in_' || CAST(l.l_orderkey AS VARCHAR) || '_' || CAST(l.l_linenumber AS VARCHAR) AS hosted_invoice_url,
            TIMESTAMP '{EXTRACTED_AT}' AS extracted_at,
-           l.l_partkey, l.l_suppkey
+           l.l_orderkey, l.l_linenumber, o.o_custkey
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),
+invoice_lines AS (
+    SELECT * FROM one_invoice
+    UNION ALL
+    SELECT * REPLACE ('cus_' || CAST(o_custkey + 1 AS VARCHAR) AS customer_id) FROM one_invoice
+    WHERE l_linenumber = 1 AND l_orderkey % {SHARED_EVERY} = {SHARED_AT}
 )"""

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from revspine.plans.mrr import monthly_mrr
+from forms import mrr_by
 from conftest import make_subs
 
 STATUSES = ["active", "past_due", "canceled", "trialing", "incomplete", None]
@@ -43,7 +43,7 @@ def random_subs(spark, seed, n=25):
 def test_forms_agree(spark, seed):
     subs = random_subs(spark, seed)
     for mode in ("full", "view", "api"):
-        got = {m: [tuple(r) for r in monthly_mrr(subs, mode, "2024-09-30", m).collect()]
+        got = {m: [tuple(r) for r in mrr_by(subs, mode, "2024-09-30", m).collect()]
                for m in ("delta", "explode", "cross")}
         assert got["delta"] == got["cross"], (mode, seed)
         assert got["explode"] == got["cross"], (mode, seed)

@@ -2,14 +2,14 @@
 
 import pytest
 
-from revspine.plans.mrr import METHODS, monthly_mrr
+from forms import METHODS, mrr_by
 from conftest import make_subs
 
 AS_OF = "2024-06-15"
 
 
 def run(subs, mode="view", method="delta"):
-    return [tuple(r) for r in monthly_mrr(subs, mode, AS_OF, method).collect()]
+    return [tuple(r) for r in mrr_by(subs, mode, AS_OF, method).collect()]
 
 
 def all_forms(subs, mode="view"):
@@ -147,7 +147,7 @@ def test_t13_zero_previous_month_gives_null_percent(spark):
     rows = run(subs, "full")
     assert [r[0] for r in rows][:3] == ["2024-01", "2024-02", "2024-03"]
     assert rows[2][5] == 0.0 and rows[2][7] is None  # previous month 0 -> NULL, never Infinity
-    series = monthly_mrr(subs, "api", AS_OF)
+    series = mrr_by(subs, "api", AS_OF, "delta")
     b = report.monthly_breakdown(series).collect()
     assert b[2].mom_change_pct is None and b[2].change_text == "—"
 

@@ -8,9 +8,11 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
 from oracle_check import TABLES, _rows  # noqa: E402
 
+from revspine.plans.registry import oracle_sql, queries  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 

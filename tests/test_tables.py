@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from revspine.operators.extract import extract_subscriptions, flatten_subscription_records
+from revspine.operators.report import dashboard
 from revspine.plans.etl import etl_full_refresh
 from revspine.schemas import RAW_CUSTOMER, RAW_SUBSCRIPTION
 from revspine.sources import fixtures as fx
 from revspine.sources.raw import parse_json, read_manifest, read_raw_subscriptions
-from revspine.sources.tables import SchemaViolation, create_mrr_view, ensure_tables, full_refresh
+from revspine.sources.tables import SchemaViolation, create_mrr_view, ensure_tables, full_refresh, stage
 from conftest import make_subs
 
 SMOKE = "/root/testdata/sf0.001"
@@ -46,12 +47,60 @@ def test_null_in_required_fails_before_write(spark, db):
     assert spark.table(f"{db}.subscriptions").count() == 1
 
 
-def test_view_over_loaded_table(spark, db):
+def _folders(db, spark):
+    root = spark.sql(f"DESCRIBE DATABASE {db}").filter("info_name = 'Location'").first()["info_value"].removeprefix("file:")
+    return sorted(os.listdir(root)), root
+
+
+def test_required_columns_are_marked_in_the_catalog(spark, db):
+    def marked():
+        return {c.name for c in spark.catalog.listColumns(f"{db}.subscriptions") if c.description == "REQUIRED"}
+
+    assert marked() == {"subscription_id", "customer_id", "extracted_at"}
+    full_refresh(make_subs(spark, [dict(created_at="2024-01-02")]), "subscriptions", db)
+    assert marked() == {"subscription_id", "customer_id", "extracted_at"}  # a load keeps the declared schema
+
+
+def test_loads_keep_the_folder_before_and_no_more(spark, db):
+    for n in (1, 2, 4, 3):
+        full_refresh(make_subs(spark, [dict(created_at="2024-01-02")] * n), "subscriptions", db)
+    names, _ = _folders(db, spark)
+    assert len([f for f in names if f.startswith("subscriptions")]) == 2
+    assert spark.table(f"{db}.subscriptions").count() == 3
+
+
+def test_failing_write_leaves_the_old_table(spark, db):
+    full_refresh(make_subs(spark, [dict(created_at="2024-01-02")]), "subscriptions", db)
+    before = _folders(db, spark)[0]
+    bad = make_subs(spark, [dict(created_at="2024-01-02")] * 50).withColumn("quantity", F.expr("CAST(raise_error('lost in the middle') AS BIGINT)"))
+    with pytest.raises(Exception, match="lost in the middle"):
+        full_refresh(bad, "subscriptions", db)
+    assert spark.table(f"{db}.subscriptions").count() == 1 and _folders(db, spark)[0] == before
+
+
+def test_staged_rows_are_invisible_until_published(spark, db):
+    full_refresh(make_subs(spark, [dict(created_at="2024-01-02")]), "subscriptions", db)
+    staged = stage(make_subs(spark, [dict(created_at="2024-01-02")] * 4), "subscriptions", db)
+    assert spark.table(f"{db}.subscriptions").count() == 1 and staged.rows.count() == 4
+    assert staged.publish() == 4 and spark.table(f"{db}.subscriptions").count() == 4
+
+
+def test_view_is_kept_by_the_catalog(spark, db):
     subs = make_subs(spark, [dict(created_at="2024-01-15", plan_amount=1000)])
     full_refresh(subs, "subscriptions", db)
     rows = create_mrr_view(spark, db, as_of="2024-03-01").collect()
     assert [r.month for r in rows] == ["2024-01", "2024-02", "2024-03"]
-    assert spark.table("v_monthly_mrr").count() == 3
+    other = spark.newSession()
+    assert other.table(f"{db}.v_monthly_mrr").count() == 3
+    full_refresh(make_subs(spark, [dict(created_at="2024-02-15")]), "subscriptions", db)
+    other.catalog.refreshTable(f"{db}.subscriptions")
+    assert [r.month for r in other.table(f"{db}.v_monthly_mrr").collect()] == ["2024-02", "2024-03"]  # run again on every read
+
+
+def test_dashboard_panels(spark):
+    panels = dashboard(fx.golden_series(spark))
+    assert set(panels) == {"kpi_cards", "series_span", "monthly_breakdown", "mrr_trend", "report_text"}
+    assert panels["report_text"].first().current_mrr_text == "$7,680" and panels["mrr_trend"].count() == 6
 
 
 def _lines(path, objs):
@@ -73,6 +122,7 @@ def test_flatten_defaults_and_first_item(spark):
         {"id": "sub_c", "items": {"data": [{"price": {"id": "p3", "unit_amount": 500}}]}, "canceled_at": None},
         {"id": "sub_d", "items": {"data": [{"price": {"id": "p4", "unit_amount": 500,
                                                       "recurring": {"interval": "week"}}}]}},
+        {"id": "sub_e", "items": {"data": [{"price": {"id": "p5", "unit_amount": 500, "recurring": {}}}]}},
     ])
     now = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     rows = {r.subscription_id: r for r in flatten_subscription_records(read_raw_subscriptions(spark, d), now).collect()}
@@ -83,6 +133,7 @@ def test_flatten_defaults_and_first_item(spark):
     assert b.created_at == dt.datetime(2024, 1, 1) and b.cancel_at_period_end is False
     assert (c.price_id, c.plan_interval, c.plan_interval_count, c.quantity) == ("p3", None, None, 1)
     assert (e.plan_interval, e.plan_interval_count) == ("week", 1)
+    assert (rows["sub_e"].plan_interval, rows["sub_e"].plan_interval_count) == (None, None)  # an empty object counts as absent
     assert {r.extracted_at for r in rows.values()} == {dt.datetime(2024, 2, 1)}
 
 
@@ -97,7 +148,7 @@ def test_manifest_document_and_missing_lookups(spark):
          "interval": "month", "clock_id": "clk", "status": "active"}]}
     with open(os.path.join(d, "manifest.json"), "w") as f:
         json.dump(doc, f, indent=2)
-    m = read_manifest(spark, os.path.join(d, "manifest.json"))
+    m = read_manifest(spark, os.path.join(d, "manifest.json"), lines=False)
     assert [(r.position, r.subscription_id) for r in m.orderBy("position").collect()] == [
         (0, "sub_1"), (1, "sub_missing"), (2, "sub_1")]
     subs = spark.createDataFrame([('{"id":"sub_1","status":"active"}',)], "value string")
@@ -114,9 +165,10 @@ def test_etl_full_refresh_end_to_end(spark, db):
     fx.raw_invoice_lines(spark, SMOKE).write.text(os.path.join(land, "invoices"))
     fx.manifest(spark, SMOKE).write.json(os.path.join(land, "manifest"))
     exports = tempfile.mkdtemp(prefix="revspine-exports-")
-    n = etl_full_refresh(spark, land, db, now=fx.EXTRACTED_AT, export_dir=exports, manifest_lines=True)
-    orders = spark.read.parquet(f"{SMOKE}/orders.parquet").count()
-    assert n["subscriptions"] == orders
+    n = etl_full_refresh(spark, land, db, now=fx.EXTRACTED_AT, export_dir=exports)
+    orders = extract_subscriptions(fx.manifest(spark, SMOKE), parse_json(fx.raw_subscription_lines(spark, SMOKE), RAW_SUBSCRIPTION),
+                                   parse_json(fx.raw_customer_lines(spark, SMOKE), RAW_CUSTOMER), fx.EXTRACTED_AT).count()
+    assert n["subscriptions"] == orders >= spark.read.parquet(f"{SMOKE}/orders.parquet").count()
     expected_inv = (spark.read.parquet(f"{SMOKE}/lineitem.parquet")
                     .select("l_orderkey", "l_linenumber").distinct().count())
     assert n["invoices"] == expected_inv
@@ -128,7 +180,7 @@ def test_etl_full_refresh_end_to_end(spark, db):
     for sub in ("subscriptions", "customers", "invoices", "manifest"):
         os.makedirs(os.path.join(empty, sub))
         open(os.path.join(empty, sub, "part-0.json"), "w").close()
-    assert etl_full_refresh(spark, empty, db, now=fx.EXTRACTED_AT, manifest_lines=True) == \
+    assert etl_full_refresh(spark, empty, db, now=fx.EXTRACTED_AT) == \
         {"subscriptions": 0, "invoices": 0}
     assert spark.table(f"{db}.subscriptions").count() == orders
 
@@ -141,6 +193,6 @@ def test_t20_empty_manifest_gives_empty_frames(spark):
     custs = parse_json(spark.createDataFrame([('{"id":"cus_1"}',)], "value string"), RAW_CUSTOMER)
     invs = parse_json(spark.createDataFrame([('{"id":"in_1","customer":"cus_1"}',)], "value string"), RAW_INVOICE)
     ex = extract(empty_manifest, subs, custs, invs, "2024-01-01 00:00:00")
-    assert ex.subscriptions.count() == 0 and ex.invoices.count() == 0 and ex.errors.count() == 0
+    assert ex.subscriptions.count() == 0 and ex.invoices.count() == 0 and ex.rejects.count() == 0
     assert [tuple(r) for r in ex.summary().orderBy("table_name").collect()] == [
-        ("invoices", 0, 0), ("subscriptions", 0, 0)]
+        ("invoices", 0, 0, 0), ("subscriptions", 0, 0, 0)]
