@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 
 import pyarrow as pa
@@ -10,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import hot_join  # noqa: F401  (shared by the operators here)
+
 #: White space of the text contracts: space, tab, LF, VT, FF, CR.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -69,19 +73,18 @@ def pieces(batches, column: int, limit: int = 4 << 20):
         sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_pylist()
         for lo, hi in chunks(sizes, int, limit):
             yield b.slice(lo, hi - lo)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: Spark keeps a task's Python worker
+    for other stages, whose needs would otherwise add up."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
 
 
 def in_fold(doc_id, modulus: int, remainder: int):
     """crc32(doc_id as text) mod ``modulus`` = ``remainder``; a NULL id is in no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
-
-
-def hot_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """An equi-join whose hot keys Spark may split on the left.
-
-    When the right side was just aggregated by the same keys, a plain join
-    would reuse that partitioning and its skewed partitions could not be split
-    at run time.  A derived second key asks for exchanges of the join's own."""
-    mark = F.xxhash64(*keys)
-    joined = left.withColumn("_mark", mark).join(right.withColumn("_mark", mark), [*keys, "_mark"], how)
-    return joined.drop("_mark")

@@ -38,7 +38,7 @@ RADIUS = 18
 BLOCKS = 4  # of 16 bits
 BLOCK_ITEMS = 1024  # items sent to the workers at once
 BLOCK_BYTES = 16 << 20
-_WORK_BYTES = 1 << 20
+_WORK_BYTES = 1 << 19
 _CLEAN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from .common import ASCII_SPACE, pieces
 
-TABLE_BYTES = 64 << 20  # contents held by one table before it spills
+TABLE_BYTES = 32 << 20  # contents held by one table before it spills
 FANOUT = 16  # spill files per level
 _ENTRY_BYTES = 200  # bookkeeping of one entry, beside its content
 
@@ -73,7 +73,8 @@ class OpenTable:
         self.slots[at] = len(self.entries)
         self.hashes.append(h)
         self.entries.append([content, ident, copies, rest])
-        self.bytes += len(content) + _ENTRY_BYTES + (len(rest) if isinstance(rest, bytes) else 0)
+        # a whole row holds its text once more
+        self.bytes += (len(content) if rest is None else 2 * len(content)) + _ENTRY_BYTES
         if 3 * len(self.entries) > 2 * len(self.slots):
             self._grow()
 

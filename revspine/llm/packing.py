@@ -18,6 +18,7 @@ once each; a NULL id is carried as NULL.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -42,7 +43,7 @@ _BYTE_SYMBOLS = {b: b for b in _PRINTABLE} | {b: 256 + k for k, b in enumerate(b
 WINDOW = 1024
 OPEN_WINDOWS = 32
 MERGE = 256  # partitions whose rests are merged together
-CACHED_WORDS = 400_000  # bound of a worker's word cache, which changes speed only
+CACHED_WORDS = 200_000  # bound of a worker's word cache, which changes speed only
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -54,7 +55,9 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         symbols = word.encode("utf-8", "replace").decode("latin-1").translate(_BYTE_SYMBOLS)
-        ids = self[word] = np.array([t.id for t in self.tokenize(symbols)], "<u4").tobytes()
+        ids = struct.pack(f"<{len(found)}I", *found) if (found := [t.id for t in self.tokenize(symbols)]) else b""
+        if len(self) < CACHED_WORDS:  # frequent words come early and stay
+            self[word] = ids
         return ids
 
 
@@ -62,7 +65,7 @@ class Encoder:
     """Ids of texts by a byte-level BPE file of ``tokenizers``.
 
     BPE never merges across pre-tokens, so the file's model is asked once per
-    distinct pre-token; the cache is emptied when it reaches its bound.
+    distinct pre-token, up to a bound of remembered ones.
     """
 
     def __init__(self, path: str):
@@ -78,8 +81,6 @@ class Encoder:
         words = self.words
         out = []
         for t in texts:
-            if len(words) > CACHED_WORDS:
-                words.clear()
             if _UNCOMMON.search(t):  # classes of other characters differ between Unicode versions: ask the library
                 out.append(np.array(self.bpe.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
                 continue
