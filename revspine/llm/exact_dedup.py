@@ -16,7 +16,7 @@ Defined results: an empty table gives an empty result; a NULL text equals an
 empty or all-space one only if their normalised texts are identical ("" and " "
 differ); a NULL id never wins against an id; rows that repeat the smallest id
 are all marked as kept by :func:`membership`, while :func:`drop_duplicates`
-returns exactly one row per text.
+returns exactly one row per text (of rows with that id the same one on every run).
 """
 
 from __future__ import annotations
@@ -66,7 +66,11 @@ class OpenTable:
             entry = self.entries[k]
             if self.hashes[k] == h and entry[0] == content:
                 entry[2] += copies
-                if ident is not None and (entry[1] is None or ident < entry[1]):
+                if ident == entry[1]:
+                    smaller = rest is not None and repr(rest) < repr(entry[3])  # any fixed choice
+                else:
+                    smaller = entry[1] is None or ident is not None and ident < entry[1]
+                if smaller:
                     entry[1], entry[3] = ident, rest
                 return
             at = (at + 1) & mask

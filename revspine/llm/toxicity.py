@@ -195,7 +195,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     texts = named.join(F.broadcast(few), "_id").select("label", "text")
     keyed = texts.mapInArrow(_copy_keys, "label int, text string, k1 bigint, k2 bigint, k3 bigint")
     for k in ("k1", "k2", "k3"):
-        keyed = keyed.dropDuplicates(["label", k])
+        one = F.min(F.struct("text", "k1", "k2", "k3")).alias("one")  # the same on every run
+        keyed = keyed.groupBy("label", F.col(k).alias("k")).agg(one).select("label", "one.*")
     sample = cut(keyed.select("label", "text"))
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
@@ -212,7 +213,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         for t, (x, y) in known.items():
             lexicon.setdefault(t, max(0.0, math.log((x + 0.5) / (n_toxic + 1)) - math.log((y + 0.5) / (n_clean + 1))))
     exceptions = _exceptions(sample, lexicon, n_clean, n_toxic)
-    measured = _measured(sample, lexicon, exceptions).select("label", "weight", "words").toPandas()
+    measured = _measured(sample, lexicon, exceptions).select("label", "weight", "words").toPandas().sort_values(["label", "weight", "words"])
     beta = _logistic(_features(measured.weight, measured.words), measured.label.to_numpy())
     return {"lexicon": lexicon, "exceptions": exceptions, "beta": beta.tolist()}
 
