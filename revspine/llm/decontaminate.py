@@ -124,7 +124,7 @@ class Items:
             mask |= tables[b][blocks[:, b]]
         at, which = [], []
         for n in range(len(part)):
-            some = np.flatnonzero(mask >> np.uint64(n) & np.uint64(1))
+            some = np.flatnonzero((mask & np.uint64(1 << n)) != 0)
             some = some[np.bitwise_count(prints[some] ^ own[n]) <= self.radius]
             at.append(some)
             which.append(np.full(len(some), n))
