@@ -22,6 +22,7 @@ get equal results; an empty benchmark leaves all documents.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -204,18 +205,19 @@ class Items:
         return best
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[dict[int, bytes]]:
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[dict[int, bytes]]:
     """The items in blocks of bounded number and size.  A benchmark is a stated
-    query set, read once by the driver, block after block."""
-    blocks, now, size = [], {}, 0
+    query set; the driver reads it once and holds one block at a time."""
+    now, size = {}, 0
     rows = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text")).orderBy("id")
     for r in rows.toLocalIterator():
         if now and (len(now) >= BLOCK_ITEMS or size + len(r["text"]) > BLOCK_BYTES):
-            blocks.append(now)
+            yield now
             now, size = {}, 0
         now[r["id"]] = bytes(r["text"])
         size += len(r["text"])
-    return blocks + [now] * bool(now)
+    if now:
+        yield now
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:

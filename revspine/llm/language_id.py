@@ -8,8 +8,9 @@ labelled texts, give Nystroem features; one-versus-rest kernel ridge regression
 is solved on them, and texts are scored by batched matrix products (presence
 matrix times landmarks, times coefficients).
 
-The model is fitted on at most ``PER_LANGUAGE`` texts of each language, chosen
-by a hash of the id; everything is scored from its whole text.
+The model is fitted on at most ``PER_LANGUAGE`` texts of each language and about
+``SAMPLE_TEXTS`` in all, of at most ``SAMPLE_CHARS`` characters each, chosen by
+a hash of the id; everything is scored from its whole text.
 
 Defined results: a NULL text and one without a letter are ``und`` with score 0;
 with no labelled row at all every text is ``und``; rows with NULL lang are
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import chunks, in_fold, pieces
 
-PER_LANGUAGE = 300  # bound of the training sample
+PER_LANGUAGE = 300  # bound of a language's training texts, and ...
+SAMPLE_TEXTS = 2400  # ... of all of them
+SAMPLE_CHARS = 20_000  # of a training text
 LANDMARKS = 32  # per language
 SHORT_WORDS = 6  # every training text also teaches a span of so many words
 RIDGE = 1e-2
@@ -129,10 +132,12 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 
     The sample of a language is its rows of smallest hash: a threshold from the
     language's row count leaves about twice the bound, which the driver cuts."""
-    rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(F.lit(5), F.col(id_col)).alias("h"), F.col(text_col).alias("text"))
+    fit_for = F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)
+    rows = df.where(fit_for).select(F.col(lang_col).alias("lang"), F.xxhash64(F.lit(5), F.col(id_col)).alias("h"), F.col(text_col).alias("text"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
+    per_language = max(4, min(per_language, SAMPLE_TEXTS // len(counts)))
     keep = F.lit(False)
     for lang, n in counts.items():
         most = min(2**63 - 1, -(2**63) + 2**64 * 2 * per_language // n)

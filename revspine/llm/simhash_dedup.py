@@ -35,6 +35,7 @@ from .hashing import xxh64_slices
 
 SEGMENTS = 8
 CHAIN = 5  # segments of a chain that make a key
+DIVIDED = 2048  # fingerprints of a bucket that is divided once more
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _WORK_BYTES = 2 << 20
 
@@ -127,18 +128,38 @@ def linked(x: np.ndarray, tau: int) -> np.ndarray:
 
 
 def forest(fps: np.ndarray, tau: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among distinct fingerprints: every node
-    is compared with those not reached yet, so a dense bucket is done in few steps."""
-    edges, rest = [], fps
+    """Links among distinct fingerprints, at most SEGMENTS per node, with the
+    same components as all links.
+
+    Where a large bucket's fingerprints still differ in more than ``tau``
+    segments, linked ones agree in one of those, so the bucket is divided by
+    each of them; a bucket that can't be divided is searched as it is."""
+    if len(fps) > DIVIDED:
+        differ = np.bitwise_or.reduce(fps ^ fps[0])
+        apart = [s for s in range(SEGMENTS) if int(differ) >> (8 * s) & 0xFF]
+        if len(apart) > tau:
+            edges = []
+            for s in apart:
+                value = (fps >> np.uint64(8 * s)) & np.uint64(0xFF)
+                order = np.argsort(value, kind="stable")
+                for part in np.split(fps[order], np.flatnonzero(np.diff(value[order])) + 1):
+                    edges += _search(part, tau)
+            return edges
+    return _search(fps, tau)
+
+
+def _search(rest: np.ndarray, tau: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links: every node is compared with those not
+    reached yet, so a dense bucket is done in few steps."""
+    edges = []
     while len(rest):
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             node = queue.pop()
             x = rest ^ node
-            near = np.bitwise_count(x) <= tau if len(x) < 16 else np.zeros(len(x), bool)
-            if len(x) >= 16:  # the ring test needs its arrays; a cheap bound keeps them small
-                close = np.flatnonzero(np.bitwise_count(x) <= 2 * tau)
-                near[close] = linked(x[close], tau)
+            near = np.zeros(len(x), bool)
+            close = np.flatnonzero(np.bitwise_count(x) <= 2 * tau)  # the ring test needs arrays of its own; this bound keeps them small
+            near[close] = linked(x[close], tau)
             found, rest = rest[near], rest[~near]
             edges += [(int(node), int(f)) for f in found]
             queue += list(found)

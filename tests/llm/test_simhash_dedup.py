@@ -57,6 +57,32 @@ def test_a_dense_bucket_gives_a_forest():
     assert len(edges) == len(fps) - 1 and all(bin(a ^ b).count("1") <= 3 for a, b in edges)
 
 
+def test_a_divided_bucket_has_the_same_components(monkeypatch):
+    r = random.Random(5)
+    centres = [r.getrandbits(32) for _ in range(40)]
+    fps = np.unique(np.array([c ^ sum(1 << k for k in r.sample(range(32), r.randrange(4))) for c in centres for _ in range(12)], np.uint64))
+
+    def groups(edges):
+        up = {int(f): int(f) for f in fps}
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in edges:
+            assert bin(a ^ b).count("1") <= 3
+            up[root(a)] = root(b)
+        out = {}
+        for f in up:
+            out.setdefault(root(f), set()).add(f)
+        return sorted(map(sorted, out.values()))
+
+    whole = groups(forest(fps, 3))
+    monkeypatch.setattr("revspine.llm.simhash_dedup.DIVIDED", 10)
+    assert groups(forest(fps, 3)) == whole and len(whole) >= 30
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     got = {x.node: x.root for x in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
