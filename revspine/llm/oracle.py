@@ -8,5 +8,55 @@ WINDOW same AS (PARTITION BY body)
 """
 
 
+#: Every word span of an item's length, for every document and item that share a shingle.
+DECONTAMINATION = r"""
+WITH cut AS (
+    SELECT kind, id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '') AS words
+    FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark)
+),
+shingles AS (
+    SELECT kind, id, i, array_to_string(words[i + 1 : i + 5], ' ') AS s
+    FROM (SELECT kind, id, words, unnest(range(len(words) - 4)) AS i FROM cut)
+),
+d AS (SELECT id AS doc_id, i, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 'd'),
+b AS (SELECT id AS item_id, s, count(*) AS c, sum(count(*)) OVER (PARTITION BY id) AS size FROM shingles WHERE kind = 'b' GROUP BY id, s),
+shared AS (SELECT doc_id, item_id, i, s, c, size, n, least(size, n)::BIGINT AS span FROM d JOIN b USING (s)),
+placed AS (
+    SELECT doc_id, item_id, s, c, size, span, unnest(range(greatest(0, i - span + 1), least(i, n - span) + 1)) AS start_word
+    FROM shared
+),
+common AS (
+    SELECT doc_id, item_id, size, span, start_word, sum(least(here, c)) AS met
+    FROM (SELECT doc_id, item_id, size, span, start_word, s, c, count(*) AS here FROM placed GROUP BY ALL) GROUP BY ALL
+)
+SELECT doc_id, item_id, met / (size + span - met) AS similarity, start_word, span + 4 AS n_words
+FROM common WHERE met / (size + span - met) >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start_word) = 1
+"""
+
+#: Every window of 400 bytes as hexadecimal digits, counted; then each byte's last repeated start before it.
+REPEATS = r"""
+WITH coded AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+each AS (
+    SELECT r, i, substr(h, 2 * i + 1, 2) AS b, CASE WHEN 2 * i + 800 <= length(h) THEN md5_number(substr(h, 2 * i + 1, 800)) END AS w
+    FROM (SELECT r, h, unnest(range(length(h) // 2)) AS i FROM coded)
+),
+twice AS (SELECT w FROM each WHERE w IS NOT NULL GROUP BY w HAVING count(*) > 1),
+marked AS (
+    SELECT r, i, b, coalesce(max(CASE WHEN twice.w IS NOT NULL THEN i END) OVER (PARTITION BY r ORDER BY i) > i - 400, FALSE) AS gone
+    FROM each LEFT JOIN twice USING (w)
+),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), FALSE) AS opens FROM marked),
+kept AS (
+    SELECT r, count_if(gone) AS n_removed, count_if(opens) AS n_spans, string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS rest
+    FROM runs GROUP BY r
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM coded LEFT JOIN kept USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op6_decontamination": DECONTAMINATION, "op8_repeats": REPEATS}

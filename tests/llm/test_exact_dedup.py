@@ -1,17 +1,11 @@
 import hashlib
 import os
 import re
-import sys
 
-import duckdb
 from helpers import SHAPE, documents, odd_rows
 
-from revspine.llm import oracle, queries
 from revspine.llm.exact_dedup import drop_duplicates, grace, membership
 
-SF = "/root/testdata/sf0.001"
-
-
 def _norm(t):
     return re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
 
@@ -62,12 +56,3 @@ def test_grace_spills_recursively_and_leaves_no_file(tmp_path, monkeypatch):
 
 def test_grace_of_one_content_larger_than_the_budget():
     assert [e[2] for e in grace(iter([(b"x" * 100_000, k, 1, None) for k in range(50)]), budget=1_000)] == [50]
-
-
-def test_query_matches_its_sql(spark):
-    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
-    names = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
-    want = sorted(con.sql(f"SELECT {', '.join(names)} FROM ({oracle.EXACT_DEDUP})").fetchall())
-    assert sorted(tuple(r) for r in queries.op1_exact_dedup(spark, SF).select(*names).collect()) == want
