@@ -244,7 +244,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, reach: int = REACH,
     text's hash bits, the first start and how many more follow it."""
     parsed = docs.select("d", "t", "text").mapInArrow(_parse(length, reach), "d bigint, pos bigint, k bigint, c bigint")
     shared = parsed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    open_ = cut(hot_join(parsed, shared, ["k"], "left_semi"))
+    # dealt out once more: the join left a hot core's entries side by side, where later joins could not split them
+    open_ = cut(hot_join(parsed, shared, ["k"], "left_semi").repartition("d", "pos"))
 
     dictionary = open_.groupBy("k", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "pos")).alias("one"))
     whole = hot_join(open_, dictionary.where("n > 1").select("k", "c"), ["k", "c"], "left_semi").select("d", "pos")
