@@ -38,9 +38,13 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC
 #: Every window of 400 bytes as hexadecimal digits, counted; then each byte's last repeated start before it.
 REPEATS = r"""
 WITH coded AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (  -- 400 starts each, so that no window is sought far into a long text
+    SELECT r, j, substr(h, 800 * j + 1, 1600) AS part, least(400, length(h) // 2 - 400 * j) AS n
+    FROM (SELECT r, h, unnest(range((length(h) + 799) // 800)) AS j FROM coded)
+),
 each AS (
-    SELECT r, i, substr(h, 2 * i + 1, 2) AS b, CASE WHEN 2 * i + 800 <= length(h) THEN md5_number(substr(h, 2 * i + 1, 800)) END AS w
-    FROM (SELECT r, h, unnest(range(length(h) // 2)) AS i FROM coded)
+    SELECT r, 400 * j + o AS i, substr(part, 2 * o + 1, 2) AS b, CASE WHEN 2 * o + 800 <= length(part) THEN md5_number(substr(part, 2 * o + 1, 800)) END AS w
+    FROM (SELECT r, j, part, unnest(range(n)) AS o FROM blocks)
 ),
 twice AS (SELECT w FROM each WHERE w IS NOT NULL GROUP BY w HAVING count(*) > 1),
 marked AS (
