@@ -11,6 +11,10 @@ them); the full distance is checked, and what remains is verified exactly: the
 weighted Jaccard similarity (shingles weighted by their counts) of the item and
 the best item-sized span there must reach ``SIMILARITY``.
 
+A document shorter than the window has no window of its own, wherever it lies
+in a batch.  It is one span, compared as a whole with every item that holds
+enough of its shingles; a sorted list of the items' shingles names those.
+
 Items go to the workers in blocks of bounded size; with more items the
 documents are read once per block.  Documents are never shuffled.
 
@@ -105,6 +109,12 @@ class Items:
                 prints = np.array([simhash(self.shingles[k]) for k in part], np.uint64)
                 self.groups.append((size, part, prints, self._tables(prints)))
         self.counts = {k: Counter(own.tolist()) for k, own in self.shingles.items()}
+        # up to so many shingles a document is compared as a whole: it has no more than the item, or than its window
+        self.whole = {k: max(len(self.shingles[k]), size - 1) for size, part, *_ in self.groups for k in part}
+        distinct = [(k, np.unique(own)) for k, own in self.shingles.items()]
+        held = np.concatenate([own for _, own in distinct]) if distinct else np.zeros(0, np.uint64)
+        order = np.argsort(held, kind="stable")
+        self.held, self.holder = held[order], np.repeat([k for k, _ in distinct], [len(own) for _, own in distinct])[order]
 
     def _tables(self, prints: np.ndarray) -> np.ndarray:
         """For each block and each of its values, the mask of items near it."""
@@ -138,6 +148,7 @@ class Items:
         if not len(hashes) or not self.groups:
             return found
         ends = np.cumsum(sizes)
+        self._compare_short(hashes, sizes, ends, similarity, found)
         longest = self.groups[-1][0]
         small = np.uint8 if longest < 256 else np.uint16 if longest < 65536 else np.uint32
         bits = _bits(np.concatenate([hashes, np.zeros(-len(hashes) % 4, np.uint64)]))
@@ -149,15 +160,35 @@ class Items:
                 per = bits if s == 1 else bits.reshape(-1, s, 64).sum(1, dtype=small)
                 sums[s] = np.concatenate([np.zeros((1, 64), small), np.cumsum(per, axis=0, dtype=small)])
             run, m = sums[s], size // s
-            if len(run) - 1 < m:  # one window over all there is
-                windows = (run[-1:] - run[:1])
-            else:
-                windows = run[m:] - run[:-m]
+            if len(run) - 1 < m:  # only documents shorter than the window
+                continue
+            windows = run[m:] - run[:-m]
             prints = np.packbits(windows > size // 2, axis=1, bitorder="little").view("<u8")[:, 0]
             at, which = self.candidates(prints, group)
             self._verify(at * s, which, part, size, s, hashes, ends, similarity, found)
         return found
 
+    def _compare_short(self, hashes, sizes, ends, similarity, found) -> None:
+        """Documents that are one span: those with at most ``whole`` shingles of an item."""
+        short = np.flatnonzero((sizes > 0) & (sizes <= max(self.whole.values())))
+        if not len(short):
+            return
+        doc = np.repeat(np.arange(len(short)), sizes[short])
+        own = hashes[np.repeat(ends[short] - np.cumsum(sizes[short]), sizes[short]) + np.arange(len(doc))]
+        first, last = np.searchsorted(self.held, own, "left"), np.searchsorted(self.held, own, "right")
+        enough = np.bincount(doc, last > first) >= similarity * (sizes[short] - 1)  # `whole` is at most one above the item's length
+        start = np.cumsum(sizes[short]) - sizes[short]
+        for n in np.flatnonzero(enough).tolist():
+            here = slice(int(start[n]), int(start[n] + sizes[short[n]]))
+            keys, met = np.unique(np.concatenate([self.holder[a:e] for a, e in zip(first[here].tolist(), last[here].tolist(), strict=True)]), return_counts=True)
+            region = own[here].tolist()
+            for key, m in zip(keys.tolist(), met.tolist(), strict=True):
+                length = len(self.shingles[key])
+                if len(region) <= self.whole[key] and m >= similarity * length:
+                    best = self._best(region, self.counts[key], length)
+                    if best[0] >= similarity:
+                        found[short[n]][key] = (best[0], best[1], best[2] + WIDTH - 1)
+
     def _verify(self, starts, which, part, size, s, hashes, ends, similarity, found) -> None:
         for n in np.unique(which).tolist():
             key = part[n]
@@ -179,7 +210,10 @@ class Items:
                 for doc in range(int(np.searchsorted(ends, max(0, a), "right")), int(np.searchsorted(ends, min(len(hashes) - 1, a + size - 1), "right")) + 1):
                     first = 0 if doc == 0 else int(ends[doc - 1])
                     last = int(ends[doc])
+                    if last - first <= self.whole[key]:  # compared as a whole
+                        continue
                     lo, hi = max(first, a - reach), min(last, a + size + reach)
+                    lo, hi = max(first, min(lo, hi - length)), min(last, max(hi, lo + length))  # no span is shorter than the item
                     best = self._best(hashes[lo:hi].tolist(), counts, length)
                     if best and best[0] >= similarity and best[0] > found[doc].get(key, (0.0,))[0]:
                         found[doc][key] = (best[0], lo + best[1] - first, best[2] + WIDTH - 1)

@@ -59,6 +59,31 @@ def test_planted_items_are_found_and_clean_documents_left(spark):
     assert {x.doc_id for x in kept.collect()} == {i for i, _ in docs} - {i for i, _ in want}
 
 
+def test_documents_shorter_than_an_item(spark):
+    r = random.Random(15)
+    items = [(j, _text(r, n)) for j, n in enumerate([9, 10, 14, 20, 29, 31, 35, 36, 60, 100, 200])]
+    docs = []
+    for j, text in items:
+        words = text.split()
+        n = len(words) - 4
+        for cut in {n - 1, -(-9 * n // 10), -(-17 * n // 20), -(-4 * n // 5), n // 2}:
+            docs += [(1000 * j + cut, " ".join(words[: cut + 4])), (1000 * j + 500 + cut, " ".join(words[n - cut :]))]
+    docs += [(10**6 + j, t + " more") for j, t in items]
+    docs += [(10**7, " ".join(items[9][1].split()[:86]) + " " + _text(r, 8))]  # 0.8 of its head only
+    want = brute(docs, items)
+    assert len(want) > 60 and (10**7, 9) not in want
+    block, (a, b) = Items({j: t.encode() for j, t in items}), (_text(r, 3000).encode() for _ in range(2))
+    for around in ([], [a, b]):  # alone, and between longer texts
+        got = {}
+        for i, t in docs:
+            hits = block.search([*around[:1], t.encode(), *around[1:]])[len(around[:1])]
+            got |= {(i, j): h[0] for j, h in hits.items()}
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    frame = documents(spark, docs[:40]).repartition(40)
+    kept = decontaminate(frame, spark.createDataFrame(items, ITEMS))
+    assert {x.doc_id for x in kept.collect()} == {i for i, _ in docs[:40]} - {i for i, _ in want}
+
+
 def test_blocks_name_every_item_within_the_radius():
     r = random.Random(12)
     items = Items({k: _text(r, 30).encode() for k in range(40)})
