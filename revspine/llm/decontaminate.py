@@ -19,8 +19,10 @@ Items go to the workers in blocks of bounded size; with more items the
 documents are read once per block.  Documents are never shuffled.
 
 Defined results: NULL or empty texts match nothing; items with fewer than five
-words have no shingle and match nothing; equal items all match; repeated rows
-get equal results; an empty benchmark leaves all documents.
+words have no shingle and match nothing; equal items all match; every text of
+an item_id that has several is searched for, NULL ids included, and a document
+gets one row per item_id, with the best span of any of them; repeated rows get
+equal results; an empty benchmark leaves all documents.
 """
 
 from __future__ import annotations
@@ -239,27 +241,44 @@ class Items:
         return best
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[dict[int, bytes]]:
-    """The items in blocks of bounded number and size.  A benchmark is a stated
-    query set; the driver reads it once and holds one block at a time."""
-    now, size = {}, 0
-    rows = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text")).orderBy("id")
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[int | None, bytes]]]:
+    """The items as (id, text) in blocks of bounded number and size.  A benchmark is a stated
+    query set; the driver reads it once and holds one block at a time.  Texts of one id
+    lie in one block, unless they alone exceed it."""
+    now, size = [], 0
+    rows = benchmark.select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text")).orderBy(F.col("id").asc_nulls_last(), "text")
     for r in rows.toLocalIterator():
-        if now and (len(now) >= BLOCK_ITEMS or size + len(r["text"]) > BLOCK_BYTES):
-            yield now
-            now, size = {}, 0
-        now[r["id"]] = bytes(r["text"])
-        size += len(r["text"])
+        item = (r["id"], bytes(r["text"]))
+        if now and now[-1] == item:  # a repeated row
+            continue
+        if now and (len(now) >= BLOCK_ITEMS or size + len(item[1]) > BLOCK_BYTES):
+            rest = next((k for k in range(len(now), 0, -1) if now[k - 1][0] != item[0]), len(now))  # one id's texts stay together
+            yield now[:rest]
+            now = now[rest:]
+            size = sum(len(t) for _, t in now)
+            if now and (len(now) >= BLOCK_ITEMS or size + len(item[1]) > BLOCK_BYTES):
+                yield now
+                now, size = [], 0
+        now.append(item)
+        size += len(item[1])
     if now:
         yield now
 
 
+_HIT = "struct<item:bigint,similarity:double,start:bigint,n:bigint>"
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """One row per document and item found in it: ``doc_id, item_id,
     similarity, start_word, n_words``."""
     shape = "doc_id bigint, item_id bigint, similarity double, start_word bigint, n_words bigint"
     rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
-    parts = [rows.mapInArrow(_find(shared, radius, similarity), shape) for shared in _shared(documents, benchmark)]
+    parts = []
+    for blocks in _shared(documents, benchmark):
+        part = rows
+        for k, shared in enumerate(blocks[:-1]):  # of one id: what they find goes along with the document
+            part = part.mapInArrow(_gather(shared, radius, similarity, k > 0), f"doc_id bigint, hits array<{_HIT}>, text binary")
+        parts.append(part.mapInArrow(_find(blocks[-1], radius, similarity, len(blocks) > 1), shape))
     if not parts:
         return rows.limit(0).selectExpr("doc_id", "0L item_id", "0D similarity", "0L start_word", "0L n_words")
     out = parts[0]
@@ -268,24 +287,60 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return out
 
 
-def _shared(documents: DataFrame, benchmark: DataFrame) -> list:
+def _shared(documents: DataFrame, benchmark: DataFrame) -> list[list]:
+    """Broadcasts of the blocks, each below BLOCK_BYTES; those that share an id are in one list."""
     sc = documents.sparkSession.sparkContext
-    return [sc.broadcast(block) for block in item_blocks(benchmark)]  # each below BLOCK_BYTES
+    out, last = [], []
+    for block in item_blocks(benchmark):
+        if last == [block[0][0]]:
+            out[-1].append(sc.broadcast(block))
+        else:
+            out.append([sc.broadcast(block)])
+        last = [block[-1][0]]
+    return out
 
 
 def _hits(shared, radius: int, similarity: float, batches, columns: int):
-    """(batch, for each row its items)."""
-    items = None
+    """(batch, for each row its hits by item id)."""
+    items = ids = None
     for b in pieces(batches, columns - 1):
-        items = items or Items(shared.value, radius)
+        if items is None:
+            ids = [i for i, _ in shared.value]
+            items = Items({k: t for k, (_, t) in enumerate(shared.value)}, radius)
         texts = b.column(b.num_columns - 1).to_pylist()
-        yield b, [f for lo, hi in chunks(texts, len, _WORK_BYTES) for f in items.search(texts[lo:hi], similarity)]
+        yield b, [_best_of((ids[k], *hit) for k, hit in f.items()) for lo, hi in chunks(texts, len, _WORK_BYTES) for f in items.search(texts[lo:hi], similarity)]
+
+
+def _best_of(hits) -> dict:
+    """Of hits (item id, similarity, start, words) the best of each id, the first of equal ones."""
+    out: dict = {}
+    for item, *hit in hits:
+        if item not in out or (-hit[0], *hit[1:]) < (-out[item][0], *out[item][1:]):
+            out[item] = tuple(hit)
+    return out
+
+
+def _with_earlier(b, found: list[dict], earlier: bool) -> list[list[tuple]]:
+    """All hits of each row, in order of the items (NULL last)."""
+    before = b.column(1).to_pylist() if earlier else [[]] * len(found)
+    all_ = (_best_of([*(tuple(h.values()) for h in old), *((i, *hit) for i, hit in new.items())]) for old, new in zip(before, found, strict=True))
+    return [[(i, *hits[i]) for i in sorted(hits, key=lambda i: (i is None, i or 0))] for hits in all_]
+
+
+def _gather(shared, radius: int, similarity: float, earlier: bool):
+    def run(batches):
+        for b, found in _hits(shared, radius, similarity, batches, 2 + earlier):
+            hits = [[dict(zip(("item", "similarity", "start", "n"), h, strict=True)) for h in row] for row in _with_earlier(b, found, earlier)]
+            kind = pa.list_(pa.struct([("item", pa.int64()), ("similarity", pa.float64()), ("start", pa.int64()), ("n", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hits, kind), b.column(b.num_columns - 1)], ["doc_id", "hits", "text"])
+
+    return run
 
 
-def _find(shared, radius: int, similarity: float):
+def _find(shared, radius: int, similarity: float, earlier: bool):
     def run(batches):
-        for b, found in _hits(shared, radius, similarity, batches, 2):
-            out = [(doc, item, *hit) for doc, hits in zip(b.column(0).to_pylist(), found, strict=True) for item, hit in sorted(hits.items())]
+        for b, found in _hits(shared, radius, similarity, batches, 2 + earlier):
+            out = [(doc, *hit) for doc, hits in zip(b.column(0).to_pylist(), _with_earlier(b, found, earlier), strict=True) for hit in hits]
             if out:
                 types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
@@ -305,6 +360,6 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text_col: str = "t
     """The documents (all columns) in which no item is found."""
     names = documents.columns
     rows = documents.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], text_bytes(F.col(f"`{text_col}`")).alias("_text"))
-    for shared in _shared(documents, benchmark):
+    for shared in (s for blocks in _shared(documents, benchmark) for s in blocks):
         rows = rows.mapInArrow(_drop(shared, radius, similarity, len(names) + 1), T.StructType(rows.schema.fields))
     return rows.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])

@@ -112,6 +112,18 @@ def test_items_in_several_blocks(spark, monkeypatch, block):
     assert [x.doc_id for x in decontaminate(df, bench).collect()] == [99]
 
 
+@pytest.mark.parametrize("block", [2, 1024])
+def test_items_that_share_an_id(spark, monkeypatch, block):
+    monkeypatch.setattr("revspine.llm.decontaminate.BLOCK_ITEMS", block)
+    r = random.Random(16)
+    texts = [_text(r, 25) for _ in range(7)]
+    bench = spark.createDataFrame(list(zip([1, 1, 1, None, None, None, 2], texts, strict=True)) + [(1, texts[0])], ITEMS)
+    docs = [(i, _text(r, 30) + " " + t) for i, t in enumerate(texts)] + [(90, texts[0] + " " + _text(r, 9) + " " + texts[2]), (99, _text(r, 100))]
+    got = [(x.doc_id, x.item_id) for x in leaks(documents(spark, docs + docs[:1]), bench).collect()]
+    assert Counter(got) == Counter([(0, 1), (0, 1), (1, 1), (2, 1), (3, None), (4, None), (5, None), (6, 2), (90, 1)])
+    assert [x.doc_id for x in decontaminate(documents(spark, docs), bench).collect()] == [99]
+
+
 def test_odd_rows_and_items(spark):
     df = documents(spark, odd_rows()).selectExpr("*", "doc_id AS item_id", "doc_id AS c1")
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "too short item"), (None, "one two three four five six"), (4, " ".join(f"w{k}" for k in range(50, 80))), (5, " ".join(f"w{k}" for k in range(50, 80)))], ITEMS)
