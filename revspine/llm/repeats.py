@@ -31,7 +31,7 @@ apart by two 64-bit hashes, windows of step 3 by their bytes.
 Defined results: NULL text counts as empty; texts shorter than ``LENGTH`` keep
 all bytes; rows that repeat id and text are documents like others, so their
 long texts are repeats of each other; rows with a NULL id are kept apart by
-their texts.
+128 hash bits of their texts, rows that repeat an id by 64.
 """
 
 from __future__ import annotations
@@ -53,7 +53,6 @@ REACH = 128  # window starts of a stretch, 256 at most
 GROUP = 16384  # distinct contexts of one core that a task takes together
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WORK_BYTES = 1 << 20
-_TEXT_BITS = 23  # of the text's hash beside a position
 _digest = xxhash.xxh3_64_intdigest
 _CORE, _CONTEXT = 1, 1 << 20  # hash seeds
 
@@ -103,7 +102,7 @@ def stretches(data: bytes, begin: np.ndarray, stop: np.ndarray, length: int, rea
 
 
 def _parse(length: int, reach: int):
-    """mapInArrow function: documents (d, t, text) to rows (d, pos, k, c)."""
+    """mapInArrow function: documents (d, t, text) to rows (d, t, pos, k, c)."""
 
     def run(batches):
         for b in pieces(batches, 2):
@@ -118,28 +117,35 @@ def _parse(length: int, reach: int):
                 shape = ((core - low) * 512 + (high - low)).tolist()  # where the windows lie around the core
                 k = [_digest(data[a:e], _CORE) for a, e in zip(core.tolist(), end.tolist(), strict=True)]
                 c = [_digest(data[a : e + length], _CONTEXT + s) for a, e, s in zip(low.tolist(), high.tolist(), shape, strict=True)]
-                pos = np.array(prints[lo:hi], np.int64)[doc] << 40 | low - begin[doc] << 8 | high - low
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(ids[lo:hi], np.int64)[doc]), pa.array(pos), pa.array(np.array(k, np.uint64).view(np.int64)), pa.array(np.array(c, np.uint64).view(np.int64))], ["d", "pos", "k", "c"])
+                pos = low - begin[doc] << 8 | high - low
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(ids[lo:hi], np.int64)[doc]), pa.array(np.array(prints[lo:hi], np.int64)[doc]), pa.array(pos), pa.array(np.array(k, np.uint64).view(np.int64)), pa.array(np.array(c, np.uint64).view(np.int64))], ["d", "t", "pos", "k", "c"])
 
     return run
 
 
+def _once(batches):
+    """(d, t, text, wanted) of each document the first time its name comes: copies hold nothing else."""
+    seen = set()
+    for b in pieces(batches, 2):
+        yield [r[:4] for r in zip(*(c.to_pylist() for c in b.columns), strict=True) if r[:2] not in seen and not seen.add(r[:2])]
+
+
 def _contexts(length: int, reach: int):
-    """mapInArrow function: (d, t, text, wanted) to rows (k, d, pos, w, before, after):
+    """mapInArrow function: (d, t, text, wanted) to rows (k, d, t, pos, w, before, after):
     the bytes of the windows before the core's start and from it on."""
 
     def run(batches):
-        for b in pieces(batches, 2):
+        for docs in _once(batches):
             out = []
-            for d, _, text, wanted, _ in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for d, t, text, wanted in docs:
                 for x in wanted:
-                    first, size = x["pos"] >> 8 & 0xFFFFFFFF, x["pos"] & 0xFF
+                    first, size = x["pos"] >> 8, x["pos"] & 0xFF
                     trigger = int(triggers(text[first : first + length], length)[0])  # of the first window, so of all of them
                     core = trigger - trigger // reach * reach
-                    out.append((x["k"], d, x["pos"], x["w"], text[first : first + core], text[first + core : first + size + length]))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-            columns = zip(*out, strict=True) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["k", "d", "pos", "w", "before", "after"])
+                    out.append((x["k"], d, t, x["pos"], x["w"], text[first : first + core], text[first + core : first + size + length]))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            columns = zip(*out, strict=True) if out else [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["k", "d", "t", "pos", "w", "before", "after"])
 
     return run
 
@@ -160,19 +166,19 @@ def _ordered(keys: list, strings: list[bytes], width: int) -> tuple[np.ndarray,
     return np.array(order), shared
 
 
-def equal_windows(rows: list[tuple], length: int, reach: int = REACH) -> list[tuple[int, int]]:
-    """Repeated windows of contexts (k, d, pos, w, before, after), whole groups
-    of equal k: rows (d, pos) of the contexts with w = 1.
+def equal_windows(rows: list[tuple], length: int, reach: int = REACH) -> list[tuple[int, int, int]]:
+    """Repeated windows of contexts (k, d, t, pos, w, before, after), whole groups
+    of equal k: rows (d, t, pos) of the contexts with w = 1.
 
     Window y of a context is the last y bytes of ``before`` and the first
     ``length - y`` of ``after``: one class in the order of the reversed parts
     before the core, one in that of the parts from it on."""
     keys = [r[0] for r in rows]
-    left, left_shared = _ordered(keys, [r[4][::-1] for r in rows], reach)
-    right, right_shared = _ordered(keys, [r[5] for r in rows], length)
-    size = np.array([r[2] & 0xFF for r in rows])
-    most = np.array([len(r[4]) for r in rows])  # y of the first window; the last one's is smaller by size
-    weight = np.array([r[3] for r in rows])
+    left, left_shared = _ordered(keys, [r[5][::-1] for r in rows], reach)
+    right, right_shared = _ordered(keys, [r[6] for r in rows], length)
+    size = np.array([r[3] & 0xFF for r in rows])
+    most = np.array([len(r[5]) for r in rows])  # y of the first window; the last one's is smaller by size
+    weight = np.array([r[4] for r in rows])
     hit = np.zeros((len(rows), reach), bool)
     before, after = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
     for y in range(min(reach, int(most.max()) + 1)):
@@ -185,15 +191,15 @@ def equal_windows(rows: list[tuple], length: int, reach: int = REACH) -> list[tu
         hit[own, y] = np.bincount(which, weight[own])[which] > 1
     out = []
     for i in np.flatnonzero((weight == 1) & hit.any(1)).tolist():
-        first = (rows[i][2] >> 8 & 0xFFFFFFFF) + int(most[i])  # start of window y is this less y
+        first = (rows[i][3] >> 8) + int(most[i])  # start of window y is this less y
         starts = np.sort(first - np.flatnonzero(hit[i]))
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
-            out.append((rows[i][1], rows[i][2] >> 40 << 40 | int(run[0]) << 8 | len(run) - 1))
+            out.append((rows[i][1], rows[i][2], int(run[0]) << 8 | len(run) - 1))
     return out
 
 
 def _resolve(length: int, reach: int):
-    """mapInArrow function: contexts sorted by k to repeated windows (d, pos)."""
+    """mapInArrow function: contexts sorted by k and name to repeated windows (d, t, pos)."""
 
     def run(batches):
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
@@ -201,10 +207,10 @@ def _resolve(length: int, reach: int):
 
         def out():
             found = equal_windows(held, length, reach)
-            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["d", "pos"])
+            return pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], pa.int64()) for n in range(3)], ["d", "t", "pos"])
 
         for _, group in groupby(rows, key=lambda r: r[0]):
-            held += group  # at most GROUP contexts
+            held += (next(same) for _, same in groupby(group, key=lambda r: r[:4]))  # at most GROUP contexts; copies of a document lie side by side
             if len(held) >= GROUP:
                 yield out()
                 held = []
@@ -215,62 +221,62 @@ def _resolve(length: int, reach: int):
 
 
 def _window_rows(length: int):
-    """mapInArrow function: (d, t, text, wanted [(pos, w)]) to rows (h1, h2, w, d, pos) of single windows."""
+    """mapInArrow function: (d, t, text, wanted [(pos, w)]) to rows (h1, h2, w, d, t, pos) of single windows."""
 
     def run(batches):
-        for b in pieces(batches, 2):
-            for d, t, text, wanted, _ in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for docs in _once(batches):
+            for d, t, text, wanted in docs:
                 h1, h2, w, pos = [], [], [], []
                 for x in wanted:
-                    first, size = x["pos"] >> 8 & 0xFFFFFFFF, x["pos"] & 0xFF
+                    first, size = x["pos"] >> 8, x["pos"] & 0xFF
                     for p in range(first, first + size + 1):
                         h1.append(_digest(text[p : p + length], 1))
                         h2.append(_digest(text[p : p + length], 2))
                         w.append(x["w"])
-                        pos.append(t << 40 | p << 8)
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), pa.array(w, pa.int32()), pa.array([d] * len(w), pa.int64()), pa.array(pos, pa.int64())], ["h1", "h2", "w", "d", "pos"])
+                        pos.append(p << 8)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), pa.array(w, pa.int32()), pa.array([d] * len(w), pa.int64()), pa.array([t] * len(w), pa.int64()), pa.array(pos, pa.int64())], ["h1", "h2", "w", "d", "t", "pos"])
 
     return run
 
 
 def documents_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, d, t, text``: d and t (hash bits of the text) name a document."""
+    """``id, d, t, text``: d (the id; without one, a second hash of the text) and t (a hash of the text) name a document."""
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text"))
-    return rows.select("id", F.coalesce("id", F.lit(-1).cast("bigint")).alias("d"), F.shiftrightunsigned(F.xxhash64("text"), 64 - _TEXT_BITS).alias("t"), "text")
+    return rows.select("id", F.coalesce("id", F.xxhash64(F.lit(1), "text")).alias("d"), F.xxhash64("text").alias("t"), "text")
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, reach: int = REACH, group: int = GROUP) -> DataFrame:
-    """``d, pos``: starts of windows that occur more than once; pos holds the
-    text's hash bits, the first start and how many more follow it."""
-    parsed = docs.select("d", "t", "text").mapInArrow(_parse(length, reach), "d bigint, pos bigint, k bigint, c bigint")
+    """``d, t, pos``: starts of windows that occur more than once; pos holds the
+    first start and how many more follow it."""
+    parsed = docs.select("d", "t", "text").mapInArrow(_parse(length, reach), "d bigint, t bigint, pos bigint, k bigint, c bigint")
     shared = parsed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
     # dealt out once more: the join left a hot core's entries side by side, where later joins could not split them
-    open_ = cut(hot_join(parsed, shared, ["k"], "left_semi").repartition("d", "pos"))
+    open_ = cut(hot_join(parsed, shared, ["k"], "left_semi").repartition("d", "t", "pos"))
 
-    dictionary = open_.groupBy("k", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "pos")).alias("one"))
-    whole = hot_join(open_, dictionary.where("n > 1").select("k", "c"), ["k", "c"], "left_semi").select("d", "pos")
+    dictionary = open_.groupBy("k", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "pos")).alias("one"))
+    whole = hot_join(open_, dictionary.where("n > 1").select("k", "c"), ["k", "c"], "left_semi").select("d", "t", "pos")
     torn = dictionary.groupBy("k").agg(F.max(F.col("n") == 1).alias("some"), F.count(F.lit(1)).alias("contexts")).where("some").select("k", "contexts")
-    wanted = cut(hot_join(dictionary, torn, ["k"]).select("k", "contexts", "one.d", "one.pos", F.least("n", F.lit(2)).cast("int").alias("w")))
+    wanted = cut(hot_join(dictionary, torn, ["k"]).select("k", "contexts", "one.d", "one.t", "one.pos", F.least("n", F.lit(2)).cast("int").alias("w")))
 
     def at_texts(rows):
         """The entries of each document with its text.  All of a document's
         columns stay, so that these joins and the last one share one shuffle of the texts."""
-        by_doc = rows.groupBy("d", F.shiftright("pos", 40).alias("t")).agg(F.collect_list(F.struct("k", "pos", "w")).alias("wanted"))
+        by_doc = rows.groupBy("d", "t").agg(F.collect_list(F.struct("k", "pos", "w")).alias("wanted"))
         return docs.join(by_doc, ["d", "t"]).select("d", "t", "text", "wanted", "id")
 
-    together = at_texts(wanted.where(F.col("contexts") <= group)).mapInArrow(_contexts(length, reach), "k bigint, d bigint, pos bigint, w int, before binary, after binary")
-    ordered = together.repartition("k").sortWithinPartitions("k").mapInArrow(_resolve(length, reach), "d bigint, pos bigint")
+    together = at_texts(wanted.where(F.col("contexts") <= group)).mapInArrow(_contexts(length, reach), "k bigint, d bigint, t bigint, pos bigint, w int, before binary, after binary")
+    ordered = together.repartition("k").sortWithinPartitions("k", "d", "t", "pos").mapInArrow(_resolve(length, reach), "d bigint, t bigint, pos bigint")
 
-    single = at_texts(wanted.where(F.col("contexts") > group)).mapInArrow(_window_rows(length), "h1 bigint, h2 bigint, w int, d bigint, pos bigint")
+    single = at_texts(wanted.where(F.col("contexts") > group)).mapInArrow(_window_rows(length), "h1 bigint, h2 bigint, w int, d bigint, t bigint, pos bigint")
     twice = single.groupBy("h1", "h2").agg(F.sum("w").alias("n")).where("n > 1").select("h1", "h2")
-    counted = hot_join(single.where("w = 1"), twice, ["h1", "h2"], "left_semi").select("d", "pos")
+    counted = hot_join(single.where("w = 1"), twice, ["h1", "h2"], "left_semi").select("d", "t", "pos")
     return whole.unionByName(ordered).unionByName(counted)
 
 
 def covered(positions: list[int], length: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes that the windows cover."""
     out: list[list[int]] = []
-    for first, size in sorted((p >> 8 & 0xFFFFFFFF, p & 0xFF) for p in positions):
+    for first, size in sorted((p >> 8, p & 0xFF) for p in positions):
         end = first + size + length
         if out and first <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
@@ -302,7 +308,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: id, ``n_bytes, n_removed, n_spans, kept_sha256`` and, if asked
     for, ``kept`` (remaining bytes) and ``spans`` (starts and ends of the removed runs)."""
     docs = documents_of(df, id_col, text_col)
-    found = repeated_windows(docs, length, reach, group).groupBy("d", F.shiftright("pos", 40).alias("t")).agg(F.collect_list("pos").alias("positions"))  # of one document
+    found = repeated_windows(docs, length, reach, group).groupBy("d", "t").agg(F.collect_set("pos").alias("positions"))  # of one document; those of its copies are one, before the shuffle too
     joined = docs.join(found, ["d", "t"], "left").select("id", "text", "positions")
     done = joined.mapInArrow(_remove(length, with_text), "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<bigint>")
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "spans"] * with_text

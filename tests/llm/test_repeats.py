@@ -2,12 +2,13 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SHAPE, documents, odd_rows, repeats
 
 from revspine.llm import queries
 from revspine.llm.common import table
-from revspine.llm.repeats import covered, remove_repeats, stretches, triggers
+from revspine.llm.repeats import _contexts, _window_rows, covered, documents_of, remove_repeats, stretches, triggers
 
 
 def _want(rows, length):
@@ -71,6 +72,30 @@ def test_odd_rows(spark):
     assert remove_repeats(spark.createDataFrame([], SHAPE)).count() == 0
 
 
+def test_missing_ids_do_not_share_names(spark):
+    r = random.Random(7)
+    rows = [(None, "".join(r.choice("abcdefgh") for _ in range(60))) for _ in range(20_000)]
+    rows += [(None, t[:25] + "-" * 9 + t[:25]) for _, t in rows[:200]]
+    docs = documents_of(documents(spark, rows), "doc_id", "text")
+    assert docs.select("d", "t").distinct().count() == len({t for _, t in rows})
+    assert _got(documents(spark, rows), length=20) == _want(rows, 20)
+
+
+def test_entries_of_copies_are_taken_once():
+    texts = {1: b"a" * 30, 2: b"b" * 30}
+    batch = pa.RecordBatch.from_pylist([{"d": d, "t": 5, "text": t, "wanted": [{"k": 1, "pos": 0, "w": 2}], "id": d} for d, t in texts.items() for _ in range(50)])
+    assert sum(b.num_rows for b in _contexts(20, 16)(iter([batch]))) == 2
+    assert sum(b.num_rows for b in _window_rows(20)(iter([batch]))) == 2
+
+
+def test_positions_of_copies_are_combined_before_the_shuffle(spark):
+    rows = [(None, "".join(chr(97 + k * k % 23) for k in range(3000)))] * 50 + [(1, "short")] * 50
+    df = documents(spark, rows)
+    assert _got(df) == _want(rows, 400)
+    plan = remove_repeats(df, with_text=False)._jdf.queryExecution().toString()
+    assert "partial_collect_set(pos" in plan and "collect_list(pos" not in plan
+
+
 def test_operator_gives_text_and_spans(spark):
     common = "".join(chr(97 + k * k % 23) for k in range(60))
     df = documents(spark, [(1, "head " + common + " tail"), (2, common)]).selectExpr("*", "doc_id AS d", "text AS t", "1 AS pos")
