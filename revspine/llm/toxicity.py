@@ -2,7 +2,9 @@
 
 Texts are folded first: lower case, compatibility forms, invisible characters
 removed, look-alike letters of other scripts and digits or signs written for
-letters mapped back.  An Aho-Corasick automaton then finds the lexicon's
+letters mapped back.  Those at the end of a word may also be punctuation: such
+a word is matched with its last run mapped back (to any length) and with it cut
+off, and counts once, as the heavier of the two.  An Aho-Corasick automaton then finds the lexicon's
 entries (words, and stems at the start of a word) and exception phrases; a
 match inside an exception phrase does not count.  The summed weights, plain and
 normalised by the text's length, go through a fitted logistic function.
@@ -54,6 +56,7 @@ _DIGIT = str.maketrans(DIGITS)
 _HAS_LOOK = re.compile("[" + "".join(LOOKALIKES) + "]")
 _INVISIBLE = re.compile("[­​-‏⁠-⁤﻿]")
 _SIGNS = re.compile(r"[0134578@$!|]+(?=[^\W\d_])")  # a run right before a letter
+_LAST_SIGNS = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+")  # a run at the end of a word, in a folded text
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -69,6 +72,11 @@ def fold(text: str | None) -> str:
     return _SIGNS.sub(lambda m: m.group().translate(_DIGIT), t)
 
 
+def fold_ends(folded: str) -> str:
+    """The folded text with digits and signs at the ends of words as letters too, at the same places."""
+    return _LAST_SIGNS.sub(lambda m: m.group().translate(_DIGIT), folded)
+
+
 def _terms(folded: str) -> set[str]:
     """Words as ``word$`` and their stems as ``stem``."""
     words = set(_WORD.findall(folded))
@@ -97,19 +105,26 @@ class Matcher:
 
     def find(self, folded: str) -> list[tuple[int, int, str]]:
         """(start, end, term) of the longest entry at each word start, exceptions taken out."""
-        out: dict[int, tuple[int, int, str]] = {}
         if not len(self.automaton):
             return []
-        for last, (word, terms) in self.automaton.iter(folded):
+        ends = fold_ends(folded)
+        cut: dict[int, tuple[int, int, str]] = {}
+        run: dict[int, tuple[int, int, str]] = {}  # entries that end in digits or signs
+        for last, (word, terms) in self.automaton.iter(ends):
             start, end = last - len(word) + 1, last + 1
-            if start and folded[start - 1].isalpha():
+            if start and ends[start - 1].isalpha():
                 continue
+            out = cut if folded[last] == ends[last] else run
             whole = end == len(folded) or not folded[end].isalpha()
             for term in terms:
                 if (whole or not term.endswith("$")) and (start not in out or end >= out[start][1]):
                     out[start] = (start, end, term)
+        out = cut
+        for start, m in run.items():
+            if start not in out or self.lexicon[m[2]] >= self.lexicon[out[start][2]]:
+                out[start] = m
         if out and len(self.phrases):
-            spans = [(last - n + 1, last + 1) for last, n in self.phrases.iter(folded)]
+            spans = [(last - n + 1, last + 1) for t in {folded, ends} for last, n in self.phrases.iter(t)]
             out = {s: m for s, m in out.items() if not any(a <= m[0] and m[1] <= b for a, b in spans)}
         return list(out.values())
 

@@ -26,6 +26,14 @@ def test_matcher_words_stems_and_exceptions():
     assert Matcher({}).find("moron") == []
 
 
+def test_signs_at_the_end_of_a_word():
+    m = Matcher({"idiot$": 2.0, "worthless$": 3.0, "stupid$": 1.0, "moron$": 2.0, "moroni$": 0.0, "lowe": 1.0}, ["idiot proof"])
+    found = lambda t: [term for _, _, term in sorted(m.find(fold(t)))]
+    assert found("idio7, idi07 1d!07! worthle55 worthle$$!!") == ["idiot$"] * 3 + ["worthless$"] * 2
+    assert found("stupid$$$ moron! low3") == ["stupid$", "moron$", "lowe"]
+    assert found("idio7 proof 2024 5557 x7idio") == [] and m.measure(fold("an idio7")) == (1, 2.0, 2)
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     """Toxic texts hold one of three words or a stem; a copied one many other words."""
