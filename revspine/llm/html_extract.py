@@ -86,12 +86,12 @@ def _kind(tag: str, attributes: str) -> str:
     return "main" if words & MAIN_WORDS else "plain"
 
 
-def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
+def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     """Elements (parents before children; inline ones belong to their block)
-    and text pieces as (element, raw text); a change of block is (element, "\\n")."""
+    and text pieces as (element, raw text); a change of block is (element, None)."""
     nodes = [Node("#root", "plain", -1)]
     stack: list[tuple[str, int]] = [("#root", 0)]  # inline tags carry their block's element
-    texts: list[tuple[int, str]] = []
+    texts: list[tuple[int, str | None]] = []
     links = at = 0
     page = _UNCLOSED.sub("", page)
 
@@ -111,7 +111,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if stack[k][0] in tags:
                 links -= sum(t == "a" for t, _ in stack[k:])
                 del stack[k:]
-                texts.append((stack[-1][1], "\n"))
+                texts.append((stack[-1][1], None))
                 return
             if stack[k][0] in boundary:
                 return
@@ -124,20 +124,20 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if m[1]:
             if tag == "p" and not any(t == "p" for t, _ in stack):
-                texts.append((stack[-1][1], "\n"))
+                texts.append((stack[-1][1], None))
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
                     links -= sum(t == "a" for t, _ in stack[k:])
                     block = any(t in BLOCK for t, _ in stack[k:])
                     del stack[k:]
                     if block:
-                        texts.append((stack[-1][1], "\n"))
+                        texts.append((stack[-1][1], None))
                     break
                 if tag not in BLOCK and stack[k][0] in BLOCK:
                     break  # an inline end tag does not close a block
             continue
         if tag in VOID:
-            texts.append((stack[-1][1], "\n" if tag == "hr" else " " if tag == "br" else ""))
+            texts.append((stack[-1][1], None if tag == "hr" else " " if tag == "br" else ""))
             continue
         if tag in RAW:
             end = _RAW_END[tag].search(page, at)
@@ -152,7 +152,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in BLOCK:
             nodes.append(Node(tag, _kind(tag, m[3]), stack[-1][1]))
             stack.append((tag, len(nodes) - 1))
-            texts.append((len(nodes) - 1, "\n"))
+            texts.append((len(nodes) - 1, None))
         else:
             kind = _kind(tag, m[3]) if m[3] else "plain"
             if kind in ("other", "hidden") and tag != "a":  # an inline part of another kind is a variable too
@@ -274,12 +274,12 @@ def extract(page: str | None, model: dict) -> str:
     keep = [p > 0.5 for p in marginals(nodes, model)]
     blocks: list[str] = []
     now: list[str] = []
-    for element, raw in [*texts, (0, "\n")]:
-        if raw == "\n" and now:
+    for element, raw in [*texts, (0, None)]:
+        if raw is None and now:
             if line := " ".join(entities.unescape("".join(now)).split()):
                 blocks.append(line)
             now = []
-        elif raw != "\n" and keep[element]:
+        elif raw is not None and keep[element]:
             now.append(raw)
     return "\n".join(blocks)
 

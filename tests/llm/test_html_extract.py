@@ -62,6 +62,11 @@ def test_parts_of_other_kinds_go(model):
     assert extract(page, model) == "A & B\nFirst bold text, long enough é to be read.\nSecond line link.\none\ntwo\na\nb"
 
 
+def test_a_line_feed_between_inline_elements_is_a_space(model):
+    page = "<body><article><p>See <a>one</a>\n<a>two</a> and <!-- x -->\n<b>more</b>\n<i>of it</i></p>\n<p>Next.</p></article>"
+    assert extract(page, model) == "See one two and more of it\nNext."
+
+
 def test_pages_without_marks(model):
     page = "<body><nav><a href=a>Home</a></nav><div class=content><h2>Title</h2><p>The first paragraph of a page without any article element.</p><p>The second one.</p></div><section class=comments><article class=comment><p>A comment by some reader, quite long.</p></article></section>"
     assert extract(page, model) == "Title\nThe first paragraph of a page without any article element.\nThe second one."
