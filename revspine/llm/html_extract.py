@@ -15,7 +15,8 @@ whose element is more likely content than not are joined in page order.
 
 Defined results: NULL or empty html gives the empty text; text outside any
 element hangs on the root; an unclosed tag at the end of a cut page is markup;
-an empty table gives no rows; without labelled pages the prior counts decide.
+a button or select without its end tag is no element; a raw element (script and
+the like) without one reaches to the end; an empty table gives no rows; without labelled pages the prior counts decide.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ SAMPLE_PAGES = 1500  # bound of the training sample
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select button canvas audio video".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
+CONTROL = frozenset(("button", "select"))  # inline variables of their own
 BLOCK = frozenset("""html head body address article aside blockquote caption center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul""".split())
 CLOSES_P = BLOCK - frozenset("html head body caption td th tr tbody thead tfoot legend option optgroup".split())
@@ -43,7 +45,7 @@ CLOSES_P = BLOCK - frozenset("html head body caption td th tr tbody thead tfoot
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}), "option": ({"option"}, {"select"})}
 
 # Known kinds of parts, by words of tag, class, id and role.
-OTHER_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
+OTHER_TAGS = frozenset("nav header footer aside form menu dialog fieldset button select".split())
 OTHER_WORDS = frozenset("""ad ads advert advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs
 header footer masthead topbar toolbar comment comments disqus reply replies respond notice cookie cookies consent gdpr alert popup modal overlay newsletter subscribe
 subscription signup login share sharing social related recommended more widget pagination pager copyright legal disclaimer skip search""".split())
@@ -60,6 +62,7 @@ CLIP_FEATURE = {"tag": 1.0, "size": 1.0, "link": 3.0}  # of what one feature say
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>""", re.DOTALL)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in RAW}
+_NEXT = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.IGNORECASE) for t in CONTROL}
 _ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
@@ -133,7 +136,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
                     if block:
                         texts.append((stack[-1][1], None))
                     break
-                if tag not in BLOCK and stack[k][0] in BLOCK:
+                if tag not in BLOCK and tag not in CONTROL and stack[k][0] in BLOCK:
                     break  # an inline end tag does not close a block
             continue
         if tag in VOID:
@@ -145,8 +148,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             continue
         if m[3].rstrip().endswith("/") and tag not in BLOCK:
             continue
+        if tag in CONTROL and not ((following := _NEXT[tag].search(page, at)) and following[1]):
+            continue  # never closed: what follows is not inside it
         if tag in CLOSES_P:
-            close({"p"}, BLOCK - {"p"})
+            close({"p"}, BLOCK - {"p"} | CONTROL)
         if tag in ENDS:
             close(*ENDS[tag])
         if tag in BLOCK:
@@ -155,8 +160,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             texts.append((len(nodes) - 1, None))
         else:
             kind = _kind(tag, m[3]) if m[3] else "plain"
-            if kind in ("other", "hidden") and tag != "a":  # an inline part of another kind is a variable too
-                nodes.append(Node("inline", kind, stack[-1][1]))
+            if tag in CONTROL or kind in ("other", "hidden") and tag != "a":  # an inline part of another kind is a variable too
+                nodes.append(Node(tag if tag in CONTROL else "inline", kind, stack[-1][1]))
                 stack.append((tag, len(nodes) - 1))
             else:
                 stack.append((tag, stack[-1][1]))

@@ -67,6 +67,14 @@ def test_a_line_feed_between_inline_elements_is_a_space(model):
     assert extract(page, model) == "See one two and more of it\nNext."
 
 
+@pytest.mark.parametrize("part,text", [('<svg class="x" viewBox="0 0 1 1"/>', ""), ("<math/>", ""), ("<button>Go ", "Go "), ("<select><option>Go ", "\nGo "), ("<canvas>", ""), ("<video src=x>", ""), ("<object data=x>Text instead.</object>", "Text instead."), ("<audio>Text instead.</audio>", "Text instead."),
+                                       ("<math><mi>x</mi><mo>=</mo><mn>1</mn></math>", "x=1"), ("<button><div>Subscribe</div></button>", "\n"), ("<select><option>One<option>Two</select>", "\n")])
+def test_embedded_parts_lose_no_article_text(model, part, text):
+    page = f"<body><article><h1>Title</h1><p>The first paragraph, {part}with more of it.</p><p>And the second one.</p></article><button>Site</button></body>"
+    body = "\n".join(line for x in f"The first paragraph, {text}with more of it.".split("\n") if (line := " ".join(x.split())))
+    assert extract(page, model) == f"Title\n{body}\nAnd the second one."
+
+
 def test_pages_without_marks(model):
     page = "<body><nav><a href=a>Home</a></nav><div class=content><h2>Title</h2><p>The first paragraph of a page without any article element.</p><p>The second one.</p></div><section class=comments><article class=comment><p>A comment by some reader, quite long.</p></article></section>"
     assert extract(page, model) == "Title\nThe first paragraph of a page without any article element.\nThe second one."
