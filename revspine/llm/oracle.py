@@ -61,6 +61,44 @@ SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM coded LEFT JOIN kept USING (r)
 """
 
+#: Prefixes as strings of hashes; a node's subtree is found through the rebuilt turns of its smallest member.
+PREFIX_TRIE = r"""
+WITH turns AS (
+    SELECT conv_id AS c, md5(coalesce(role, '')) || md5(coalesce(text, '')) AS word, strlen(coalesce(text, '')) AS size,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (  -- the checksum, bit by bit
+    SELECT c, c - c % 5 AS base, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+               lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)), lambda x, step: xor(x >> 1, 3988292384::BIGINT * (x & 1))))) % 9 AS h
+    FROM (SELECT DISTINCT c FROM turns)
+),
+rebuilt AS (
+    SELECT convs.c, n AS place, word, size FROM convs JOIN turns ON turns.c = base WHERE n <= h
+    UNION ALL
+    SELECT convs.c, 9 + n, word, size FROM convs JOIN turns USING (c) WHERE n > h
+),
+prefixes AS (
+    SELECT c, row_number() OVER own AS d, string_agg(word, '') OVER own AS name, size FROM rebuilt
+    WINDOW own AS (PARTITION BY c ORDER BY place ROWS UNBOUNDED PRECEDING)
+    UNION ALL
+    SELECT c, 0, '', 0 FROM convs
+),
+members AS (SELECT *, d = max(d) OVER (PARTITION BY c) AS ends FROM prefixes),
+nodes AS (
+    SELECT d, name, min(c) AS conv_id, count(*) AS n_convs, max(size) AS size, substr(name, 1, 64 * (d - 1)) AS up,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY d, name
+),
+children AS (SELECT d - 1 AS d, up AS name, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+below AS (
+    SELECT a.d, a.name, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.size) AS saved
+    FROM nodes u LEFT JOIN children USING (d, name) JOIN members a ON a.c = u.conv_id AND a.d <= u.d GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below USING (d, name) LEFT JOIN children USING (d, name) LEFT JOIN nodes p ON p.d = n.d - 1 AND p.name = n.up
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op6_decontamination": DECONTAMINATION, "op8_repeats": REPEATS}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op6_decontamination": DECONTAMINATION, "op8_repeats": REPEATS, "op13_prefix_trie": PREFIX_TRIE}

@@ -1,0 +1,119 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from revspine.llm import prefix_trie, queries
+from revspine.llm.common import table
+from revspine.llm.prefix_trie import SlotTable, paths, trie
+
+SHAPE = "conv_id long, turn long, role string, text string"
+
+
+def rebuilt(rows, family=5, splice=9):
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts, key=lambda t: (t[0], t[1] or 0, t[2], t[3]))] for c, ts in own.items()}
+    if not family:
+        return own
+    out = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % splice
+        base = c - (abs(c) % family) * (1 if c >= 0 else -1)
+        out[c] = own.get(base, [])[:h] + ts[h:]
+    return out
+
+
+def brute(convs):
+    nodes = {}
+    for c, ts in convs.items():
+        for d in range(len(ts) + 1):
+            nodes.setdefault(tuple(ts[:d]), []).append(c)
+    own = {p: (len(m) - 1) * len(p[-1][1].encode()) if p else 0 for p, m in nodes.items()}
+    inner = {p[:-1] for p in nodes if p}
+    out = []
+    for p, m in nodes.items():
+        under = [q for q in nodes if q[: len(p)] == p]
+        ends = ",".join(map(str, sorted(c for c in m if len(convs[c]) == len(p))))
+        out.append((min(m), len(p), min(nodes[p[:-1]]) if p else None, len(m), sum(len(q) == len(p) + 1 for q in under), sum(q not in inner for q in under),
+                    sum(own[q] for q in under), hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    out = queries.op13_prefix_trie(spark, sf)
+    assert out.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    assert got(out) == brute(rebuilt(rows))
+
+
+def _random(seed, n=300):
+    r = random.Random(seed)
+    rows = []
+    for c in r.sample(range(-40, 400), n // 4):
+        hot = r.random() < 0.4
+        for t in range(r.choice([1, 2, 5, 9, 12])):
+            rows.append((c, t if r.random() < 0.95 else None, "user" if t % 2 == 0 else None, "same" if hot and t < 4 else r.choice(["a", "b", "ß é", "", None])))
+    return rows
+
+
+@pytest.mark.parametrize("light", [1, 4, 1024])
+def test_equals_brute_force(spark, light, monkeypatch):
+    """With any number of heavy nodes, from all shared ones to none; small packs and blocks."""
+    monkeypatch.setattr(prefix_trie, "PACK", 16)
+    monkeypatch.setattr(prefix_trie, "BLOCK", 5)
+    rows = _random(light)
+    df = spark.createDataFrame(rows, SHAPE)
+    assert got(trie(paths(df, family=5, splice=9), light)) == brute(rebuilt(rows))
+    assert got(trie(paths(df), light)) == brute(rebuilt(rows, family=None))
+
+
+def test_odd_rows(spark):
+    long_ = "x" * 1_000_000
+    rows = [(1, None, None, None), (1, None, None, None), (1, 0, "user", ""), (None, 0, "user", "left out"), (2, 5, "user", long_), (2, 5, "user", long_ + "y"),
+            (2, 3, "a", None), (7, 0, "us", "er:x"), (8, 0, "user", ":x"), (9, 2**62, "ü", "漢\x00"), (-3, -1, "", "neg"), (0, 1, "user", "base"), (0, 1, "user", "base")]
+    df = spark.createDataFrame(rows, SHAPE)
+    assert got(trie(paths(df, family=5, splice=9))) == brute(rebuilt(rows))
+    assert got(trie(paths(df, family=5, splice=9), 1)) == brute(rebuilt(rows))
+    assert trie(paths(spark.createDataFrame([], SHAPE))).count() == 0
+
+
+def test_turnless_conversations_belong_to_the_root(spark):
+    c = next(c for c in range(1, 200) if c % 5 and zlib.crc32(str(c).encode()) % 9 > 1)
+    rows = [(c, 0, "user", "gone"), (c + 1000 - c % 5, 0, "user", "x")]
+    out = got(trie(paths(spark.createDataFrame(rows, SHAPE), family=5, splice=9)))
+    assert out == brute(rebuilt(rows)) and any(r[1] == 0 and r[3] == 2 for r in out)
+
+
+def test_extra_columns_with_clashing_names(spark):
+    rows = [(c, t, "user", "a" * (c % 2 + t)) for c in range(12) for t in range(3)]
+    df = spark.createDataFrame(rows, SHAPE).selectExpr("*", "conv_id AS family", "turn AS depth", "text AS hi", "text AS head", "text AS key", "role AS bytes")
+    assert got(trie(paths(df, family=5, splice=9), 2)) == brute(rebuilt(rows))
+
+
+def test_very_long_conversation(spark):
+    rows = [(c, t, "user", str(t % 7)) for c in (10, 11) for t in range(3000)]
+    out = got(trie(paths(spark.createDataFrame(rows, SHAPE)), 1))
+    assert len(out) == 3001 and all(r[3] == 2 and r[5] == 1 for r in out)
+    assert max(r[6] for r in out) == 3000
+
+
+def test_slots_are_minimal_perfect_and_verified():
+    r = np.random.default_rng(3)
+    hi, lo = r.integers(-(2**63), 2**63 - 1, 50_000), r.integers(-(2**63), 2**63 - 1, 50_000)
+    t = SlotTable(hi, lo)
+    s = t.slots(hi, lo)
+    assert sorted(s.tolist()) == list(range(50_000))
+    assert (t.slots(hi, lo ^ 1) == -1).all() and (t.slots(hi[:0], lo[:0]) == -1).all()
+    assert (SlotTable(hi[:0], lo[:0]).slots(hi[:9], lo[:9]) == -1).all()
+    with pytest.raises(ValueError):
+        SlotTable(np.array([1, 1]), np.array([2, 2]))
