@@ -11,7 +11,8 @@ partitions after a shuffle.  So at most one window in ``MERGE`` partitions is
 padded, and no task holds more than its open windows or ``MERGE`` rests.
 
 Defined results: a NULL or empty text is the closing id alone; texts longer
-than a window are cut; an empty table gives no pieces; repeated rows are packed
+than a window are cut; the string of an added token in a text is that token, as
+the file's default setting has it; an empty table gives no pieces; repeated rows are packed
 once each; a NULL id is carried as NULL.
 """
 
@@ -44,7 +45,7 @@ WINDOW = 1024
 OPEN_WINDOWS = 32
 MERGE = 256  # partitions whose rests are merged together
 CACHED_WORDS = 200_000  # bound of a worker's word cache, which changes speed only
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
 class _Words(dict):
@@ -65,14 +66,18 @@ class Encoder:
     """Ids of texts by a byte-level BPE file of ``tokenizers``.
 
     BPE never merges across pre-tokens, so the file's model is asked once per
-    distinct pre-token, up to a bound of remembered ones.
+    distinct pre-token, up to a bound of remembered ones.  A text that holds the
+    string of an added token goes to the library as a whole, which gives that
+    token's id; with ``plain`` such strings are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.bpe = Tokenizer.from_file(path)
-        self.bpe.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.bpe.encode_special_tokens = plain
+        added = [] if plain else [re.escape(t.content) for t in self.bpe.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([_UNCOMMON.pattern, *added])).search
         self.words = _Words(self.bpe.model.tokenize)
         self.find, self.find_latin = regex.compile(PATTERN).findall, re.compile(LATIN_PATTERN).findall
 
@@ -81,7 +86,7 @@ class Encoder:
         words = self.words
         out = []
         for t in texts:
-            if _UNCOMMON.search(t):  # classes of other characters differ between Unicode versions: ask the library
+            if self.whole(t):  # added tokens, and characters whose classes differ between Unicode versions: ask the library
                 out.append(np.array(self.bpe.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
                 continue
             find = self.find if _BEYOND_LATIN.search(t) else self.find_latin
@@ -89,11 +94,11 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """One per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, plain: bool = False) -> Encoder:
+    """One per worker process, file and setting."""
+    if (path, plain) not in _ENCODERS:
+        _ENCODERS[path, plain] = Encoder(path, plain)
+    return _ENCODERS[path, plain]
 
 
 class Packer:

@@ -8,11 +8,12 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, html_extract, language_id, packing, prefix_trie, repeats, secrets_scan, sharding, simhash_dedup, toxicity, word_lexicon
+from . import decontaminate, exact_dedup, html_extract, language_id, packing, prefix_trie, repeats, secrets_scan, sharding, simhash_dedup, token_alignment, toxicity, word_lexicon
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -56,6 +57,10 @@ def op10_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.digest(table(spark, sf_dir, "documents"), TOKENIZER, PIECE_TOKENIZER)
+
+
 def op12_word_lexicon(spark, sf_dir):
     return word_lexicon.digest(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
@@ -70,5 +75,5 @@ def pipeline(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     own = (op1_exact_dedup, op2_packing, op3_toxicity, op4_secrets, op5_language_id, op6_decontamination, op7_sharding, op8_repeats,
-           op9_html_extraction, op10_simhash_dedup, op12_word_lexicon, op13_prefix_trie, pipeline)
+           op9_html_extraction, op10_simhash_dedup, op11_token_alignment, op12_word_lexicon, op13_prefix_trie, pipeline)
     return {q.__name__: q for q in own}

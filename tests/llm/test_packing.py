@@ -11,7 +11,6 @@ from revspine.llm.common import table
 from revspine.llm.packing import Encoder, Packer, pack, pour
 
 TOK = Tokenizer.from_file(queries.TOKENIZER)
-TOK.encode_special_tokens = True
 
 
 def ids(text):
@@ -56,6 +55,15 @@ def test_encoder_equals_the_library():
     assert e.encode(cases) == [ids(c)[:-4] for c in cases]
 
 
+def test_strings_of_added_tokens():
+    def plain(e, text):
+        return np.frombuffer(e.encode([text])[0], "<u4").tolist()
+
+    text = "a<|endoftext|>b"
+    assert plain(Encoder(queries.TOKENIZER), text) == [64, 50256, 65] == TOK.encode(text, add_special_tokens=False).ids
+    assert plain(Encoder(queries.TOKENIZER, plain=True), text)[:3] == [64, 27, 91]
+
+
 def test_encoder_cache_bound_changes_nothing(monkeypatch):
     monkeypatch.setattr("revspine.llm.packing.CACHED_WORDS", 3)
     texts = ["one two three four five six", "six five four", "one"]
