@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH = r"^-?[0-9]+$"
+_FIRST_SECOND, _LAST_SECOND = -62_135_596_800, 253_402_300_799  # years 1 to 9999
 
 
 def _c(c) -> Column:
@@ -25,10 +26,12 @@ def safe_get(col, default=None) -> Column:
 
 
 def ts_utc(col) -> Column:
-    """Epoch seconds or ISO-8601 text -> UTC timestamp; NULL passes through."""
+    """Epoch seconds or ISO-8601 text -> UTC timestamp; NULL passes through,
+    and a text that is neither is NULL."""
     c = _c(col)
-    return (F.when(c.rlike(_EPOCH), F.timestamp_seconds(c.cast("bigint")))
-             .otherwise(F.to_timestamp(c)))
+    seconds = c.try_cast("bigint")
+    return (F.when(c.rlike(_EPOCH), F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), F.timestamp_seconds(seconds)))
+             .otherwise(c.try_cast("timestamp")))
 
 
 def first_item(arr) -> Column:

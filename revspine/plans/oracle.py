@@ -11,8 +11,10 @@ constants are cast to DOUBLE; ``SUM(BIGINT)`` is HUGEINT, so sums are cast back.
 from __future__ import annotations
 
 from ..schemas import INVOICE_COLUMNS
-from ..sources.fixtures import (AS_OF, BROKEN_AT, BROKEN_EVERY, COPY_EVERY, COPY_WINS_EVERY, DOCUMENT_KEYS, PLAN_AMOUNTS,
-                                SQL_INVOICE_LINES, SQL_MANIFEST, SQL_SUBSCRIPTIONS)
+from ..sources.fixtures import (AS_OF, BROKEN_AT, BROKEN_EVERY, COPY_EVERY, COPY_WINS_EVERY, DAMAGED_DOCUMENT_AT,
+                                DAMAGED_DOCUMENT_EVERY, DOCUMENT_KEYS, LOST_ENTRY_AT, LOST_ENTRY_EVERY, PLAN_AMOUNTS, SQL_INVOICE_LINES,
+                                SQL_MANIFEST, SQL_SUBSCRIPTIONS, UNREADABLE_AMOUNT_AT, UNREADABLE_AMOUNT_EVERY, UNREADABLE_CREATED_AT,
+                                UNREADABLE_CREATED_EVERY, UNREADABLE_NAME_AT, UNREADABLE_NAME_EVERY, UNREADABLE_QUANTITY_AT, UNREADABLE_QUANTITY_EVERY)
 
 #: Statuses that count, and months per billing period, of each variant.
 _COUNTED = {"full": ("active", "past_due", "canceled"), "view": ("active", "past_due", "canceled"), "api": ("active", "past_due", "canceled")}
@@ -230,8 +232,8 @@ flat_subscriptions AS (
            CASE WHEN k % 10 <> 9 THEN plan_interval END AS plan_interval,
            CASE WHEN k % 10 <> 9 THEN ifnull(plan_interval_count, 1) END::BIGINT AS plan_interval_count,
            currency,
-           CASE WHEN plan_amount IS NULL THEN 1 ELSE quantity END::BIGINT AS quantity,
-           created_at, current_period_start, current_period_end, canceled_at, cancel_at_period_end,
+           CASE WHEN plan_amount IS NULL OR k % {UNREADABLE_QUANTITY_EVERY} = {UNREADABLE_QUANTITY_AT} THEN 1 ELSE quantity END::BIGINT AS quantity,
+           CASE WHEN k % {UNREADABLE_CREATED_EVERY} <> {UNREADABLE_CREATED_AT} THEN created_at END AS created_at, current_period_start, current_period_end, canceled_at, cancel_at_period_end,
            ended_at, trial_start, trial_end, extracted_at
     FROM subscriptions
 )"""
@@ -282,7 +284,8 @@ FROM flat_subscriptions WHERE k % {COPY_EVERY} = 0"""
 def extract_subscriptions_sql() -> str:
     """One row per manifest entry; the greater of two records of an id is the one looked up."""
     return f"""WITH {SQL_SUBSCRIPTIONS}, {_FLAT_SUB}, {SQL_MANIFEST}
-SELECT m.subscription_id, m.customer_id, lower(replace(c.c_name, '#', '.')) || '@example.com' AS customer_email, c.c_name AS customer_name,
+SELECT m.subscription_id, m.customer_id, lower(replace(c.c_name, '#', '.')) || '@example.com' AS customer_email,
+       CASE WHEN c.c_custkey % {UNREADABLE_NAME_EVERY} <> {UNREADABLE_NAME_AT} THEN c.c_name END AS customer_name,
        f.* EXCLUDE (k, subscription_id) REPLACE (CASE WHEN f.k % {COPY_WINS_EVERY} = 0 THEN 'xts' ELSE currency END AS currency)
 FROM manifest m
 JOIN flat_subscriptions f ON m.subscription_id = f.subscription_id
@@ -293,6 +296,34 @@ def extract_errors_sql() -> str:
     return f"WITH {_REJECTS}\nSELECT * FROM rejects"
 
 
+def field_violations_sql() -> str:
+    """Every landed record lists its own: copies of a subscription do so too."""
+    return f"""WITH {SQL_SUBSCRIPTIONS}, {SQL_INVOICE_LINES},
+landed AS (SELECT *, unnest(CASE WHEN k % {COPY_EVERY} = 0 THEN [1, 2] ELSE [1] END) AS copy FROM subscriptions)
+SELECT 'subscriptions' AS load, subscription_id AS record_id, 'items.data[0].quantity' AS field, 'many' AS value FROM landed
+WHERE k % {UNREADABLE_QUANTITY_EVERY} = {UNREADABLE_QUANTITY_AT} AND quantity <> 1 AND plan_amount IS NOT NULL
+UNION ALL
+SELECT 'subscriptions', subscription_id, 'created', 'soon' FROM landed WHERE k % {UNREADABLE_CREATED_EVERY} = {UNREADABLE_CREATED_AT}
+UNION ALL
+SELECT 'subscriptions', 'cus_' || CAST(c_custkey AS VARCHAR), 'name', '{{"full":"' || c_name || '"}}' FROM customer
+WHERE c_custkey % {UNREADABLE_NAME_EVERY} = {UNREADABLE_NAME_AT}
+UNION ALL
+SELECT 'invoices', invoice_id, 'amount_due', CAST(round(l_extendedprice * 100) AS BIGINT) || ' USD' FROM invoice_lines
+WHERE l_linenumber = 1 AND l_orderkey % {UNREADABLE_AMOUNT_EVERY} = {UNREADABLE_AMOUNT_AT}"""
+
+
+def manifest_rejects_sql() -> str:
+    """Entries that are no object, at the end of their documents, and documents that break off."""
+    return f"""WITH {SQL_MANIFEST},
+sized AS (SELECT k // {DOCUMENT_KEYS} AS document, count(*) AS n FROM manifest GROUP BY ALL)
+SELECT 'manifest' AS load, document * 4294967296 + n AS position, NULL::VARCHAR AS customer_id, NULL::VARCHAR AS subscription_id,
+       'malformed' AS reason, 'lost' AS record
+FROM sized WHERE document % {LOST_ENTRY_EVERY} = {LOST_ENTRY_AT}
+UNION ALL
+SELECT 'manifest', NULL, NULL, NULL, 'malformed', '{{"num_customers":' || n || ',"customers":[{{"customer_id":'
+FROM sized WHERE document % {DAMAGED_DOCUMENT_EVERY} = {DAMAGED_DOCUMENT_AT}"""
+
+
 def flatten_invoices_sql() -> str:
     return f"WITH {SQL_INVOICE_LINES}\nSELECT {_INVOICE_COLS} FROM invoice_lines"
 

@@ -17,13 +17,15 @@ from pyspark.sql import types as T
 
 from ..operators import report
 from ..operators.activity import active_sub_months
-from ..operators.extract import cap_per_customer, flatten_invoices, flatten_subscription_records
+from ..operators.extract import REJECT_COLUMNS, cap_per_customer, flatten_invoices, flatten_subscription_records, malformed_records, records
 from ..operators.spine import month_bounds, month_spine
 from ..operators.windows import subscription_windows
-from ..schemas import INVOICE_COLUMNS, RAW_CUSTOMER, RAW_INVOICE, RAW_SUBSCRIPTION, SUBSCRIPTIONS_REQUIRED
+from ..schemas import CORRUPT, INVOICE_COLUMNS, MANIFEST_ENTRY, RAW_CUSTOMER, RAW_INVOICE, RAW_SUBSCRIPTION, SUBSCRIPTIONS_REQUIRED
 from ..session import ensure_utc
 from ..sources import fixtures as fx
+from ..sources.files import scratch
 from ..sources.raw import manifest_entries, parse_json
+from ..sources.staging import stage_source
 from ..sources.tables import required_violations
 from . import oracle
 from .etl import extract
@@ -92,6 +94,19 @@ def _extract(spark, sf_dir):
                    _raw_invoices(spark, sf_dir), fx.EXTRACTED_AT)
 
 
+def _staged_extract(spark, sf_dir, counts_invoices: bool):
+    """The same over sources that are parsed and staged once: subscriptions and
+    customers are read for their rows, their ids and their broken lines."""
+    folder = scratch(spark)
+    subs, customers = (stage_source(raw, f"{folder}/{name}").rows for name, raw in
+                       (("subscriptions", _raw_subs(spark, sf_dir)), ("customers", _raw_customers(spark, sf_dir))))
+    invoices = _raw_invoices(spark, sf_dir)
+    if counts_invoices:  # read for their customers and for broken lines; only these columns are staged
+        kept = stage_source(invoices.select("id", "customer", CORRUPT), f"{folder}/invoices").rows
+        invoices = kept.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_INVOICE if f.name not in ("id", "customer")])
+    return extract(fx.manifest(spark, sf_dir), subs, customers, invoices, fx.EXTRACTED_AT, with_violations=False)
+
+
 def q_flatten_subscriptions(spark, sf_dir):
     return flatten_subscription_records(_raw_subs(spark, sf_dir), fx.EXTRACTED_AT)
 
@@ -106,7 +121,11 @@ def q_cap_per_customer(spark, sf_dir):
 
 
 def q_manifest_entries(spark, sf_dir):
-    return manifest_entries(fx.manifest_documents(spark, sf_dir))
+    return records(manifest_entries(fx.manifest_documents(spark, sf_dir))).select("position", *MANIFEST_ENTRY.fieldNames())
+
+
+def q_manifest_rejects(spark, sf_dir):
+    return malformed_records(manifest_entries(fx.manifest_documents(spark, sf_dir)), "manifest").select(*REJECT_COLUMNS)
 
 
 def q_required_violations(spark, sf_dir):
@@ -157,13 +176,15 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
         "flatten_subscriptions": (q_flatten_subscriptions, oracle.flatten_subscriptions_sql()),
         "flatten_invoices": (q_flatten_invoices, oracle.flatten_invoices_sql()),
         "extract_subscriptions": (lambda s, d: _extract(s, d).subscriptions, oracle.extract_subscriptions_sql()),
-        "extract_errors": (lambda s, d: _extract(s, d).rejects, oracle.extract_errors_sql()),
+        "extract_errors": (lambda s, d: _staged_extract(s, d, False).rejects, oracle.extract_errors_sql()),
+        "field_violations": (lambda s, d: _extract(s, d).violations, oracle.field_violations_sql()),
         "cap_per_customer": (q_cap_per_customer, oracle.cap_per_customer_sql(CAP_TEST_LIMIT)),
         "dedup_invoices": (lambda s, d: _extract(s, d).invoices, oracle.dedup_invoices_sql()),
         "invoices_per_customer": (lambda s, d: _extract(s, d).per_customer(), oracle.invoices_per_customer_sql()),
         "manifest_entries": (q_manifest_entries, oracle.manifest_entries_sql()),
+        "manifest_rejects": (q_manifest_rejects, oracle.manifest_rejects_sql()),
         "required_violations": (q_required_violations, oracle.required_violations_sql(CHECKED_COLUMNS)),
-        "load_summary": (lambda s, d: _extract(s, d).summary(), oracle.load_summary_sql()),
+        "load_summary": (lambda s, d: _staged_extract(s, d, True).summary(), oracle.load_summary_sql()),
     }
 
 

@@ -3,16 +3,20 @@
 ``SUBSCRIPTIONS`` and ``INVOICES`` are the two warehouse tables; ``REQUIRED``
 lists the columns that must never be NULL.  The ``RAW_*`` schemas describe the
 nested billing records as they land in the JSON landing zone.  Every raw time
-field is typed as a string: it may hold epoch seconds or ISO-8601 text, and
-``functions.extract.ts_utc`` resolves both.
+field is typed as a string (``TIME`` in its metadata): it may hold epoch seconds
+or ISO-8601 text, and ``functions.extract.ts_utc`` resolves both.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-#: Text of a landed line that is no record of the declared schema; NULL for a good one.
+#: Text of a landed line that is no JSON object; NULL for a record.
 CORRUPT = "_corrupt_record"
+#: Fields of a record whose value can't be read as the declared type: array of (field, value).
+UNREADABLE = "_unreadable"
+#: Partition column of staged records: true where ``CORRUPT`` holds a line.
+BROKEN = "_broken"
 
 S, L, B, TS, D = T.StringType(), T.LongType(), T.BooleanType(), T.TimestampType(), T.DoubleType()
 
@@ -46,6 +50,18 @@ INVOICE_COLUMNS = tuple(INVOICES.fieldNames())
 REQUIRED = {"subscriptions": SUBSCRIPTIONS_REQUIRED, "invoices": INVOICES_REQUIRED}
 TABLES = {"subscriptions": SUBSCRIPTIONS, "invoices": INVOICES}
 
+# What a load leaves behind besides its two tables.
+REJECTS = _schema([("load", S), ("position", L), ("customer_id", S), ("subscription_id", S), ("reason", S), ("record", S)], ("load", "reason"))
+VIOLATIONS = _schema([("load", S), ("record_id", S), ("field", S), ("value", S)], ("load", "field", "value"))
+SUMMARY = _schema([("table_name", S), ("rows_fetched", L), ("rows_loaded", L), ("rows_rejected", L)], ("table_name", "rows_fetched", "rows_loaded", "rows_rejected"))
+REPORTS = {"load_rejects": REJECTS, "load_violations": VIOLATIONS, "load_summary": SUMMARY}
+
+
+
+def time(name: str) -> T.StructField:
+    return T.StructField(name, S, metadata={"kind": "time"})
+
+
 RAW_RECURRING = T.StructType([
     T.StructField("interval", S), T.StructField("interval_count", L)])
 RAW_PRICE = T.StructType([
@@ -56,10 +72,10 @@ RAW_ITEM = T.StructType([T.StructField("quantity", L), T.StructField("price", RA
 RAW_SUBSCRIPTION = T.StructType([
     T.StructField("id", S), T.StructField("status", S), T.StructField("currency", S),
     T.StructField("items", T.StructType([T.StructField("data", T.ArrayType(RAW_ITEM))])),
-    T.StructField("created", S), T.StructField("current_period_start", S),
-    T.StructField("current_period_end", S), T.StructField("canceled_at", S),
-    T.StructField("cancel_at_period_end", B), T.StructField("ended_at", S),
-    T.StructField("trial_start", S), T.StructField("trial_end", S),
+    time("created"), time("current_period_start"),
+    time("current_period_end"), time("canceled_at"),
+    T.StructField("cancel_at_period_end", B), time("ended_at"),
+    time("trial_start"), time("trial_end"),
 ])
 
 RAW_CUSTOMER = T.StructType([
@@ -68,9 +84,9 @@ RAW_CUSTOMER = T.StructType([
 RAW_INVOICE = T.StructType([
     T.StructField("id", S), T.StructField("customer", S), T.StructField("subscription", S),
     T.StructField("status", S), T.StructField("amount_due", L), T.StructField("amount_paid", L),
-    T.StructField("currency", S), T.StructField("period_start", S), T.StructField("period_end", S),
-    T.StructField("created", S),
-    T.StructField("status_transitions", T.StructType([T.StructField("paid_at", S)])),
+    T.StructField("currency", S), time("period_start"), time("period_end"),
+    time("created"),
+    T.StructField("status_transitions", T.StructType([time("paid_at")])),
     T.StructField("hosted_invoice_url", S),
 ])
 

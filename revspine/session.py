@@ -53,6 +53,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """The engine computes calendar dates in UTC; enforce it on a session."""
-    if spark.conf.get("spark.sql.session.timeZone") != UTC:
-        spark.conf.set("spark.sql.session.timeZone", UTC)
+    """The engine computes calendar dates in UTC, and of a repeated JSON key it
+    takes the last value; enforce both on a session."""
+    for key, value in (("spark.sql.session.timeZone", UTC), ("spark.sql.variant.allowDuplicateKeys", "true")):
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)

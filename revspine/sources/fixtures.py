@@ -1,8 +1,9 @@
 """Test inputs derived by fixed rules from the driver's TPC-H-like tables.
 
 The engine's inputs are two billing tables, a manifest and raw nested records,
-with the flaws of a real landing zone: copies of records, broken lines,
-repeated manifest entries, unknown ids, invoices that two customers share.
+with the flaws of a real landing zone: copies of records, broken lines, fields
+of another type, repeated manifest entries, unknown ids, damaged manifest
+documents, invoices that two customers share.
 Each is derived here from ``orders``, ``customer`` and
 ``lineitem`` (FIXTURES.md), twice: as Spark DataFrames (what the engine runs)
 and as DuckDB SQL (what the oracle runs).  Every derivation is a projection or
@@ -34,7 +35,15 @@ COPY_WINS_EVERY = 194  # ... which sorts after the first when k % 194 = 0
 CUSTOMER_COPY_EVERY = 89  # a second, nameless customer record when c_custkey % 89 = 0
 BROKEN_EVERY, BROKEN_AT = 777, 5  # an extra line that breaks off
 SHARED_EVERY, SHARED_AT = 333, 7  # line 1 of the order is invoiced to the next customer as well
+TEXT_AMOUNT_EVERY, TEXT_AMOUNT_AT = 101, 9  # line 1: amount_due is the integer as text, ...
+DECIMAL_AMOUNT_EVERY, DECIMAL_AMOUNT_AT = 103, 11  # ... has a decimal point, ...
+UNREADABLE_AMOUNT_EVERY, UNREADABLE_AMOUNT_AT = 107, 13  # ... or a currency behind it
+UNREADABLE_QUANTITY_EVERY, UNREADABLE_QUANTITY_AT = 109, 15  # a subscription's quantity (where it has one) is "many"
+UNREADABLE_CREATED_EVERY, UNREADABLE_CREATED_AT = 113, 17  # its creation time is "soon"
+UNREADABLE_NAME_EVERY, UNREADABLE_NAME_AT = 53, 9  # a customer's name is an object
 DOCUMENT_KEYS = 100  # order keys of one manifest document
+DAMAGED_DOCUMENT_EVERY, DAMAGED_DOCUMENT_AT = 5, 3  # a copy of the document that breaks off, ...
+LOST_ENTRY_EVERY, LOST_ENTRY_AT = 4, 1  # ... and an entry at its end that is no object
 CLOCKS = 25
 URL_PREFIX = "https://example.com/"
 
@@ -218,6 +227,11 @@ def _raw_json(fields, time_fields, epoch: F.Column) -> F.Column:
             .otherwise(F.to_json(F.struct(*fields, *times(False))))
 
 
+def _changed(text: F.Column, where, pattern: str, by: str) -> F.Column:
+    """The text of a record with one value of another type, where the condition holds."""
+    return F.when(where, F.regexp_replace(text, pattern, by)).otherwise(text)
+
+
 def _broken(prefix: str, key, where) -> F.Column:
     """A line that breaks off, where the condition holds."""
     return F.when(where, F.concat(F.lit('{"id": "' + prefix), key.cast("string"), F.lit('", "status": ')))
@@ -250,7 +264,9 @@ def raw_subscription_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def record(currency):
         fields = [F.col("subscription_id").alias("id"), "status", currency.alias("currency"), items.alias("items"), "cancel_at_period_end"]
-        return _raw_json(fields, times, k % 2 == 0)
+        text = _raw_json(fields, times, k % 2 == 0)
+        text = _changed(text, k % UNREADABLE_QUANTITY_EVERY == UNREADABLE_QUANTITY_AT, '"quantity":[0-9]+', '"quantity":"many"')
+        return _changed(text, k % UNREADABLE_CREATED_EVERY == UNREADABLE_CREATED_AT, '"created":("[^"]*"|[0-9]+)', '"created":"soon"')
 
     other = F.when(k % COPY_WINS_EVERY == 0, F.lit("xts")).otherwise(F.lit("eur"))
     return _lines(r, record(F.col("currency")), F.when(k % COPY_EVERY == 0, record(other)), _broken("sub_", k, k % BROKEN_EVERY == BROKEN_AT))
@@ -263,7 +279,8 @@ def raw_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     email = F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com"))
 
     def record(shown):
-        return F.to_json(F.struct(_sid("cus_", k).alias("id"), email.alias("email"), shown.alias("name")))
+        text = F.to_json(F.struct(_sid("cus_", k).alias("id"), email.alias("email"), shown.alias("name")))
+        return _changed(text, k % UNREADABLE_NAME_EVERY == UNREADABLE_NAME_AT, '"name":("[^"]*")', '"name":{"full":$1}')
 
     return _lines(c, record(name), F.when(k % CUSTOMER_COPY_EVERY == 0, record(F.lit(None).cast("string"))),
                   _broken("cus_", k, k % BROKEN_EVERY == BROKEN_AT))
@@ -273,16 +290,19 @@ def raw_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw invoice objects as JSON text (column ``value``), duplicates included;
     some are invoiced to two customers, some orders add a broken line."""
     li = invoice_lines(spark, sf_dir)
-    first = F.col("l_linenumber") == 1
+    k, first = F.col("l_orderkey"), F.col("l_linenumber") == 1
     times = {"period_start": F.col("period_start"), "period_end": F.col("period_end"),
              "created": F.col("created_at"), "status_transitions": {"paid_at": F.col("paid_at")}}
 
     def record(customer):
         fields = [F.col("invoice_id").alias("id"), customer.alias("customer"), F.col("subscription_id").alias("subscription"),
                   "status", "amount_due", "amount_paid", "currency", "hosted_invoice_url"]
-        return _raw_json(fields, times, F.col("l_partkey") % 2 == 0)
+        text = _raw_json(fields, times, F.col("l_partkey") % 2 == 0)
+        amount = '"amount_due":([0-9]+)'
+        text = _changed(text, first & (k % TEXT_AMOUNT_EVERY == TEXT_AMOUNT_AT), amount, '"amount_due":"$1"')
+        text = _changed(text, first & (k % DECIMAL_AMOUNT_EVERY == DECIMAL_AMOUNT_AT), amount, '"amount_due":$1.0')
+        return _changed(text, first & (k % UNREADABLE_AMOUNT_EVERY == UNREADABLE_AMOUNT_AT), '"amount_due":"?([0-9]+)(.0)?"?', '"amount_due":"$1 USD"')
 
-    k = F.col("l_orderkey")
     return _lines(li, record(F.col("customer_id")),
                   F.when(first & (k % SHARED_EVERY == SHARED_AT), record(_sid("cus_", F.col("o_custkey") + 1))),
                   _broken("in_", k, first & (k % BROKEN_EVERY == BROKEN_AT)))
@@ -290,13 +310,18 @@ def raw_invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest as documents of at most 100 order keys each: ``document``
-    (their order) and ``value`` (JSON text with a ``customers`` array)."""
+    (their order) and ``value`` (JSON text with a ``customers`` array).  Some end
+    with an entry that is no object, some are there once more and break off."""
     m = manifest(spark, sf_dir)
     entry = F.struct("customer_id", "subscription_id", "plan", "amount", "interval", "clock_id", "status")
     grouped = (m.withColumn("document", F.expr(f"position div {2 * DOCUMENT_KEYS}"))
                 .groupBy("document").agg(F.array_sort(F.collect_list(F.struct("position", entry.alias("entry")))).alias("es")))
     body = F.struct(F.size("es").cast("bigint").alias("num_customers"), F.transform("es", lambda e: e["entry"]).alias("customers"))
-    return grouped.select("document", F.to_json(body).alias("value"))
+    text = _changed(F.to_json(body), F.col("document") % LOST_ENTRY_EVERY == LOST_ENTRY_AT, r"\]\}$", ',"lost"]}')
+    damaged = F.concat(F.lit('{"num_customers":'), F.size("es").cast("string"), F.lit(',"customers":[{"customer_id":'))
+    both = F.array(F.struct("document", text.alias("value")),
+                   F.when(F.col("document") % DAMAGED_DOCUMENT_EVERY == DAMAGED_DOCUMENT_AT, F.struct((-1 - F.col("document")).alias("document"), damaged.alias("value"))))
+    return grouped.select(F.inline(F.array_compact(both)))
 
 
 def golden_series(spark: SparkSession) -> DataFrame:
@@ -387,7 +412,8 @@ one_invoice AS (
            'cus_' || CAST(o.o_custkey AS VARCHAR) AS customer_id,
            'sub_' || CAST(o.o_orderkey AS VARCHAR) AS subscription_id,
            CASE l.l_returnflag WHEN 'A' THEN 'paid' WHEN 'N' THEN 'open' WHEN 'R' THEN 'uncollectible' END AS status,
-           CAST(round(l.l_extendedprice * 100) AS BIGINT) AS amount_due,
+           CASE WHEN NOT (l.l_linenumber = 1 AND l.l_orderkey % {UNREADABLE_AMOUNT_EVERY} = {UNREADABLE_AMOUNT_AT})
+                THEN CAST(round(l.l_extendedprice * 100) AS BIGINT) END AS amount_due,
            CASE WHEN l.l_returnflag = 'A' THEN CAST(round(l.l_extendedprice * 100) AS BIGINT) ELSE CAST(0 AS BIGINT) END AS amount_paid,
            'usd' AS currency,
            CAST(l.l_shipdate AS TIMESTAMP) AS period_start,
@@ -396,7 +422,7 @@ one_invoice AS (
            CASE WHEN l.l_returnflag = 'A' THEN CAST(l.l_shipdate AS TIMESTAMP) + INTERVAL '3' DAY END AS paid_at,
            '{URL_PREFIX}in_' || CAST(l.l_orderkey AS VARCHAR) || '_' || CAST(l.l_linenumber AS VARCHAR) AS hosted_invoice_url,
            TIMESTAMP '{EXTRACTED_AT}' AS extracted_at,
-           l.l_orderkey, l.l_linenumber, o.o_custkey
+           l.l_orderkey, l.l_linenumber, o.o_custkey, l.l_extendedprice
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 invoice_lines AS (
