@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import ctypes
 import gc
+import re
 import tempfile
+import uuid
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import hot_join  # noqa: F401  (shared by the operators here)
+from ..sources.files import delete
 
 #: White space of the text contracts: space, tab, LF, VT, FF, CR.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
@@ -23,15 +28,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (unit tests on one machine) a temporary
-    folder is set; a cluster always names its shared folder.
-    """
+    Only a local session without the setting (tests) gets a temporary folder;
+    on a cluster, where executors do not see each other's disks, it has to be set."""
     sc = spark.sparkContext
-    if sc.getConf().get("spark.checkpoint.dir") is None and not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if named is None and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -41,11 +49,49 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in the shared checkpoint folder, deleted when the program ends."""
+    folder = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    atexit.register(forget, spark, folder)
+    return folder
+
+
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` written as compressed Parquet to a shared folder and read from
+    there: for wide rows that are read more than once."""
+    folder = folder or shared_folder(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def forget(spark: SparkSession, folder: str) -> None:
+    """Delete a shared folder that nothing reads any more."""
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        delete(spark, folder)
+
+
 def text_bytes(text) -> "F.Column":
     """The text as UTF-8 binary; NULL counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast(T.BinaryType())
 
 
+def bounded_sample(df: DataFrame, text_col: str, bound: int, salt: int, classes: tuple[str, ...] = ()) -> DataFrame:
+    """Of each class the ``bound`` different texts of smallest salted hash, one
+    row each: columns ``classes``, the text and ``_h``.
+
+    Only texts count, so the sample holds for NULL and repeated ids and for any
+    number of copies.  Hashes are put in order as narrow rows (copies and most
+    others go before the shuffle); what is kept is ``bound`` rows a class."""
+    hashed = df.select(*classes, text_col, F.xxhash64(F.lit(salt), F.col(text_col)).alias("_h"))
+    distinct = hashed.select(*classes, "_h").distinct()
+    if classes:
+        first = F.row_number().over(Window.partitionBy(*classes).orderBy("_h"))
+        least = distinct.withColumn("_rank", first).where(F.col("_rank") <= bound).drop("_rank")
+    else:
+        least = distinct.orderBy("_h").limit(bound)
+    return hashed.join(F.broadcast(least), [*classes, "_h"]).groupBy(*classes, "_h").agg(F.min(text_col).alias(text_col))
+
+
 def column_bytes(column) -> list[bytes]:
     """The values of a binary Arrow column as Python bytes."""
     if isinstance(column, pa.ChunkedArray):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import bounded_sample, pieces
 
 SAMPLE_PAGES = 1500  # bound of the training sample
 
@@ -307,13 +307,9 @@ def _count(batches):
     yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([k[1] if k[0] == "f" else k[3] for k in keys], pa.int32()), pa.array([str(k[2] if k[0] == "f" else k[1]) for k in keys], pa.string()), pa.array([str(k[3] if k[0] == "f" else k[2]) for k in keys], pa.string()), pa.array([counts[k] for k in keys], pa.int64())], ["what", "state", "name", "value", "n"])
 
 
-def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> dict:
-    """Potentials from about ``sample_pages`` pages of smallest id hash."""
-    total = pages.count()
-    if not total:
-        return train(Counter())
-    most = min(2**63 - 1, -(2**63) + 2**64 * sample_pages // total)
-    drawn = pages.where(F.xxhash64(F.lit(9), F.col(id_col)) <= F.lit(most)).select(F.col(html_col).alias("html"))
+def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> dict:
+    """Potentials from the ``sample_pages`` different pages of smallest hash."""
+    drawn = bounded_sample(pages.where(F.col(html_col).isNotNull()).select(F.col(html_col).alias("html")), "html", sample_pages, 9).select("html")
     rows = drawn.mapInArrow(_count, "what string, state int, name string, value string, n bigint").groupBy("what", "state", "name", "value").agg(F.sum("n").alias("n")).collect()  # a count per tag and feature value
     counts: Counter = Counter()
     for r in rows:

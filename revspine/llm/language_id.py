@@ -6,37 +6,43 @@ n-grams they share, over those that occur in the landmarks, divided by the
 square root of the product of their own counts.  Landmarks, a bounded sample of
 labelled texts, give Nystroem features; one-versus-rest kernel ridge regression
 is solved on them, and texts are scored by batched matrix products (presence
-matrix times landmarks, times coefficients).
-
-The model is fitted on at most ``PER_LANGUAGE`` texts of each language and about
-``SAMPLE_TEXTS`` in all, of at most ``SAMPLE_CHARS`` characters each, chosen by
-a hash of the id; everything is scored from its whole text.
-
-Defined results: a NULL text and one without a letter are ``und`` with score 0;
-with no labelled row at all every text is ``und``; rows with NULL lang are
-scored but not learned from; repeated rows get equal results.
+matrix times landmarks, times coefficients).  Both products are sums of whole
+numbers that floats hold exactly (coefficients are rounded to a binary grid for
+that), so a score does not depend on the batch a text is in; it is rounded to ``DIGITS`` digits.
+
+The model is fitted on the ``PER_LANGUAGE`` different texts of each language
+with the smallest hash (``SAMPLE_TEXTS`` in all; the ``LANGUAGES`` most frequent
+languages), whatever their ids; of a longer text a stretch of ``SAMPLE_CHARS``
+characters teaches.  Everything is scored from its whole text.
+
+Defined results: a NULL text and one without a letter (Unicode category L) are
+``und`` with score 0; with no labelled row at all every text is ``und``; rows
+with NULL lang are scored but not learned from; rows with a NULL id are in no
+fold, so they are learned from; repeated rows get equal results; of equal scores
+the language that comes first by name is taken; columns of any names are kept, also those named like the results; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, in_fold, pieces
+from .common import bounded_sample, chunks, in_fold, pieces
 
 PER_LANGUAGE = 300  # bound of a language's training texts, and ...
 SAMPLE_TEXTS = 2400  # ... of all of them
+LANGUAGES = 600  # bound of the languages that are learned
 SAMPLE_CHARS = 20_000  # of a training text
 LANDMARKS = 32  # per language
 SHORT_WORDS = 6  # every training text also teaches a span of so many words
 RIDGE = 1e-2
 SHARPNESS = 4.0  # of the scores' softmax
 ORDERS = (1, 2, 3)
-_LETTER = re.compile(r"[^\W\d_]")
+DIGITS = 9  # of a score
+_LETTER = regex.compile(r"\p{L}")
 _WORK_BYTES = 1 << 20
 
 
@@ -72,6 +78,11 @@ class Spectrum:
 
     def presence(self, texts: list[str]) -> np.ndarray:
         """Rows of zeros and ones, divided by the square root of their sum."""
+        out = self.bits(texts)
+        return out / np.sqrt(np.maximum(out.sum(1, keepdims=True), 1))
+
+    def bits(self, texts: list[str]) -> np.ndarray:
+        """Rows of zeros and ones: which n-grams of the vocabulary a text has."""
         coded = [_bytes(t) for t in texts]
         data = np.frombuffer(b"\0\0".join(coded), np.uint8)  # no n-gram of a landmark holds two NULs of a seam
         lengths = np.array([len(c) for c in coded])
@@ -81,8 +92,7 @@ class Spectrum:
             at = table[_codes(data, n)]
             hit = np.flatnonzero(at >= 0)
             out[owner[hit] + at[hit]] = 1
-        out = out.reshape(len(texts), self.size)
-        return out / np.sqrt(np.maximum(out.sum(1, keepdims=True), 1))
+        return out.reshape(len(texts), self.size)
 
 
 def _short(text: str) -> str:
@@ -110,7 +120,12 @@ def train(sample: list[tuple[str, str]]) -> dict:
     penalty = RIDGE * np.eye(features.shape[1]) * len(languages) / features.shape[1]
     penalty[-1, -1] = 0
     w = np.linalg.solve(features.T @ (features * weight) + penalty, features.T @ (targets * weight))
-    return {"languages": languages, "vocabulary": spectrum.vocabulary, "landmarks": z.astype(np.float32), "coefficients": (root @ w[:-1]).astype(np.float32), "bias": w[-1].astype(np.float32)}
+    bits = spectrum.bits(marks)
+    shared = bits.sum(1)[:, None].astype(np.float64)  # most n-grams that a text can share with each landmark
+    coefficients = (root @ w[:-1]) / np.sqrt(np.maximum(shared, 1))
+    # on a grid so fine that no sum over landmarks needs more than the 53 bits of a float
+    grid = 2.0 ** (51 - np.ceil(np.log2(max(1.0, float((shared * np.abs(coefficients)).sum(0).max())))))
+    return {"languages": languages, "vocabulary": spectrum.vocabulary, "landmarks": bits, "coefficients": np.rint(coefficients * grid), "grid": grid, "bias": w[-1]}
 
 
 def predict(model: dict, spectrum: Spectrum, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -118,9 +133,11 @@ def predict(model: dict, spectrum: Spectrum, texts: list[str | None]) -> tuple[l
     known = [k for k, t in enumerate(texts) if t and _LETTER.search(t)]
     own = [texts[k] for k in known]
     for lo, hi in chunks(own, lambda t: len(t) + 4096, _WORK_BYTES):
-        s = spectrum.presence(own[lo:hi]) @ model["landmarks"].T @ model["coefficients"] + model["bias"]
+        bits = spectrum.bits(own[lo:hi])
+        common = (bits @ model["landmarks"].T).astype(np.float64)
+        s = (common @ model["coefficients"]) / model["grid"] / np.sqrt(np.maximum(bits.sum(1, keepdims=True), 1)) + model["bias"]
         p = np.exp(SHARPNESS * (s - s.max(1, keepdims=True)))
-        p /= p.sum(1, keepdims=True)
+        p = np.round(p / p.sum(1, keepdims=True), DIGITS)
         for k, row in zip(known[lo:hi], p, strict=True):
             best = int(row.argmax())
             lang[k], score[k] = model["languages"][best], float(min(row[best], 1.0))
@@ -128,27 +145,18 @@ def predict(model: dict, spectrum: Spectrum, texts: list[str | None]) -> tuple[l
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> dict | None:
-    """A model from labelled rows of ``df``; None when there are none.
-
-    The sample of a language is its rows of smallest hash: a threshold from the
-    language's row count leaves about twice the bound, which the driver cuts."""
-    fit_for = F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)
-    rows = df.where(fit_for).select(F.col(lang_col).alias("lang"), F.xxhash64(F.lit(5), F.col(id_col)).alias("h"), F.col(text_col).alias("text"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
+    """A model from labelled rows of ``df``; None when there are none.  The
+    driver gets ``per_language`` texts of each language at most."""
+    usable = F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
+    rows = df.where(usable).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    known = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
+    if not known:
         return None
-    per_language = max(4, min(per_language, SAMPLE_TEXTS // len(counts)))
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        most = min(2**63 - 1, -(2**63) + 2**64 * 2 * per_language // n)
-        keep = keep | ((F.col("lang") == lang) & (F.col("h") <= F.lit(most)))
-    drawn: dict[str, list] = {}
-    for r in rows.where(keep).orderBy("lang", "h", "text").collect():
-        mine = drawn.setdefault(r["lang"], [])
-        if len(mine) < per_language and _LETTER.search(r["text"]):
-            mine.append((r["text"], r["lang"]))
-    sample = [x for lang in sorted(drawn) for x in drawn[lang]]
-    return train(sample) if sample else None
+    per_language = max(4, min(per_language, SAMPLE_TEXTS // len(known)))
+    drawn = bounded_sample(rows.where(F.col("lang").isin(known)), "text", per_language, 5, ("lang",))
+    room = F.length("text") - SAMPLE_CHARS
+    stretch = F.when(room > 0, F.substring("text", F.pmod("_h", room).cast("int") + 1, F.lit(SAMPLE_CHARS))).otherwise(F.col("text"))
+    return train([(r["text"], r["lang"]) for r in drawn.select("lang", "_h", stretch.alias("text")).orderBy("lang", "_h").collect()])
 
 
 def _scored(df: DataFrame, model: dict | None, text_col: str) -> DataFrame:

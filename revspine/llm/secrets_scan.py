@@ -8,7 +8,9 @@ that no pattern has taken is a secret when its mean log-likelihood ratio per
 character exceeds a threshold set between the two samples.
 
 Defined results: NULL text counts as empty; positions are code points of the
-whole text, end exclusive; an empty table gives no rows; without samples the
+whole text, end exclusive; very long texts are scanned whole; repeated rows give
+equal results; documents are sampled by their text, so NULL and repeated ids
+teach like others; other columns are ignored; an empty table gives no rows; without samples the
 models fall back to a uniform prior and add nothing.
 """
 
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, pieces
+from .common import bounded_sample, cut, pieces
 
 # Fixed values of the scan's contract: kinds in their order, and patterns.
 KINDS = ("assign", "access", "hex")
@@ -34,7 +36,8 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")  # holds every access and hex match that is long enough
 SHORTEST = 20  # characters of a run that the models judge
-SAMPLE_DOCS = 8000  # bound of the documents that the models are trained on
+SAMPLE_DOCS = 8000  # bound of the documents that the models are trained on, ...
+RANDOM_WORDS, PLAIN_WORDS = 20_000, 50_000  # ... and of the different words of either sample that the driver gets, the most frequent ones
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _INDEX = {c: k for k, c in enumerate(ALPHABET)}
 _WORD = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
@@ -141,16 +144,13 @@ def _samples(batches):
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.string()), pa.array([found[k] for k in keys], pa.int64())], ["label", "word", "n"])
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> dict:
-    """Models from about ``sample_docs`` documents of smallest id hash; the
-    driver gets bounded word counts."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n = rows.count()
-    most = min(2**63 - 1, -(2**63) + 2**64 * sample_docs // max(1, n))
-    drawn = rows.where(F.col("text").isNotNull() & (F.xxhash64(F.lit(4), "id") <= F.lit(most)))
+def fit(df: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> dict:
+    """Models from the ``sample_docs`` different texts of smallest hash; the
+    driver gets ``RANDOM_WORDS`` and ``PLAIN_WORDS`` counted words at most."""
+    drawn = bounded_sample(df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text")), "text", sample_docs, 4)
     counted = cut(drawn.select("text").mapInArrow(_samples, "label int, word string, n bigint").groupBy("label", "word").agg(F.sum("n").alias("n")))
     take = lambda label, most: {r["word"]: r["n"] for r in counted.where(F.col("label") == label).orderBy(F.desc("n"), "word").limit(most).collect()}
-    return train(take(1, 20_000), take(0, 50_000))
+    return train(take(1, RANDOM_WORDS), take(0, PLAIN_WORDS))
 
 
 def _text_of(spans) -> str:

@@ -11,8 +11,10 @@ a rank within one range, and places are found in the same way over ranges of
 the fractional rank.
 
 Defined results: a NULL source is a stratum of its own; NULL text has size 1
-and the checksum of the empty text; repeated rows (same id) take adjacent
-ranks; an empty table gives no rows.
+and the checksum of the empty text; rows with a NULL id, and rows that repeat an
+id, are shuffled by their further columns (``ties``), so they share a range only
+where they are equal in these too, and there they are ranked as a sorted
+stream; columns named ``shard`` or ``slot`` are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,13 +30,14 @@ BUCKETS = 4096  # a power of two
 def interleave(df: DataFrame, shards: int, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, ties: list[str] = ()) -> DataFrame:
     """``df`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each).
 
-    ``ties`` are columns that order rows of equal id."""
+    ``ties`` are columns that shuffle and order rows of equal id."""
     shift = 64 - (BUCKETS - 1).bit_length()
+    df = df.drop("shard", "slot")
     carried = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)]
     at = {c: f"c{k}" for k, c in enumerate(df.columns)}
     source = F.col(f"`{source_col}`")
     rows = df.select(*carried, F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source.cast("string"))).alias("_source"),
-                     F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")).alias("_h")).withColumn("_bucket", F.shiftrightunsigned("_h", shift))
+                     F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in (id_col, *ties)]).alias("_h")).withColumn("_bucket", F.shiftrightunsigned("_h", shift))
     order = ["_h", at[id_col], *[at[c] for c in ties]]
 
     per_bucket = rows.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_n"))

@@ -17,7 +17,8 @@ fingerprints are found, their components are exact, and output is linear.
 Defined results: NULL text counts as empty; texts without words have
 fingerprint zero and are linked like any other; fewer words than a shingle give
 one shingle of the whole sequence; a NULL id gets its component's smallest
-non-NULL id (NULL if there is none); repeated rows keep their rows.
+non-NULL id (NULL if there is none); repeated rows keep their rows (of a
+component :func:`drop_near_duplicates` keeps one row); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, column_bytes, cut, hot_join, pieces, text_bytes
@@ -36,6 +37,7 @@ from .hashing import xxh64_slices
 SEGMENTS = 8
 CHAIN = 5  # segments of a chain that make a key
 DIVIDED = 2048  # fingerprints of a bucket that is divided once more
+TESTED = 65_536  # fingerprints that the chain test takes together
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _WORK_BYTES = 2 << 20
 
@@ -71,14 +73,17 @@ def fingerprint_texts(texts: list[bytes], width: int = 3, seed: int = 42) -> np.
     return out
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, width: int = 3, seed: int = 42) -> DataFrame:
-    """``id, fp`` (the 64 bits as a signed long) for every row."""
+def fingerprints(df: DataFrame, id_col: str, text_col: str, width: int = 3, seed: int = 42, with_hash: bool = False) -> DataFrame:
+    """``id, fp`` (the 64 bits as a signed long) for every row and, if asked for,
+    ``th``, a hash of the text."""
 
     def run(batches):
         for b in pieces(batches, 1):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fingerprint_texts(column_bytes(b.column(1)), width, seed).view(np.int64))], ["id", "fp"])
+            fp = pa.array(fingerprint_texts(column_bytes(b.column(1)), width, seed).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), fp, *b.columns[2:]], ["id", "fp", "th"][: 2 + with_hash])
 
-    return df.select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text")).mapInArrow(run, "id bigint, fp bigint")
+    columns = [F.col(f"`{id_col}`").cast("bigint").alias("id"), text_bytes(text_col).alias("text")] + [F.xxhash64(text_bytes(text_col)).alias("th")] * with_hash
+    return df.select(*columns).mapInArrow(run, "id bigint, fp bigint" + ", th bigint" * with_hash)
 
 
 def budgets(tau: int, segments: int = SEGMENTS) -> list[int]:
@@ -156,10 +161,7 @@ def _search(rest: np.ndarray, tau: int) -> list[tuple[int, int]]:
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             node = queue.pop()
-            x = rest ^ node
-            near = np.zeros(len(x), bool)
-            close = np.flatnonzero(np.bitwise_count(x) <= 2 * tau)  # the ring test needs arrays of its own; this bound keeps them small
-            near[close] = linked(x[close], tau)
+            near = np.concatenate([linked(rest[lo : lo + TESTED] ^ node, tau) for lo in range(0, len(rest), TESTED)])
             found, rest = rest[near], rest[~near]
             edges += [(int(node), int(f)) for f in found]
             queue += list(found)
@@ -254,6 +256,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, tau: int = 3) -> DataFrame:
-    """The rows of ``df`` without those whose component holds a smaller id."""
-    gone = near_duplicates(df, id_col, text_col, width, tau).where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone"))
-    return df.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """One row of ``df`` per component: the one with the smallest id (NULL ids
+    last), of equal ids the one with the smallest text hash, of rows that repeat
+    both any one.  Rows are told apart by id and text, never by id alone, so
+    different texts that share an id, or have none, are documents of their own.
+
+    Only what goes is joined with the texts: the rows that lose in their
+    component, and the few whose id and text are there more than once."""
+    named = fingerprints(df, id_col, text_col, width, with_hash=True)
+    keys = cut(named.groupBy("id", "th", "fp").agg(F.count(F.lit(1)).alias("copies")))
+    distinct = keys.select("fp").distinct()
+    roots = connected_components(links(distinct, tau)).withColumnRenamed("node", "fp")
+    placed = cut(hot_join(keys, distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), ["fp"]))
+    first = F.row_number().over(Window.partitionBy("root").orderBy(F.col("id").asc_nulls_last(), "th"))  # limited before the shuffle
+    best = placed.select("root", "id", "th", first.alias("_rank")).where("_rank = 1").select("root", F.col("id").alias("_id"), F.col("th").alias("_th"))
+    wins = F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
+    marked = cut(hot_join(placed, best, ["root"]).withColumn("_wins", wins).where(~F.col("_wins") | (F.col("copies") > 1)).select("id", "th", "_wins"))
+
+    names = df.columns
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], F.col(f"`{id_col}`").cast("bigint").alias("_row_id"), F.xxhash64(text_bytes(text_col)).alias("_row_th"))
+    same = F.col("_row_id").eqNullSafe(F.col("id")) & (F.col("_row_th") == F.col("th"))
+    kept = rows.join(marked, same, "left_anti")
+    repeated = marked.where("_wins").select("id", "th")
+    if not repeated.isEmpty():
+        one = F.row_number().over(Window.partitionBy("_row_id", "_row_th").orderBy("_row_th"))
+        kept = kept.unionByName(rows.join(repeated, same, "left_semi").withColumn("_one", one).where("_one = 1").drop("_one"))
+    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])

@@ -1,9 +1,10 @@
 import zlib
 
 import numpy as np
+import pytest
 from helpers import SHAPE, documents, odd_rows
 
-from revspine.llm import queries
+from revspine.llm import language_id, queries
 from revspine.llm.common import table
 from revspine.llm.language_id import ORDERS, Spectrum, classify, fit, identify, predict, train
 
@@ -37,6 +38,73 @@ def test_batches_do_not_mix_texts():
     assert predict(model, s, texts)[0] == ["en", "de", "und", "und", "und", "fr", "en"]
 
 
+def test_scores_are_those_of_plain_kernel_ridge_regression():
+    """Kernels from sets of n-grams, the same regression solved on them without presence matrices."""
+    model = train(SAMPLE)
+    marks = [t for t, _ in SAMPLE]
+    vocabulary = set().union(*map(_grams, marks))
+
+    def kernel(a, b):
+        x, y = _grams(a) & vocabulary, _grams(b) & vocabulary
+        return len(x & y) / np.sqrt(max(1, len(x)) * max(1, len(y)))
+
+    languages = sorted({lang for _, lang in SAMPLE})
+    texts = marks + [language_id._short(t) for t in marks]
+    labels = [lang for _, lang in SAMPLE] * 2
+    mm = np.array([[kernel(a, b) for b in marks] for a in marks])
+    nm = np.array([[kernel(a, b) for b in marks] for a in texts])
+    values, vectors = np.linalg.eigh(mm)
+    root = vectors / np.sqrt(np.maximum(values, 1e-6 * values.max()))
+    x = np.hstack([nm @ root, np.ones((len(nm), 1))])
+    y = np.array([[1.0 if lang == want else -1.0 for want in languages] for lang in labels])
+    weight = np.array([[1 / labels.count(lang)] for lang in labels])
+    penalty = language_id.RIDGE * np.eye(x.shape[1]) * len(languages) / x.shape[1]
+    penalty[-1, -1] = 0
+    w = np.linalg.solve(x.T @ (weight * x) + penalty, x.T @ (weight * y))
+    s = Spectrum(model["vocabulary"])
+    for text in ["the dog is here", "die maus und der hund", "une souris", "xyz", "Das Haus " * 50]:
+        z = np.array([kernel(text, m) for m in marks]) @ root @ w[:-1] + w[-1]
+        p = np.exp(language_id.SHARPNESS * (z - z.max()))
+        p /= p.sum()
+        (lang,), (score,) = predict(model, s, [text])
+        assert lang == languages[int(p.argmax())] and abs(score - p.max()) < 1e-4, text
+
+
+def test_scores_do_not_depend_on_the_batch(spark):
+    rows = table(spark, "/root/testdata/sf0.01", "documents").where("lang IS NOT NULL").limit(400).collect()
+    model = train([(r.text[:3000], r.lang) for r in rows[:120] if r.text])
+    s = Spectrum(model["vocabulary"])
+    texts = [r.text for r in rows]
+    whole = list(zip(*predict(model, s, texts), strict=True))
+    for step in (1, 7, 64):
+        assert whole == [x for lo in range(0, len(texts), step) for x in zip(*predict(model, s, texts[lo : lo + step]), strict=True)]
+
+
+def test_signs_that_are_numbers_are_no_letters():
+    model = train(SAMPLE)
+    assert predict(model, Spectrum(model["vocabulary"]), ["½ ² ① Ⅷ", "ª", "Ⅷ a"])[0][0] == "und"
+    assert "und" not in predict(model, Spectrum(model["vocabulary"]), ["ªª", "x Ⅷ"])[0]
+
+
+@pytest.mark.parametrize("ids", ["CAST(NULL AS BIGINT)", "CAST(770 AS BIGINT)", "doc_id"])
+def test_any_ids_give_a_bounded_sample(spark, ids, monkeypatch):
+    """Rows with NULL ids, or one id for all, teach like others, and the driver gets no more than the bound."""
+    received = []
+    monkeypatch.setattr(language_id, "train", lambda sample: received.extend(sample) or train(sample))
+    rows = [(k, f"{SAMPLE[k % 9][0]} number {k % 500}" if k % 4 else SAMPLE[0][0], SAMPLE[k % 9][1] if k % 4 else "en") for k in range(4000)]
+    df = documents(spark, rows).selectExpr(f"{ids} AS doc_id", "text", "lang", "source", "n_chars")
+    model = fit(df, per_language=40)
+    assert model["languages"] == ["de", "en", "fr"]
+    assert len(received) == len(set(received)) == 120  # copies of a text teach once
+
+
+def test_a_language_of_long_texts_is_learned(spark):
+    long_ = [(k, "wort und haus " * 3000 + str(k), "de") for k in range(6)] + [(10 + k, f"the cat {k}", "en") for k in range(6)]
+    model = fit(documents(spark, long_))
+    assert model["languages"] == ["de", "en"]
+    assert predict(model, Spectrum(model["vocabulary"]), ["haus und wort"])[0] == ["de"]
+
+
 def test_odd_rows(spark):
     df = documents(spark, odd_rows() + [(30, "the cat", "en"), (31, "die katze ist", "de")])
     got = classify(df.selectExpr("*", "text AS score", "1 AS _text")).collect()

@@ -31,6 +31,34 @@ def test_run_matches_a_brute_force_version(spark):
     assert sum(1024 - s for s in sizes) < 1024
 
 
+def test_null_and_repeated_ids_through_all_stages(spark, tmp_path):
+    """Different texts under one id, or under none, are documents of their own in every stage."""
+    docs = table(spark, SF, "documents").select(*COLUMNS)
+    texts = [r.text for r in docs.where("length(text) BETWEEN 600 AND 3000").orderBy("doc_id").limit(24).collect()]
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, t) for k, t in enumerate(texts)]
+    rows += [(7, texts[0].upper()), (None, texts[1]), (None, texts[1] + " "), rows[0], rows[1]]
+    made = documents(spark, rows).unionByName(docs.where("length(text) > 200 AND doc_id % 2 = 0"))
+    made.write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, SF, "benchmark").write.parquet(f"{tmp_path}/benchmark.parquet")
+    every = [(r.doc_id, r.text) for r in made.collect()]
+    first = {}
+    for i, t in sorted(every, key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t), (i, t))
+    kept = list(first.values())
+    groups = {}
+    for row, c in zip(kept, components(list(range(len(kept))), [simhash(t) for _, t in kept]), strict=True):
+        groups.setdefault(c, []).append(row)
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    leaked = {k for k, _ in brute([(k, g[0][1]) for k, g in enumerate(groups.values())], items)}
+    clean = [g for k, g in enumerate(groups.values()) if k not in leaked]
+    from test_packing import ids
+    want = sorted(min((x is None, x or 0) for x, _ in g) for g in clean)
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = sorted((p.doc_id is None, p.doc_id or 0) for p in pieces if p.start == 0)
+    assert len(got) == len(clean) and got == want
+    assert sum(p.length for p in pieces) in {sum(x) for x in [[len(ids(g[0][1])) // 4 for g in clean]]} or all(len(g) > 1 for g in clean)
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES, ids=[n for n, _ in corpus_pipeline.STAGES])
 def test_every_stage_takes_odd_rows(spark, name, stage):
     for df in (documents(spark, odd_rows()), spark.createDataFrame([], SHAPE)):

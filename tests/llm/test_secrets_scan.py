@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from helpers import SHAPE, documents, odd_rows
 
 from revspine.llm import queries
@@ -42,6 +43,37 @@ def test_markov_adds_random_strings_and_leaves_words():
     assert markov_spans("see " + "0f3a" * 10, [(4, 44, "hex")], model) == []  # the pattern's span stays alone
 
 
+def test_recall_of_planted_secrets_that_no_pattern_finds(spark):
+    """Random strings of 24 to 48 characters in real documents: nine in ten are
+    found, and few of the documents' own words are."""
+    r = random.Random(11)
+    docs = [(x.doc_id, x.text) for x in table(spark, "/root/testdata/sf0.01", "documents").collect() if x.text and len(x.text) < 20_000]
+    alphabets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+    planted, rows = {}, []
+    for k, (i, text) in enumerate(docs):
+        if k % 2 == 0:
+            s = "".join(r.choice(alphabets[k // 2 % 4]) for _ in range(r.randrange(24, 49)))
+            at = text.find(" ", r.randrange(len(text) + 1))
+            at = len(text) if at < 0 else at
+            text, planted[i] = f"{text[:at]} {s} {text[at:]}", (at + 1, at + 1 + len(s), s)
+        rows.append((i, text))
+    model = fit(spark.createDataFrame(docs, "doc_id long, text string"))
+    found, false = 0, 0
+    for i, text in rows:
+        spans = {(a, e) for a, e, _ in markov_spans(text, brute(text), model)}
+        found += i in planted and planted[i][:2] in spans
+        false += len(spans - {planted[i][:2]} if i in planted else spans)
+    assert found / len(planted) >= 0.9, found / len(planted)
+    assert false <= 0.02 * len(rows), false
+
+
+@pytest.mark.parametrize("ids", ["CAST(NULL AS BIGINT)", "CAST(1 AS BIGINT)"])
+def test_any_ids_teach(spark, ids):
+    df = documents(spark, [(k, f"secret = {'deadbeef' * 4}{k:04x} ordinary_identifier_number{k}") for k in range(50)])
+    same = [fit(x) for x in (df, df.selectExpr(f"{ids} AS doc_id", "text"))]
+    assert (same[0]["table"] == same[1]["table"]).all() and same[0]["threshold"] == same[1]["threshold"]
+
+
 def test_odd_rows(spark):
     rows = odd_rows() + [(20, "é token=abcdefgh1 " + "ab12" * 8, None, "s")]
     got = scan_documents(documents(spark, rows).selectExpr("*", "text AS spans", "1 AS n_hex")).collect()

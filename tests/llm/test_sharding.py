@@ -62,6 +62,23 @@ def test_odd_rows(spark):
     assert shard_digest(spark.createDataFrame([], SHAPE)).count() == 0
 
 
+def test_rows_without_ids_do_not_share_a_range(spark):
+    """NULL ids, and one id for all, are dealt out by their further columns."""
+    for i in ("CAST(NULL AS BIGINT)", "CAST(5 AS BIGINT)"):
+        df = documents(spark, [(k, f"text {k}") for k in range(2000)]).selectExpr(f"{i} AS doc_id", "text", "source")
+        _check(shard_digest(df).collect())
+        seen = interleave(df.selectExpr("doc_id", "source", "crc32(text) AS c"), 4, ties=["c"]).collect()
+        assert [r.c for r in sorted(seen, key=lambda r: (r.shard, r.slot))] != sorted(r.c for r in seen)
+    ranges = df.selectExpr("shiftrightunsigned(xxhash64(17, doc_id, text), 52) AS b").groupBy("b").count().agg({"count": "max"}).first()[0]
+    assert ranges < 20
+
+
+def test_columns_named_like_the_results(spark):
+    df = documents(spark, [(k, "t") for k in range(20)]).selectExpr("doc_id", "source", "7 AS shard", "text AS slot")
+    assert interleave(df, 3).columns == ["doc_id", "source", "shard", "slot"]
+    _check(interleave(df, 3).collect(), 3)
+
+
 def test_extra_columns_with_clashing_names(spark):
     df = documents(spark, [(k, "t") for k in range(20)]).selectExpr("doc_id", "source", "doc_id AS _h", "doc_id AS _rank", "doc_id AS c0")
     rows = interleave(df, 3).collect()

@@ -107,6 +107,39 @@ def test_drop_near_duplicates_keeps_one_of_each_group(spark):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {c for c in (x.component_id for x in near_duplicates(df).collect())}
 
 
+def _texts():
+    t = " ".join(f"w{k}" for k in range(60))
+    return t, t.upper(), " ".join(f"v{k * k}" for k in range(60)), " ".join(f"u{k * 3}" for k in range(60))
+
+
+def near_brute(rows):
+    """The (id, text) rows that stay: of each component the least by id (None last), then by any fixed order of texts."""
+    least = components(list(range(len(rows))), [simhash(t) for _, t in rows])
+    groups = {}
+    for row, c in zip(rows, least, strict=True):
+        groups.setdefault(c, []).append(row)
+    return [[r for r in g if (r[0] is None, r[0] or 0) == min((x is None, x or 0) for x, _ in g)] for g in groups.values()]
+
+
+def test_rows_go_by_id_and_text(spark):
+    t, same, u, v = _texts()
+    cases = [[(3, t), (5, same), (5, u)], [(None, t), (None, same), (None, u)], [(5, t), (5, same), (5, u), (5, v)], [(1, u), (1, u), (1, u), (2, u), (None, u)],
+             [(None, v), (None, v), (7, None), (7, ""), (8, " ")], [(9, t), (None, u), (None, u), (9, t), (4, v)]]
+    for rows in cases:
+        got = [(r.doc_id, r.text) for r in drop_near_duplicates(documents(spark, rows)).collect()]
+        allowed = near_brute(rows)
+        assert len(got) == len(allowed), rows  # one row of each component ...
+        for group in allowed:
+            assert sum(x in group for x in got) >= 1, rows  # ... and it is one of the least
+    got = {(r.doc_id, r.text) for r in drop_near_duplicates(documents(spark, cases[0])).collect()}
+    assert got == {(3, t), (5, u)}
+
+
+def test_a_dense_bucket_in_slices(monkeypatch):
+    monkeypatch.setattr("revspine.llm.simhash_dedup.TESTED", 7)
+    test_a_dense_bucket_gives_a_forest()
+
+
 def test_query_matches_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = sorted((r.doc_id, r.text) for r in table(spark, sf, "documents").collect())
