@@ -2,19 +2,23 @@
 
 Five stages, each one operator applied to all that the stage before kept.  A
 stage's result is written as Parquet in the shared folder and read again, so a
-lost executor costs a re-read and no stage is computed twice.
+lost executor costs a re-read and no stage is computed twice; the stage before
+is deleted then, and the last one when the program ends.
+
+Defined results: documents without text or without a letter go in the first
+stage; texts of any length are whole; of repeated rows one stays; rows with a
+NULL id, and different texts under one id, are documents of their own; other
+columns, also clashing ones, reach the last stage; an empty table gives no pieces.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revspine.llm import decontaminate, exact_dedup, language_id, packing, simhash_dedup
-from revspine.llm.common import ensure_checkpoint_dir, in_fold, table
+from revspine.llm.common import forget, in_fold, shared_folder, stored, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 LEAST_CONFIDENCE = 0.3  # of the best language; `und` has 0
@@ -36,7 +40,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document per SimHash component (3-word shingles, 3 bits): that with the smallest id."""
+    """One document per SimHash component (3-word shingles, 3 bits): that with the smallest id, of equal ids that with the smallest text hash."""
     return simhash_dedup.drop_near_duplicates(docs, width=3, tau=3)
 
 
@@ -55,10 +59,11 @@ STAGES = [("language ID", language), ("exact dedup", exact), ("SimHash near-dedu
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the packed pieces."""
-    ensure_checkpoint_dir(spark)
-    shared = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
-    for n, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{shared}/{n}")
-        docs = spark.read.parquet(f"{shared}/{n}")
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES:
+        folder = shared_folder(spark)
+        docs = stored(stage(spark, docs, sf_dir), folder)
+        if before:
+            forget(spark, before)
+        before = folder
     return docs
