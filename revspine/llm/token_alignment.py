@@ -14,6 +14,8 @@ first; where both end together a group ends.
 3. *Stitch*: a running count of the common ends over all pieces numbers the
    groups; a group that spans pieces gets one number.
 
+Texts are encoded once; their ids are kept in the shared checkpoint folder for
+the two passes over them, counts and documents.
 Corpus-wide counts of id pairs are summed in every task and combined before the
 shuffle.  The ``FREQUENT`` most frequent pairs are shared with all tasks, a
 bound that does not grow with the corpus, and cover nearly all links; links of
@@ -30,6 +32,7 @@ are aligned and counted each; ties for the best count all count; very long texts
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 
 import numpy as np
@@ -37,85 +40,75 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .common import chunks, cut, hot_join, pieces
-from .packing import _BYTE_SYMBOLS, encoder
+from .common import chunks, cut, hot_join, pieces, release, stored
+from .packing import _BYTE_SYMBOLS, _UNCOMMON, PATTERN
 
 WORK = 256  # steps of a piece
 LANES = 4096  # pieces that run side by side
 FREQUENT = 1 << 18  # pairs that all tasks share
 COUNTED_PAIRS = 1 << 20  # distinct pairs a task counts before it hands them on
-REMEMBERED = 200_000  # chunks of text whose pieces a worker remembers; changes speed only
-LONGEST_REMEMBERED = 64  # characters
 _WORK_CHARS = 1 << 19
-_CHUNK = re.compile(r" +[^ ]*")
-_CODERS: dict[tuple, object] = {}
+_LONG_RUN = re.compile(r"\s{2000}|\S{20000}")
+_SYMBOL_BYTES = {v: k for k, v in _BYTE_SYMBOLS.items()}
+_SIDES: dict[tuple[str, str], "Sides"] = {}
 _NONE = 1 << 62  # beyond every offset
 
 
-class ByteTokens:
-    """Side A: ids of ' ' + text by a byte-level BPE file."""
+class Sides:
+    """Ids of both tokenizers: A, a byte-level BPE file, for ' ' + text, and B, a
+    sentencepiece model, which puts the space there itself.
 
-    def __init__(self, path: str):
-        self.encoder = encoder(path, plain=True)
-        vocabulary = self.encoder.bpe.get_vocab()
-        if not all(chr(c) in vocabulary for c in _BYTE_SYMBOLS.values()):
-            raise ValueError("not every byte has a token")  # else every text is given back as it is
-        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]  # a symbol a byte
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(x, "<u4").astype(np.int64) for x in self.encoder.encode([" " + t for t in texts])]
-
-
-class PieceTokens:
-    """Side B: ids of texts by a sentencepiece model, which puts a space before.
-
-    No piece of such a model holds a space after another character, so merges
-    never cross from a character to a space: texts are encoded in chunks of
-    spaces and what follows them, and frequent chunks are remembered."""
+    Where A's ids are in the order of its merges, as in such files, its tokens
+    are their own ranks and ``tiktoken`` gives the same ids in less time.  Texts of other
+    characters, whose classes differ between Unicode versions, and texts with a
+    very long run go to the file's own library."""
 
-    def __init__(self, path: str):
+    def __init__(self, a_path: str, b_path: str):
         from sentencepiece import SentencePieceProcessor
-
-        self.model = SentencePieceProcessor(model_file=path)
-        pieces_ = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces_)]
-        self.sizes = np.array([len(b) for b in self.bytes], np.int64)
-        self.space = self.model.piece_to_id("▁")
-        self.apart = not any(re.search("[^▁]▁", p) for p in pieces_)
-        self.known: dict[str, np.ndarray | None] = {}
-
-    def _learn(self, new: list[str]) -> dict:
-        """The ids of chunks; None where their bytes are not those of the chunk."""
-        out = {}
-        for chunk, ids in zip(new, self.model.encode([c[1:] for c in new], num_threads=1), strict=True):
-            ids = ids if len(chunk) > 1 else [self.space]
-            same = b"".join([self.bytes[i] for i in ids]) == chunk.encode()
-            out[chunk] = np.array(ids, np.int64) if same else None
-        return out
-
-    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
-        split = [_CHUNK.findall(" " + t) if self.apart else [" " + t] for t in texts]
-        new = set().union(*split).difference(self.known)
-        learned = self._learn(sorted(new))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            learned |= self._learn(sorted(set().union(*split).difference(learned)))
-        found = self.known | learned if learned else self.known
-        out = []
-        for words in split:
-            ids = [found[w] for w in words]
-            out.append(None if any(x is None for x in ids) else np.concatenate(ids))
-        self.known.update((c, ids) for c, ids in learned.items() if len(c) <= LONGEST_REMEMBERED)
-        return out
-
-
-def _coder(kind, path: str):
-    """One per worker process and file."""
-    if (kind, path) not in _CODERS:
-        _CODERS[kind, path] = kind(path)
-    return _CODERS[kind, path]
+        from tiktoken import Encoding
+
+        self.library = Tokenizer.from_file(a_path)
+        self.library.encode_special_tokens = True
+        with open(a_path, encoding="utf-8") as f:
+            merges = json.load(f)["model"]["merges"]
+        ids = {t: i for t, i in self.library.get_vocab().items() if t not in {x.content for x in self.library.get_added_tokens_decoder().values()}}
+        if not all(chr(c) in ids for c in _BYTE_SYMBOLS.values()):
+            raise ValueError("not every byte has a token")  # else every text is given back as it is
+        self.sizes_a = np.zeros(max(ids.values()) + 1, np.int64)
+        self.sizes_a[list(ids.values())] = [len(t) for t in ids]  # a symbol a byte
+        joined = ("".join(m if isinstance(m, list) else m.split(" ")) for m in merges)
+        ranked = len(ids) == 256 + len(merges) and all(ids.get(t) == 256 + k for k, t in enumerate(joined))
+        ranks = {bytes(_SYMBOL_BYTES[ord(c)] for c in t): i for t, i in ids.items()}
+        self.fast = Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranked else None
+        self.model = SentencePieceProcessor(model_file=b_path)
+        own = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(own)]
+        self.sizes_b = np.array([len(b) for b in self.bytes_b], np.int64)
+        self.width = np.dtype("<u2" if max(len(self.sizes_a), len(own)) <= 1 << 16 else "<u4")
+
+    def _ids_a(self, text: str) -> list[int]:
+        if self.fast is None or _UNCOMMON.search(text) or _LONG_RUN.search(text):
+            return self.library.encode(" " + text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(" " + text)
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Of each text the ids of A and B, as arrays of ``width``; none where it
+        is empty or not given back byte by byte."""
+        out_a, out_b = [b""] * len(texts), [b""] * len(texts)
+        full = [k for k, t in enumerate(texts) if t]
+        for k, ids in zip(full, self.model.encode([texts[k] for k in full], num_threads=1), strict=True):
+            if b"".join([self.bytes_b[i] for i in ids]) == (" " + texts[k]).encode():
+                out_a[k], out_b[k] = (np.array(x, self.width).tobytes() for x in (self._ids_a(texts[k]), ids))
+        return out_a, out_b
+
+
+def sides(a_path: str, b_path: str) -> Sides:
+    """One per worker process and pair of files."""
+    if (a_path, b_path) not in _SIDES:
+        _SIDES[a_path, b_path] = Sides(a_path, b_path)
+    return _SIDES[a_path, b_path]
 
 
 def crossings(a: np.ndarray, b: np.ndarray, diagonals: np.ndarray) -> np.ndarray:
@@ -172,10 +165,10 @@ def _decimals(size: int) -> tuple[np.ndarray, np.ndarray]:
 class Aligned:
     """A batch of texts: ids, ends, links and groups of all of them."""
 
-    def __init__(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray], side_a: ByteTokens, side_b: PieceTokens):
-        self.n_a, self.n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        self.a, self.b = (np.concatenate([*ids, np.zeros(0, np.int64)]) for ids in (ids_a, ids_b))
-        self.at_a, self.at_b, self.a_last, self.b_last = align(np.cumsum(side_a.sizes[self.a]), np.cumsum(side_b.sizes[self.b]))
+    def __init__(self, ids_a: list[bytes], ids_b: list[bytes], own: Sides):
+        self.n_a, self.n_b = (np.array([len(x) // own.width.itemsize for x in side], np.int64) for side in (ids_a, ids_b))
+        self.a, self.b = (np.frombuffer(b"".join(side), own.width).astype(np.int64) for side in (ids_a, ids_b))
+        self.at_a, self.at_b, self.a_last, self.b_last = align(np.cumsum(own.sizes_a[self.a]), np.cumsum(own.sizes_b[self.b]))
         self.pairs = self.a[self.at_a] << 32 | self.b[self.at_b]
         docs = len(ids_a)
         owner_a = np.repeat(np.arange(docs), self.n_a)
@@ -202,22 +195,32 @@ class Aligned:
         return [text[lo : max(lo, hi - 1)] for lo, hi in zip(ends, ends[1:])]
 
 
-def aligned(texts: list[str | None], a_path: str, b_path: str):
-    """Batches of texts, aligned: their range and what was found."""
-    side_a, side_b = _coder(ByteTokens, a_path), _coder(PieceTokens, b_path)
-    nothing = np.zeros(0, np.int64)
-    for lo, hi in chunks(texts, lambda t: len(t or "") + 64, _WORK_CHARS):
-        own = [t or "" for t in texts[lo:hi]]
-        full = [k for k, t in enumerate(own) if t]
-        ids_a, ids_b = [nothing] * len(own), [nothing] * len(own)
-        for k, a, b in zip(full, side_a.encode([own[k] for k in full]), side_b.encode([own[k] for k in full]), strict=True):
-            if b is not None:
-                ids_a[k], ids_b[k] = a, b
-        yield lo, hi, Aligned(ids_a, ids_b, side_a, side_b)
+def tokens(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row`` (a number of its own for each row), ``doc_id``, ``a`` and ``b``: the ids of both sides."""
+
+    def run(batches):
+        own, row = sides(a_path, b_path), TaskContext.get().partitionId() << 33
+        for batch in pieces(batches, 1):
+            texts = batch.column(1).to_pylist()
+            for lo, hi in chunks(texts, lambda t: len(t or "") + 64, _WORK_CHARS):
+                a, b = own.encode([t or "" for t in texts[lo:hi]])
+                yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(hi - lo)), batch.column(0).slice(lo, hi - lo), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["row", "doc_id", "a", "b"])
+                row += hi - lo
+
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInArrow(run, "row bigint, doc_id bigint, a binary, b binary")
+
+
+def _aligned(batch, a_path: str, b_path: str):
+    """Ranges of a batch of tokens, aligned."""
+    own = sides(a_path, b_path)
+    a, b = (batch.column(name).to_pylist() for name in ("a", "b"))
+    for lo, hi in chunks(a, lambda x: len(x) + 64, _WORK_CHARS):
+        yield lo, hi, Aligned(a[lo:hi], b[lo:hi], own)
 
 
-def pair_counts(df: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
-    """``pair`` (A's id times 2^32 plus B's) and ``n``, its links in all rows."""
+def pair_counts(encoded: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """``pair`` (A's id times 2^32 plus B's) and ``n``, its links in all rows of :func:`tokens`."""
 
     def run(batches):
         held: list[tuple] = []
@@ -232,8 +235,8 @@ def pair_counts(df: DataFrame, a_path: str, b_path: str, text_col: str = "text")
         def batch(codes, n):
             return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], ["pair", "n"])
 
-        for b in pieces(batches, 0):
-            for _, _, found in aligned(b.column(0).to_pylist(), a_path, b_path):
+        for b in batches:
+            for _, _, found in _aligned(b, a_path, b_path):
                 held.append(np.unique(found.pairs, return_counts=True))
                 size += len(held[-1][0])
                 if size > 2 * COUNTED_PAIRS:
@@ -244,8 +247,9 @@ def pair_counts(df: DataFrame, a_path: str, b_path: str, text_col: str = "text")
                         size = 0
         if held:
             yield batch(*combine())
+        release()
 
-    return df.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    return encoded.select("a", "b").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def _documents(a_path: str, b_path: str, shared):
@@ -258,11 +262,10 @@ def _documents(a_path: str, b_path: str, shared):
 
     def run(batches):
         codes, counts, best = shared.value
-        row = TaskContext.get().partitionId() << 33
-        decimals = _decimals(max(len(_coder(ByteTokens, a_path).sizes), len(_coder(PieceTokens, b_path).sizes)))
-        for batch in pieces(batches, 1):
-            ids = batch.column(0)
-            for lo, hi, found in aligned(batch.column(1).to_pylist(), a_path, b_path):
+        own = sides(a_path, b_path)
+        decimals = _decimals(max(len(own.sizes_a), len(own.sizes_b)))
+        for batch in batches:
+            for lo, hi, found in _aligned(batch, a_path, b_path):
                 pairs, which = np.unique(found.pairs, return_inverse=True)
                 at = np.minimum(np.searchsorted(codes, pairs), max(len(codes) - 1, 0))
                 known = codes[at] == pairs if len(codes) else np.zeros(len(pairs), bool)
@@ -270,23 +273,23 @@ def _documents(a_path: str, b_path: str, shared):
                 is_best = known & (n == best[pairs & 0xFFFFFFFF])
                 rare = ~known[which]
                 owner, code = found.owner[rare], which[rare]
-                own, m = np.unique(owner * (len(pairs) + 1) + code, return_counts=True)
-                owner, code = own // (len(pairs) + 1), own % (len(pairs) + 1)
+                each, m = np.unique(owner * (len(pairs) + 1) + code, return_counts=True)
+                owner, code = each // (len(pairs) + 1), each % (len(pairs) + 1)
                 offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=hi - lo)))
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(pairs[code]), pa.array(m.astype(np.int64))], ["pair", "m"]))
                 digests = [hashlib.sha256(t).hexdigest() if t else "" for t in found.group_texts(decimals)]
-                columns = [pa.array(row + np.arange(hi - lo)), ids.slice(lo, hi - lo), *(pa.array(x.astype(np.int64)) for x in (found.n_a, found.n_b, found.n_groups, found.n_links,
+                columns = [*(batch.column(name).slice(lo, hi - lo) for name in ("row", "doc_id")), *(pa.array(x.astype(np.int64)) for x in (found.n_a, found.n_b, found.n_groups, found.n_links,
                            sums(is_best[which], found.n_links), sums(n[which], found.n_links))), pa.array(digests, pa.string()), lists]
-                row += hi - lo
                 yield pa.RecordBatch.from_arrays(columns, names)
+        release()
 
     return run
 
 
 def digest(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    counts = cut(pair_counts(rows, a_path, b_path))
+    encoded = stored(tokens(df, a_path, b_path, id_col, text_col))
+    counts = cut(pair_counts(encoded, a_path, b_path))
     b_id = F.col("pair").bitwiseAND(0xFFFFFFFF).alias("b")
     best = cut(counts.groupBy(b_id).agg(F.max("n").alias("best")))  # B's vocabulary at most
     top = counts.orderBy(F.col("n").desc(), "pair").limit(frequent).orderBy("pair").toArrow()
@@ -295,7 +298,7 @@ def digest(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text
     most[ids.column("b").to_numpy()] = ids.column("best").to_numpy()
     shared = df.sparkSession.sparkContext.broadcast((top.column("pair").to_numpy(), top.column("n").to_numpy(), most))
     shape = "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string, rare array<struct<pair:bigint,m:bigint>>"
-    found = cut(rows.mapInArrow(_documents(a_path, b_path, shared), shape))
+    found = cut(encoded.mapInArrow(_documents(a_path, b_path, shared), shape))
     rare = found.select("row", F.inline("rare")).withColumn("b", b_id)
     rare = hot_join(rare, counts, ["pair"]).join(F.broadcast(best), "b")
     more = rare.groupBy("row").agg(F.sum(F.when(F.col("n") == F.col("best"), F.col("m")).otherwise(0)).alias("_best"), F.sum(F.col("m") * F.col("n")).alias("_sum"))
@@ -308,15 +311,14 @@ def alignments(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
     """One row per group: ``doc_id, group_no, a_ids, b_ids``."""
 
     def run(batches):
-        for batch in pieces(batches, 1):
-            for lo, hi, found in aligned(batch.column(1).to_pylist(), a_path, b_path):
+        for batch in batches:
+            for lo, hi, found in _aligned(batch, a_path, b_path):
                 def lists(ids, last):
                     return pa.ListArray.from_arrays(pa.array(np.append(0, np.flatnonzero(last) + 1), pa.int32()), pa.array(ids))
 
                 first = np.cumsum(found.n_groups) - found.n_groups
                 number = np.arange(found.n_groups.sum()) - np.repeat(first, found.n_groups)
-                owner = np.repeat(np.arange(lo, hi), found.n_groups)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(number), lists(found.a, found.a_last), lists(found.b, found.b_last)], ["doc_id", "group_no", "a_ids", "b_ids"])
+                owner = pa.array(np.repeat(np.arange(lo, hi), found.n_groups))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(owner), pa.array(number), lists(found.a, found.a_last), lists(found.b, found.b_last)], ["doc_id", "group_no", "a_ids", "b_ids"])
 
-    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, group_no bigint, a_ids array<bigint>, b_ids array<bigint>")
+    return tokens(df, a_path, b_path, id_col, text_col).mapInArrow(run, "doc_id bigint, group_no bigint, a_ids array<bigint>, b_ids array<bigint>")

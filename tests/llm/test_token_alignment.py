@@ -8,10 +8,10 @@ from helpers import SHAPE, documents, odd_rows
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from revspine.llm import queries, token_alignment
+from revspine.llm import queries
 from revspine.llm.common import table
 from revspine.llm.packing import _BYTE_SYMBOLS
-from revspine.llm.token_alignment import ByteTokens, PieceTokens, align, alignments, crossings, digest
+from revspine.llm.token_alignment import align, alignments, crossings, digest, sides
 
 A, B = queries.TOKENIZER, queries.PIECE_TOKENIZER
 TOK = Tokenizer.from_file(A)
@@ -101,7 +101,7 @@ def test_query(spark):
 
 
 @pytest.mark.parametrize("frequent", [0, 20, 1 << 18])
-def test_equals_brute_force(spark, frequent, monkeypatch):
+def test_equals_brute_force(spark, frequent):
     """With all pairs through the join, most of them, and none."""
     texts = [(k if k % 9 else None, t) for k, t in enumerate(_texts())]
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
@@ -146,17 +146,13 @@ def test_merge_path_with_pieces_of_any_size(work, lanes):
     assert crossings(a, b, diagonals).tolist() == [sum(m[1] == 0 for m in merged[:d]) for d in diagonals.tolist()]
 
 
-def test_encoders_equal_the_libraries(monkeypatch):
-    texts = _texts()
-    side_a, side_b = ByteTokens(A), PieceTokens(B)
-    assert side_b.apart
-    for remembered in (200_000, 3):
-        monkeypatch.setattr(token_alignment, "REMEMBERED", remembered)
-        for t, a, b in zip(texts, side_a.encode(texts), side_b.encode(texts), strict=True):
-            assert a.tolist() == TOK.encode(" " + t, add_special_tokens=False).ids
-            if t:
-                assert (b is None) == (not tokens(t)[0])
-                assert b is None or b.tolist() == SP.encode(t)
+def test_encoders_equal_the_libraries():
+    texts = _texts() + ["x" * 30_000, " " * 5000 + "a", "a" + "\n" * 30_000 + "b", "ab" * 30_000]
+    own = sides(A, B)
+    assert own.fast is not None
+    for t, a, b in zip(texts, *own.encode(texts), strict=True):
+        want = tokens(t)
+        assert np.frombuffer(a, own.width).tolist() == want[0] and np.frombuffer(b, own.width).tolist() == want[1]
 
 
 def test_extra_columns_with_clashing_names(spark):
