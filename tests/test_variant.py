@@ -1,0 +1,86 @@
+"""Field-wise reading (P1, S1-S4): one unreadable value never costs a record."""
+
+import datetime as dt
+import json
+
+import pytest
+
+from revspine.operators.extract import field_violations, flatten_invoices, flatten_subscription_records, malformed_records
+from revspine.schemas import CORRUPT, RAW_CUSTOMER, RAW_INVOICE, RAW_SUBSCRIPTION, UNREADABLE
+from revspine.sources.raw import manifest_entries, parse_json, read_manifest
+
+NOW = "2024-01-01 00:00:00"
+
+
+def parse(spark, schema, *objects):
+    rows = [(o if isinstance(o, str) else json.dumps(o),) for o in objects]
+    return parse_json(spark.createDataFrame(rows, "value string"), schema)
+
+
+@pytest.mark.parametrize("value, want", [
+    ("12", 12), ("12.0", 12), ('"12"', 12), ('"12.00"', 12), ('"-7"', -7), ("1e3", 1000), ('"+5"', 5), ("null", None), ("9223372036854775807", 2**63 - 1),
+    ("12.5", "12.5"), ('"12 USD"', "12 USD"), ("true", "true"), ('""', ""), ("[1]", "[1]"), ('{"a":1}', '{"a":1}'), ("9223372036854775808", "9223372036854775808")])
+def test_integers(spark, value, want):
+    """``want`` is the number, or the text of a value that is no integer."""
+    (row,) = parse(spark, RAW_INVOICE, f'{{"id":"i","customer":"c","amount_due":{value},"amount_paid":3}}').collect()
+    assert (row.id, row.customer, row.amount_paid) == ("i", "c", 3) and row[CORRUPT] is None
+    if isinstance(want, str):
+        assert row.amount_due is None and [tuple(x) for x in row[UNREADABLE]] == [("amount_due", want)]
+    else:
+        assert row.amount_due == want and row[UNREADABLE] == []
+
+
+def test_texts_flags_and_times(spark):
+    (row,) = parse(spark, RAW_SUBSCRIPTION, {"id": 5, "status": True, "currency": {"code": "usd"}, "cancel_at_period_end": "True", "created": "soon", "ended_at": 10**17,
+                                             "canceled_at": "1700000000", "trial_start": "2024-02-30", "trial_end": 1.5, "current_period_end": "2024-01-01T00:00:00+00:00"}).collect()
+    assert (row.id, row.status, row.currency, row.cancel_at_period_end, row.canceled_at, row.current_period_end) == ("5", "true", None, True, "1700000000", "2024-01-01T00:00:00+00:00")
+    assert {x.field: x.value for x in row[UNREADABLE]} == {"currency": '{"code":"usd"}', "created": "soon", "ended_at": "1" + "0" * 17, "trial_start": "2024-02-30", "trial_end": "1.5"}
+
+
+def test_unreadable_values_take_their_defaults(spark):
+    raw = parse(spark, RAW_SUBSCRIPTION, {"id": "a", "cancel_at_period_end": "maybe", "created": "soon", "items": {"data": [{"quantity": "many", "price": {"unit_amount": "1e", "recurring": {"interval": "year"}}}, {"quantity": "x"}]}},
+                {"id": "b", "items": {"data": "none"}}, {"id": "c", "items": [1]}, {"id": "d", "items": {"data": [7]}})
+    rows = {r.subscription_id: r for r in flatten_subscription_records(raw, NOW).collect()}
+    assert (rows["a"].quantity, rows["a"].cancel_at_period_end, rows["a"].created_at, rows["a"].plan_amount, rows["a"].plan_interval, rows["a"].plan_interval_count) == (1, False, None, None, "year", 1)
+    assert all(rows[k].quantity == 1 and rows[k].plan_amount is None for k in "bcd")
+    assert {(r.record_id, r.field, r.value) for r in field_violations(raw, "subscriptions").collect()} == {
+        ("a", "cancel_at_period_end", "maybe"), ("a", "created", "soon"), ("a", "items.data[0].quantity", "many"), ("a", "items.data[0].price.unit_amount", "1e"),
+        ("b", "items.data", "none"), ("c", "items", "[1]"), ("d", "items.data[0]", "7")}  # only the first item is used
+
+
+def test_only_a_text_that_is_no_object_is_rejected(spark):
+    texts = ['{"id":"x"} trailing', '{"id":"x"}{"id":"y"}', '{"id":"x"},{"id":"y"}', '{"id":"x"}] [', "[]", "null", '"{}"', "3", '{"id":', '{"id":"x",}', "{'id':1}", '{"id":NaN}']
+    good = ['{"id":"k1"}', ' {"id":"k2"}\t', '{"id":"k0","id":"k3"}', "{}", '{"id":"{\\"k4\\":1}"}', '{"id":null,"other":{"deep":[1,{"x":2}]}}']
+    raw = parse(spark, RAW_CUSTOMER, *texts, *good)
+    assert sorted(r.record for r in malformed_records(raw, "x").collect()) == sorted(texts)
+    assert sorted(str(r.id) for r in raw.filter(f"{CORRUPT} IS NULL").collect()) == sorted(["k1", "k2", "k3", "None", '{"k4":1}', "None"])
+
+
+def test_one_parse_of_every_record(spark):
+    """A filter on a field stays above the parser, and unused fields are not read."""
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        flatten_invoices(parse(spark, RAW_INVOICE, {"id": "i"}), NOW).where("invoice_id > 'a'").select("invoice_id", "amount_due").explain()
+    assert out.getvalue().count("parseJson") == 1 and "hosted_invoice_url" not in out.getvalue()
+
+
+def test_damaged_manifests_are_reported(spark, tmp_path):
+    docs = [(0, json.dumps({"customers": [{"customer_id": "c", "subscription_id": "s", "amount": "5.0"}, 3, None, {"customer_id": ["x"], "amount": "much"}]})),
+            (1, '{"customers":[{"customer_id":"lost"'), (2, '{"customers":[]}'), (3, "{}"), (4, '{"customers":{}}')]
+    m = manifest_entries(spark.createDataFrame(docs, "document long, value string"))
+    good = [(r.position, r.customer_id, r.amount) for r in m.filter(f"{CORRUPT} IS NULL").orderBy("position").collect()]
+    assert good == [(0, "c", 5), (3, None, None)]
+    assert {(r.position, r.record) for r in malformed_records(m, "manifest").collect()} == {(1, "3"), (2, "null"), *((None, docs[k][1]) for k in (1, 3, 4))}
+    (tmp_path / "m.json").write_text('{"position":0,"customer_id":"c","subscription_id":"s"}\n{"position":1,"customer_id":\n')
+    lines = read_manifest(spark, str(tmp_path))
+    assert {(r.position, r.load, r.record) for r in malformed_records(lines, "manifest").collect()} == {(None, "manifest", '{"position":1,"customer_id":')}
+
+
+def test_epochs_and_iso_times(spark):
+    from revspine.functions.extract import ts_utc
+
+    df = spark.createDataFrame([("1700000000",), ("-1",), ("2024-01-01T02:00:00+02:00",), ("99999999999999999999",), ("253402300800",), ("x",), (None,)], "t string")
+    assert [r[0] for r in df.select(ts_utc("t")).collect()] == [dt.datetime(2023, 11, 14, 22, 13, 20), dt.datetime(1969, 12, 31, 23, 59, 59), dt.datetime(2024, 1, 1), None, None, None, None]

@@ -1,0 +1,110 @@
+"""Versioned publish (S7): one complete version per load, whatever happens at the same time."""
+
+import os
+import tempfile
+import threading
+
+import pytest
+
+from conftest import make_subs
+from revspine.sources import files, tables, versions
+from revspine.sources.tables import ensure_tables, full_refresh, read_version, rollback, stage
+
+
+@pytest.fixture()
+def db(spark):
+    d = tempfile.mkdtemp(prefix="revspine-wh-")
+    name = "v_" + os.path.basename(d).replace("-", "_")
+    ensure_tables(spark, name, location=d)
+    return name
+
+
+def subs(spark, n):
+    return make_subs(spark, [dict(created_at="2024-01-02")] * n)
+
+
+def test_two_loads_at_once_leave_one_complete_version(spark, db):
+    staged = [stage(subs(spark, n), "subscriptions", db) for n in (3, 5)]
+    errors = []
+
+    def publish(s):
+        try:
+            s.publish(on_conflict="fail")
+        except versions.PublishConflict as e:
+            errors.append(e)
+
+    threads = [threading.Thread(target=publish, args=(s,)) for s in staged]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert len(errors) == 1 and versions.latest(spark, f"{db}.subscriptions").number == 1
+    assert spark.table(f"{db}.subscriptions").count() in (3, 5)
+    lost = next(s for s in staged if s.path != versions.latest(spark, f"{db}.subscriptions").path)
+    assert not files.exists(spark, lost.path)
+
+
+def test_a_publisher_that_lost_the_number_takes_the_next(spark, db):
+    first, second = (stage(subs(spark, n), "subscriptions", db) for n in (3, 5))
+    assert (first.publish(), second.publish()) == (3, 5)
+    assert versions.latest(spark, f"{db}.subscriptions").number == 2 and spark.table(f"{db}.subscriptions").count() == 5
+
+
+def test_many_publishers_get_numbers_of_their_own(spark, db):
+    staged = [stage(subs(spark, n + 1), "subscriptions", db) for n in range(6)]
+    threads = [threading.Thread(target=s.publish) for s in staged]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    last = versions.latest(spark, f"{db}.subscriptions")
+    assert last.number == 6 and spark.table(f"{db}.subscriptions").count() == last.rows == read_version(spark, "subscriptions", db).count()
+
+
+@pytest.mark.parametrize("at", ["before the record", "after the record"])
+def test_a_crash_between_steps(spark, db, at, monkeypatch):
+    full_refresh(subs(spark, 2), "subscriptions", db)
+    staged = stage(subs(spark, 4), "subscriptions", db)
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions.files, "create_if_absent", crash) if at == "before the record" else m.setattr(versions, "sync", crash)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            staged.publish()
+    assert spark.table(f"{db}.subscriptions").count() == 2  # the catalog still has the old version
+    assert read_version(spark, "subscriptions", db).count() == (2 if at == "before the record" else 4)
+    versions.sync(spark, f"{db}.subscriptions")  # what the next load does
+    assert spark.table(f"{db}.subscriptions").count() == (2 if at == "before the record" else 4)
+    assert full_refresh(subs(spark, 7), "subscriptions", db) == 7 and spark.table(f"{db}.subscriptions").count() == 7
+
+
+def test_readers_stay_at_their_version(spark, db):
+    full_refresh(subs(spark, 2), "subscriptions", db)
+    reader = read_version(spark, "subscriptions", db)
+    full_refresh(subs(spark, 4), "subscriptions", db)
+    assert reader.count() == 2 and read_version(spark, "subscriptions", db).count() == 4
+    assert read_version(spark, "subscriptions", db, 1).count() == 2
+
+
+def test_rollback_by_number(spark, db):
+    for n in (1, 2, 3):
+        full_refresh(subs(spark, n), "subscriptions", db)
+    assert rollback(spark, "subscriptions", 2, db) == 4 and spark.table(f"{db}.subscriptions").count() == 2
+    with pytest.raises(LookupError):
+        rollback(spark, "subscriptions", 1, db)  # its files are gone
+    with pytest.raises(LookupError):
+        rollback(spark, "subscriptions", 9, db)
+    full_refresh(subs(spark, 6), "subscriptions", db)
+    assert spark.table(f"{db}.subscriptions").count() == 6 and read_version(spark, "subscriptions", db, 4).count() == 2
+
+
+def test_a_name_is_taken_once(spark, tmp_path):
+    path = f"file:{tmp_path}/a b/7"
+    won = []
+    threads = [threading.Thread(target=lambda k=k: won.append(files.create_if_absent(spark, path, f"text {k}"))) for k in range(8)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(won) == [False] * 7 + [True]
+    assert files.read_text(spark, path).startswith("text ") and files.names(spark, f"file:{tmp_path}/a b") == ["7"]
+
+
+def test_declared_tables_are_known(spark, db):
+    assert {t.name for t in spark.catalog.listTables(db)} >= set(tables._DECLARED)
