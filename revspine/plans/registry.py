@@ -16,19 +16,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import report
-from ..operators.activity import active_sub_months
+from ..operators.activity import PAIR_COLUMNS, active_sub_months
 from ..operators.extract import REJECT_COLUMNS, cap_per_customer, flatten_invoices, flatten_subscription_records, malformed_records, records
+from ..operators.interval_index import active_in, index_windows, read_index, write_index
 from ..operators.spine import month_bounds, month_spine
 from ..operators.windows import subscription_windows
 from ..schemas import CORRUPT, INVOICE_COLUMNS, MANIFEST_ENTRY, RAW_CUSTOMER, RAW_INVOICE, RAW_SUBSCRIPTION, SUBSCRIPTIONS_REQUIRED
 from ..session import ensure_utc
 from ..sources import fixtures as fx
+from ..sources.documents import read_split_manifest
 from ..sources.files import scratch
 from ..sources.raw import manifest_entries, parse_json
 from ..sources.staging import stage_source
-from ..sources.tables import required_violations
+from ..sources.tables import export_json_array, required_violations
 from . import oracle
 from .etl import extract
+from .maintained_view import MaintainedView
 from .mrr import monthly_mrr, revenue_windows
 from .saved_view import mrr_view_sql
 
@@ -57,6 +60,22 @@ def q_active_sub_months(spark, sf_dir):
     return active_sub_months(revenue_windows(subs, "full"), month_bounds(subs, fx.AS_OF))
 
 
+def q_active_in_months(spark, sf_dir):
+    """The pairs of every December, from an index over all windows."""
+    subs = _subs(spark, sf_dir)
+    index, path = index_windows(revenue_windows(subs, "full"), month_bounds(subs, fx.AS_OF)), scratch(spark)
+    write_index(index, path)
+    return active_in(read_index(spark, path, index.schema), [12 * year + 11 for year in fx.ASKED_YEARS]).select("month_start", *PAIR_COLUMNS)
+
+
+def q_mrr_maintained(spark, sf_dir):
+    """A view built from the table as it was, refreshed to the table as it is."""
+    subs, view = _subs(spark, sf_dir), MaintainedView(spark, scratch(spark))
+    view.refresh(fx.earlier(subs))
+    view.refresh(subs)
+    return view.read(fx.AS_OF)
+
+
 def _q_mrr(mode):
     def q(spark, sf_dir):
         return monthly_mrr(_subs(spark, sf_dir), mode, fx.AS_OF)
@@ -124,6 +143,13 @@ def q_manifest_entries(spark, sf_dir):
     return records(manifest_entries(fx.manifest_documents(spark, sf_dir))).select("position", *MANIFEST_ENTRY.fieldNames())
 
 
+def q_manifest_split(spark, sf_dir):
+    """The manifest as one JSON document, written in parts and read by entry boundaries."""
+    entries, path = fx.manifest(spark, sf_dir).orderBy("position").drop("position"), scratch(spark)
+    export_json_array(entries, path, '{"customers":[', "]}")
+    return records(read_split_manifest(spark, path, one=True)).select("position", *MANIFEST_ENTRY.fieldNames())
+
+
 def q_manifest_rejects(spark, sf_dir):
     return malformed_records(manifest_entries(fx.manifest_documents(spark, sf_dir)), "manifest").select(*REJECT_COLUMNS)
 
@@ -161,10 +187,12 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
         "subscription_windows_view": (_q_windows("view"), oracle.subscription_windows_sql("view")),
         "subscription_windows_api": (_q_windows("api"), oracle.subscription_windows_sql("api")),
         "active_sub_months": (q_active_sub_months, oracle.active_sub_months_sql()),
+        "active_in_months": (q_active_in_months, oracle.active_in_months_sql()),
         "monthly_mrr_full": (_q_mrr("full"), oracle.monthly_mrr_sql("full")),
         "monthly_mrr_view": (_q_mrr("view"), oracle.monthly_mrr_sql("view")),
         "monthly_mrr_api": (_q_mrr("api"), oracle.monthly_mrr_sql("api")),
         "monthly_mrr_saved_view": (q_saved_view, oracle.monthly_mrr_sql("view")),
+        "monthly_mrr_maintained": (q_mrr_maintained, oracle.monthly_mrr_sql("view")),
         # dashboard (Q4) and API payload
         "kpi_cards": (_q_report(report.kpi_cards), oracle.kpi_cards_sql()),
         "series_span": (_q_report(report.series_span), oracle.series_span_sql()),
@@ -182,6 +210,7 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
         "dedup_invoices": (lambda s, d: _extract(s, d).invoices, oracle.dedup_invoices_sql()),
         "invoices_per_customer": (lambda s, d: _extract(s, d).per_customer(), oracle.invoices_per_customer_sql()),
         "manifest_entries": (q_manifest_entries, oracle.manifest_entries_sql()),
+        "manifest_split": (q_manifest_split, oracle.manifest_split_sql()),
         "manifest_rejects": (q_manifest_rejects, oracle.manifest_rejects_sql()),
         "required_violations": (q_required_violations, oracle.required_violations_sql(CHECKED_COLUMNS)),
         "load_summary": (lambda s, d: _staged_extract(s, d, True).summary(), oracle.load_summary_sql()),

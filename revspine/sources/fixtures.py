@@ -25,6 +25,7 @@ from ..schemas import SUBSCRIPTION_COLUMNS
 # Fixed values of the derivation rules (FIXTURES.md).
 AS_OF = "2002-03-01"
 EXTRACTED_AT = "2002-03-01 00:00:00"
+ASKED_YEARS = (1995, 1996, 1998, 2001)  # whose Decembers are asked for
 PLAN_AMOUNTS = (2900, 7900, 19900, 49900, 79000, 199000, 21000, 1550, 333)  # by k % 10 = 0..8
 ALT_AMOUNT = 5000  # k % 10 = 9 and k % 4 != 1
 MISSING_SUB_EVERY = 1000  # extra manifest entry sub_missing_k when k % 1000 = 0
@@ -84,6 +85,16 @@ def subscriptions(spark: SparkSession, sf_dir: str, with_customer: bool = True)
     return _subscription_rows(spark, sf_dir, with_customer).select(*SUBSCRIPTION_COLUMNS)
 
 
+def earlier(subs: DataFrame) -> DataFrame:
+    """The table as it was before its last load: a seventh of the rows was not
+    there, a fifth had another price, a third another end, some were there that are gone."""
+    k = F.substring("subscription_id", 5, 20).cast("bigint")
+    old = subs.where(k % 7 != 3).withColumn("plan_amount", F.when(k % 5 == 1, F.col("plan_amount") + 100).otherwise(F.col("plan_amount")))
+    old = old.withColumn("ended_at", F.when(k % 3 == 2, F.col("created_at") + F.make_dt_interval(days=F.lit(200))).otherwise(F.col("ended_at")))
+    gone = subs.where(k % 11 == 4).withColumns({"subscription_id": F.concat("subscription_id", F.lit("_gone")), "created_at": F.col("created_at") - F.make_dt_interval(days=F.lit(900))})
+    return old.unionByName(gone)
+
+
 def _subscription_rows(spark: SparkSession, sf_dir: str, with_customer: bool = True) -> DataFrame:
     """``subscriptions`` plus the order key ``k`` and ``o_custkey``."""
     o = spread(_read(spark, sf_dir, "orders"), "o_orderkey")
