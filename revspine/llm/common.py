@@ -80,16 +80,17 @@ def bounded_sample(df: DataFrame, text_col: str, bound: int, salt: int, classes:
     row each: columns ``classes``, the text and ``_h``.
 
     Only texts count, so the sample holds for NULL and repeated ids and for any
-    number of copies.  Hashes are put in order as narrow rows (copies and most
-    others go before the shuffle); what is kept is ``bound`` rows a class."""
+    number of copies.  An estimate of a class's different texts (a sketch,
+    combined in the tasks) tells below which hash there are somewhat over twice
+    as many as needed; only those rows are shuffled and ranked."""
     hashed = df.select(*classes, text_col, F.xxhash64(F.lit(salt), F.col(text_col)).alias("_h"))
-    distinct = hashed.select(*classes, "_h").distinct()
-    if classes:
-        first = F.row_number().over(Window.partitionBy(*classes).orderBy("_h"))
-        least = distinct.withColumn("_rank", first).where(F.col("_rank") <= bound).drop("_rank")
-    else:
-        least = distinct.orderBy("_h").limit(bound)
-    return hashed.join(F.broadcast(least), [*classes, "_h"]).groupBy(*classes, "_h").agg(F.min(text_col).alias(text_col))
+    sizes = hashed.groupBy(*classes).agg(F.approx_count_distinct("_h").alias("_n"))  # a row per class
+    some = 2 * bound + 50
+    most = F.when(F.col("_n") <= 2 * some, F.lit(2**63 - 1)).otherwise((F.lit(2.0**64 * some) / F.col("_n") - F.lit(2.0**63)).cast("bigint"))
+    near = hashed.join(F.broadcast(sizes), list(classes)) if classes else hashed.crossJoin(F.broadcast(sizes))
+    few = near.where(F.col("_h") <= most).groupBy(*classes, "_h").agg(F.min(text_col).alias(text_col))
+    first = F.row_number().over(Window.partitionBy(*classes, F.lit(0)).orderBy("_h"))
+    return few.withColumn("_rank", first).where(F.col("_rank") <= bound).drop("_rank")
 
 
 def column_bytes(column) -> list[bytes]:

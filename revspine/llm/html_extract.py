@@ -60,7 +60,7 @@ LEAST_LEAVE = 0.005  # a plain child may leave the content at least so often
 CLIP = 6.0  # of a node's own evidence
 CLIP_FEATURE = {"tag": 1.0, "size": 1.0, "link": 3.0}  # of what one feature says; a sample of few layouts says too much
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>""", re.DOTALL)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>|</[^>]*>""", re.DOTALL)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in RAW}
 _NEXT = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.IGNORECASE) for t in CONTROL}
 _ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)

@@ -48,6 +48,8 @@ LEXICON_WORDS = 65_536
 LONGEST = 64  # bytes of a word of the lexicon
 COUNTED_WORDS = 200_000  # distinct words a task counts before it hands them on
 REMEMBERED_WORDS = 200_000  # of a task's batches; changes speed only
+SHORT_WORD = 48  # symbols
+NO_MERGE = 1 << 62
 _WORK_CHARS = 1 << 20
 _SYMBOL_BYTES = {v: k for k, v in _BYTE_SYMBOLS.items()}
 #: Fixed value: the file's pattern, its classes written out for the texts that get here.
@@ -72,9 +74,11 @@ class Coder:
         self.tokens = {i: t.encode() for t, i in self.ids.items()} | {a["id"]: a["content"].encode() for a in spec["added_tokens"]}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.suffix = model["end_of_word_suffix"] or ""
-        self.merges = {}
-        for rank, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
-            self.merges[self.ids[a], self.ids[b]] = rank, self.ids[a + b]
+        pairs = [(self.ids[a], self.ids[b], self.ids[a + b]) for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])]
+        self.rank = {(a, b): rank for rank, (a, b, _) in enumerate(pairs)}
+        self.joined = [both for _, _, both in pairs]  # by rank
+        self.inner = [self.ids[chr(_BYTE_SYMBOLS[x])] for x in range(256)]  # of a byte, and of a word's last byte
+        self.last = [self.ids[chr(_BYTE_SYMBOLS[x]) + self.suffix] for x in range(256)]
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
 
     def words(self, text: str) -> list[str]:
@@ -93,26 +97,43 @@ class Coder:
         """The ids of a word: the pair of least rank is merged first, of equal ones the leftmost."""
         if word in self.special:
             return [self.special[word]]
-        symbols = list(word.encode().decode("latin-1").translate(_BYTE_SYMBOLS))
-        symbols[-1] += self.suffix
-        ids = [self.ids[s] for s in symbols]
-        n = len(ids)
+        data = word.encode()
+        ids = [self.inner[x] for x in data[:-1]] + [self.last[data[-1]]]
+        return self._merge_short(ids) if len(ids) <= SHORT_WORD else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """Pair by pair, over a list of all pairs' ranks."""
+        rank, joined = self.rank.get, self.joined
+        ranks = [rank(p, NO_MERGE) for p in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < NO_MERGE:
+            k = ranks.index(best)  # the leftmost of equal ones
+            ids[k : k + 2] = [joined[best]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank((ids[k - 1], ids[k]), NO_MERGE)
+            if k < len(ranks):
+                ranks[k] = rank((ids[k], ids[k + 1]), NO_MERGE)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same over a heap of pairs, for words of any length."""
+        rank, n = self.rank.get, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(found[0], k, ids[k], ids[k + 1], found[1]) for k in range(n - 1) if (found := self.merges.get((ids[k], ids[k + 1])))]
+        heap = [(r, k) for k, p in enumerate(zip(ids, ids[1:])) if (r := rank(p)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, k, a, b, both = heapq.heappop(heap)
+            best, k = heapq.heappop(heap)
             right = after[k]
-            if ids[k] != a or right >= n or ids[right] != b:
+            if ids[k] < 0 or right >= n or rank((ids[k], ids[right])) != best:
                 continue  # one of the two is gone or has grown
-            ids[k], ids[right] = both, -1
+            ids[k], ids[right] = self.joined[best], -1
             after[k] = after[right]
             if after[k] < n:
                 before[after[k]] = k
-                if found := self.merges.get((both, ids[after[k]])):
-                    heapq.heappush(heap, (found[0], k, both, ids[after[k]], found[1]))
-            if (left := before[k]) >= 0 and (found := self.merges.get((ids[left], both))):
-                heapq.heappush(heap, (found[0], left, ids[left], both, found[1]))
+                if (r := rank((ids[k], ids[after[k]]))) is not None:
+                    heapq.heappush(heap, (r, k))
+            if (left := before[k]) >= 0 and (r := rank((ids[left], ids[k]))) is not None:
+                heapq.heappush(heap, (r, left))
         return [i for i in ids if i >= 0]
 
     def decode(self, ids) -> bytes:
@@ -281,9 +302,8 @@ def build_lexicon(df: DataFrame, tokenizer_path: str, text_col: str = "text", si
     top = word_counts(df, tokenizer_path, text_col).orderBy(F.col("n").desc(), "word").limit(size).select("word").toArrow()  # `size` words of LONGEST bytes at most
     own = coder(tokenizer_path)
     automaton = compile_lexicon([(w, tuple(own.merge(w.decode()))) for w in sorted(w.encode() for w in top.column(0).to_pylist())])
-    ensure_checkpoint_dir(spark)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    place = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}"
+    place = f"{ensure_checkpoint_dir(spark)}/{name}"
     path = spark._jvm.org.apache.hadoop.fs.Path(place)
     out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path)
     out.write(automaton)

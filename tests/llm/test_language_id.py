@@ -5,7 +5,7 @@ import pytest
 from helpers import SHAPE, documents, odd_rows
 
 from revspine.llm import language_id, queries
-from revspine.llm.common import table
+from revspine.llm.common import bounded_sample, table
 from revspine.llm.language_id import ORDERS, Spectrum, classify, fit, identify, predict, train
 
 SAMPLE = [(" ".join(p for _ in range(5)), lang) for lang, ps in {"en": ["the cat and the dog", "this is that thing", "of what they were"], "de": ["der hund und die katze", "das ist nicht gut", "ich habe ein haus"], "fr": ["le chat et la souris", "ce n'est pas bon", "nous avons une maison"]}.items() for p in ps]
@@ -133,3 +133,15 @@ def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.op5_language_id(spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(got) > 2000 and sum(r.lang == r.lang_pred for r in got) / len(got) >= 0.99
+
+
+@pytest.mark.parametrize("bound", [1, 7, 300])
+def test_bounded_sample_is_that_of_the_smallest_hashes(spark, bound):
+    """Copies, many classes and few texts: exactly the bound, or all there are."""
+    rows = [(f"c{k % 3}", f"text {k % 2500}") for k in range(9000)] + [("c0", "copy")] * 4000 + [("few", "one"), ("few", "two"), ("few", "one")]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(6)
+    hashes = {r.text: r.h for r in df.selectExpr("text", "xxhash64(5, text) AS h").distinct().collect()}
+    want = sorted((c, *x) for c in ("c0", "c1", "c2", "few") for x in sorted({(hashes[t], t) for k, t in rows if k == c})[:bound])
+    assert sorted((r.lang, r._h, r.text) for r in bounded_sample(df, "text", bound, 5, ("lang",)).collect()) == want
+    every = sorted({(hashes[t], t) for _, t in rows})[:bound]
+    assert sorted((r._h, r.text) for r in bounded_sample(df, "text", bound, 5).collect()) == every
