@@ -6,8 +6,7 @@ each size.  The index stores every window under its blocks, O(log months) rows
 instead of one per month, in files parted by block; a month reads the files of
 its own blocks, and each window found there is active in it, once.
 
-The number of blocks is that of the calendar's months, not of the data; a block
-that many windows share is many files, written by many tasks.
+The number of blocks is that of the calendar's months, not of the data.
 """
 
 from __future__ import annotations
@@ -41,8 +40,9 @@ def index_windows(windows: DataFrame, bounds: DataFrame, columns=PAIR_COLUMNS) -
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """Store the index in files parted by level and block; a task's rows are sorted by block first."""
-    index.write.partitionBy("level", "block").parquet(path)
+    """Store the index in files parted by level and block: a small block is one
+    file, and Spark deals a block with many windows out to several tasks."""
+    index.hint("rebalance", "level", "block").write.partitionBy("level", "block").parquet(path)
 
 
 def read_index(spark: SparkSession, path: str, columns) -> DataFrame:
