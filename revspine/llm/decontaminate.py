@@ -22,21 +22,23 @@ Defined results: NULL or empty texts match nothing; items with fewer than five
 words have no shingle and match nothing; equal items all match; every text of
 an item_id that has several is searched for, NULL ids included, and a document
 gets one row per item_id, with the best span of any of them; repeated rows get
-equal results; an empty benchmark leaves all documents.
+equal results; an empty benchmark leaves all documents, and an empty table gives
+no rows; very long texts are searched whole; other columns, of any name, are kept or ignored.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, pieces, text_bytes
+from .common import chunks, hot_join, pieces, stored, text_bytes
 from .hashing import xxh64_slices
 
 WIDTH = 5
@@ -243,8 +245,7 @@ class Items:
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[int | None, bytes]]]:
     """The items as (id, text) in blocks of bounded number and size.  A benchmark is a stated
-    query set; the driver reads it once and holds one block at a time.  Texts of one id
-    lie in one block, unless they alone exceed it."""
+    query set; the driver reads it once and holds one block at a time."""
     now, size = [], 0
     rows = benchmark.select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text")).orderBy(F.col("id").asc_nulls_last(), "text")
     for r in rows.toLocalIterator():
@@ -252,62 +253,72 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
         if now and now[-1] == item:  # a repeated row
             continue
         if now and (len(now) >= BLOCK_ITEMS or size + len(item[1]) > BLOCK_BYTES):
-            rest = next((k for k in range(len(now), 0, -1) if now[k - 1][0] != item[0]), len(now))  # one id's texts stay together
-            yield now[:rest]
-            now = now[rest:]
-            size = sum(len(t) for _, t in now)
-            if now and (len(now) >= BLOCK_ITEMS or size + len(item[1]) > BLOCK_BYTES):
-                yield now
-                now, size = [], 0
+            yield now
+            now, size = [], 0
         now.append(item)
         size += len(item[1])
     if now:
         yield now
 
 
-_HIT = "struct<item:bigint,similarity:double,start:bigint,n:bigint>"
+_SHAPE = "doc_id bigint, item_id bigint, similarity double, start_word bigint, n_words bigint"
+_TEXT_SHAPE = _SHAPE.replace("doc_id bigint", "h1 bigint, h2 bigint")
+
+
+def _text_key(text) -> list:
+    """128 bits that name a text: what is found in it depends on nothing else."""
+    return [F.xxhash64(F.lit(seed), text).alias(name) for seed, name in ((6, "h1"), (60, "h2"))]
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """One row per document and item found in it: ``doc_id, item_id,
     similarity, start_word, n_words``."""
-    shape = "doc_id bigint, item_id bigint, similarity double, start_word bigint, n_words bigint"
     rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
-    parts = []
-    for blocks in _shared(documents, benchmark):
-        part = rows
-        for k, shared in enumerate(blocks[:-1]):  # of one id: what they find goes along with the document
-            part = part.mapInArrow(_gather(shared, radius, similarity, k > 0), f"doc_id bigint, hits array<{_HIT}>, text binary")
-        parts.append(part.mapInArrow(_find(blocks[-1], radius, similarity, len(blocks) > 1), shape))
-    if not parts:
+    one, several = _single_block(documents, benchmark)
+    if one is not None:
+        return rows.mapInArrow(_find(one, radius, similarity, 1), _SHAPE)
+    if several is None:
         return rows.limit(0).selectExpr("doc_id", "0L item_id", "0D similarity", "0L start_word", "0L n_words")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _shared(documents: DataFrame, benchmark: DataFrame) -> list[list]:
-    """Broadcasts of the blocks, each below BLOCK_BYTES; those that share an id are in one list."""
-    sc = documents.sparkSession.sparkContext
-    out, last = [], []
-    for block in item_blocks(benchmark):
-        if last == [block[0][0]]:
-            out[-1].append(sc.broadcast(block))
-        else:
-            out.append([sc.broadcast(block)])
-        last = [block[-1][0]]
+    best = F.row_number().over(Window.partitionBy("h1", "h2", "item_id").orderBy(F.desc("similarity"), "start_word", "n_words"))
+    found = _by_block(rows, several, radius, similarity).withColumn("_rank", best).where("_rank = 1").drop("_rank")
+    return hot_join(rows.select("doc_id", *_text_key(F.col("text"))), found, ["h1", "h2"]).select("doc_id", "item_id", "similarity", "start_word", "n_words")
+
+
+def _single_block(documents: DataFrame, benchmark: DataFrame):
+    """The broadcast of the only block, or all blocks one after the other; (None, None) without items."""
+    blocks = item_blocks(benchmark)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return None, None
+    if second is None:
+        return documents.sparkSession.sparkContext.broadcast(first), None  # BLOCK_ITEMS items of BLOCK_BYTES at most
+    return None, chain([first, second], blocks)
+
+
+def _by_block(rows: DataFrame, blocks, radius: int, similarity: float) -> DataFrame:
+    """What the texts of ``rows`` hold of a benchmark of many blocks: one job per
+    block, whose hits are written before the next block is read, so that driver,
+    executors and workers hold the items and tables of one block at a time."""
+    spark, found = rows.sparkSession, []
+    keyed = rows.select(*_text_key(F.col("text")), "text")
+    for block in blocks:
+        shared = spark.sparkContext.broadcast(block)
+        found.append(stored(keyed.mapInArrow(_find(shared, radius, similarity, 2), _TEXT_SHAPE).distinct()))
+        shared.unpersist()
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
     return out
 
 
-def _hits(shared, radius: int, similarity: float, batches, columns: int):
-    """(batch, for each row its hits by item id)."""
+def _hits(shared, radius: int, similarity: float, columns: int, batches):
+    """(batch, for each row its hits by item id); the text is behind ``columns`` others."""
     items = ids = None
-    for b in pieces(batches, columns - 1):
+    for b in pieces(batches, columns):
         if items is None:
             ids = [i for i, _ in shared.value]
             items = Items({k: t for k, (_, t) in enumerate(shared.value)}, radius)
-        texts = b.column(b.num_columns - 1).to_pylist()
+        texts = b.column(columns).to_pylist()
         yield b, [_best_of((ids[k], *hit) for k, hit in f.items()) for lo, hi in chunks(texts, len, _WORK_BYTES) for f in items.search(texts[lo:hi], similarity)]
 
 
@@ -320,37 +331,24 @@ def _best_of(hits) -> dict:
     return out
 
 
-def _with_earlier(b, found: list[dict], earlier: bool) -> list[list[tuple]]:
-    """All hits of each row, in order of the items (NULL last)."""
-    before = b.column(1).to_pylist() if earlier else [[]] * len(found)
-    all_ = (_best_of([*(tuple(h.values()) for h in old), *((i, *hit) for i, hit in new.items())]) for old, new in zip(before, found, strict=True))
-    return [[(i, *hits[i]) for i in sorted(hits, key=lambda i: (i is None, i or 0))] for hits in all_]
-
-
-def _gather(shared, radius: int, similarity: float, earlier: bool):
-    def run(batches):
-        for b, found in _hits(shared, radius, similarity, batches, 2 + earlier):
-            hits = [[dict(zip(("item", "similarity", "start", "n"), h, strict=True)) for h in row] for row in _with_earlier(b, found, earlier)]
-            kind = pa.list_(pa.struct([("item", pa.int64()), ("similarity", pa.float64()), ("start", pa.int64()), ("n", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hits, kind), b.column(b.num_columns - 1)], ["doc_id", "hits", "text"])
-
-    return run
-
+def _find(shared, radius: int, similarity: float, columns: int):
+    """mapInArrow function: the first ``columns`` columns of a row with each item found, in order of the items (NULL last)."""
 
-def _find(shared, radius: int, similarity: float, earlier: bool):
     def run(batches):
-        for b, found in _hits(shared, radius, similarity, batches, 2 + earlier):
-            out = [(doc, *hit) for doc, hits in zip(b.column(0).to_pylist(), _with_earlier(b, found, earlier), strict=True) for hit in hits]
-            if out:
-                types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
+        for b, found in _hits(shared, radius, similarity, columns, batches):
+            which = [(k, (i, *hits[i])) for k, hits in enumerate(found) for i in sorted(hits, key=lambda i: (i is None, i or 0))]
+            if which:
+                types = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
+                own = [c.take(pa.array([k for k, _ in which])) for c in b.columns[:columns]]
+                hits = [pa.array(c, t) for c, t in zip(zip(*(h for _, h in which), strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*own, *hits], [*b.schema.names[:columns], "item_id", "similarity", "start_word", "n_words"])
 
     return run
 
 
 def _drop(shared, radius: int, similarity: float, columns: int):
     def run(batches):
-        for b, found in _hits(shared, radius, similarity, batches, columns):
+        for b, found in _hits(shared, radius, similarity, columns, batches):
             yield b.filter(pa.array([not f for f in found], pa.bool_()))
 
     return run
@@ -360,6 +358,11 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text_col: str = "t
     """The documents (all columns) in which no item is found."""
     names = documents.columns
     rows = documents.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], text_bytes(F.col(f"`{text_col}`")).alias("_text"))
-    for shared in (s for blocks in _shared(documents, benchmark) for s in blocks):
-        rows = rows.mapInArrow(_drop(shared, radius, similarity, len(names) + 1), T.StructType(rows.schema.fields))
+    one, several = _single_block(documents, benchmark)
+    if one is not None:
+        rows = rows.mapInArrow(_drop(one, radius, similarity, len(names)), T.StructType(rows.schema.fields))
+    elif several is not None:
+        found = _by_block(rows.select(F.col("_text").alias("text")), several, radius, similarity).select("h1", "h2").distinct()
+        keyed = rows.withColumns(dict(zip(("h1", "h2"), _text_key(F.col("_text")), strict=True)))
+        rows = hot_join(keyed, found, ["h1", "h2"], "left_anti")
     return rows.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])

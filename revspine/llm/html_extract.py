@@ -16,7 +16,10 @@ whose element is more likely content than not are joined in page order.
 Defined results: NULL or empty html gives the empty text; text outside any
 element hangs on the root; an unclosed tag at the end of a cut page is markup;
 a button or select without its end tag is no element; a raw element (script and
-the like) without one reaches to the end; an empty table gives no rows; without labelled pages the prior counts decide.
+the like) without one reaches to the end; a quote in a tag opens a value only
+behind an equals sign; an element at exactly 0.5 is not content; repeated rows
+get equal texts; columns named ``text`` or ``n_chars`` are replaced, others are
+kept; an empty table gives no rows; without labelled pages the prior counts decide.
 """
 
 from __future__ import annotations

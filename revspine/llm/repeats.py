@@ -31,7 +31,7 @@ apart by two 64-bit hashes, windows of step 3 by their bytes.
 Defined results: NULL text counts as empty; texts shorter than ``LENGTH`` keep
 all bytes; rows that repeat id and text are documents like others, so their
 long texts are repeats of each other; rows with a NULL id are kept apart by
-128 hash bits of their texts, rows that repeat an id by 64.
+128 hash bits of their texts, rows that repeat an id by 64; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ harmless); the stem's weight is for words not seen before.
 
 Defined results: NULL and empty texts have no match and get the score of a text
 without matches; NULL labels are not learned from; without toxic labels every
-score is 0; repeated rows get equal results.
+score is next to 0 (the logistic function at -30); repeated rows get equal
+results; a score of exactly 0.5 counts as toxic; very long texts are scored
+whole; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ import pytest
 
 from revspine.llm import queries
 from revspine.llm.common import table
-from revspine.llm.html_extract import edge_groups, extract, extract_pages, features, fit, labels, main_text, marginals, parse, train
+from revspine.llm.html_extract import _TOKEN, edge_groups, extract, extract_pages, features, fit, labels, main_text, marginals, parse, train
 
 PAGES = "page_id long, url string, html string"
 
@@ -104,3 +104,9 @@ def test_tables(spark, model):
 def test_prior_counts_alone_decide():
     m = train(Counter())
     assert extract("<nav>menu</nav><article><p>text of it</p></article>", m) == "text of it"
+
+
+def test_quotes_open_values_only_behind_an_equals_sign():
+    page = """<html><body><article><p>one <a title=it's href=x>two</a> three.</p><p>It's four.</p><p><a href="x"">five</a> <b data-a='1>2'>six</b> <i a="x>y" b=c>seven</i></p></article></body></html>"""
+    assert extract(page, train(Counter())) == "one two three.\nIt's four.\nfive six seven"
+    assert len(list(_TOKEN.finditer("<a " + "x=\"" * 3000))) == 0  # an unclosed tag takes no exponential time
