@@ -369,6 +369,17 @@ UNION ALL
 SELECT 'invoices', (SELECT count(*) FROM fetched), (SELECT count(DISTINCT invoice_id) FROM fetched), (SELECT count(*) FROM rejects WHERE load = 'invoices')"""
 
 
+def full_refresh_load_sql() -> str:
+    """What a first load leaves in its tables, from the statements of their rows."""
+    def of(name, rows, key, amount, version=1):
+        return f"SELECT '{name}' AS table_name, {version}::BIGINT AS version, count(*) AS row_count, count(DISTINCT {key}) AS id_count, sum({amount})::BIGINT AS total FROM ({rows}) HAVING count(*) > 0"
+
+    return "\nUNION ALL\n".join([
+        of("subscriptions", extract_subscriptions_sql(), "subscription_id", "plan_amount"), of("invoices", dedup_invoices_sql(), "invoice_id", "amount_due"),
+        of("load_rejects", extract_errors_sql(), "record", "position"), of("load_violations", field_violations_sql(), "record_id", "NULL::BIGINT"),
+        of("load_summary", load_summary_sql(), "table_name", "rows_loaded"), of("export", dedup_invoices_sql(), "invoice_id", "amount_due", 0)])
+
+
 def manifest_entries_sql() -> str:
     """Places within documents of DOCUMENT_KEYS order keys, documents in steps of 2^32."""
     amounts = " ".join(f"WHEN {i} THEN {a}" for i, a in enumerate(PLAN_AMOUNTS))
