@@ -116,15 +116,19 @@ def _extract(spark, sf_dir):
 
 
 def _staged_extract(spark, sf_dir, counts_invoices: bool):
-    """The same over sources that are parsed and staged once: subscriptions and
-    customers are read for their rows, their ids and their broken lines."""
+    """The same for what is counted and rejected: every source is parsed once and
+    staged with the columns that are read again, its ids and its broken lines."""
     folder = scratch(spark)
-    subs, customers = (stage_source(raw, f"{folder}/{name}").rows for name, raw in
-                       (("subscriptions", _raw_subs(spark, sf_dir)), ("customers", _raw_customers(spark, sf_dir))))
-    invoices = _raw_invoices(spark, sf_dir)
-    if counts_invoices:  # read for their customers and for broken lines; only these columns are staged
-        kept = stage_source(invoices.select("id", "customer", CORRUPT), f"{folder}/invoices").rows
-        invoices = kept.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_INVOICE if f.name not in ("id", "customer")])
+
+    def staged(name, raw, schema, *columns):
+        kept = stage_source(raw.select(*columns, CORRUPT), f"{folder}/{name}").rows
+        return kept.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in columns])
+
+    subs = staged("subscriptions", _raw_subs(spark, sf_dir), RAW_SUBSCRIPTION, "id")
+    customers = staged("customers", _raw_customers(spark, sf_dir), RAW_CUSTOMER, "id")
+    invoices = _raw_invoices(spark, sf_dir)  # without counts, read once, for its broken lines
+    if counts_invoices:
+        invoices = staged("invoices", invoices, RAW_INVOICE, "id", "customer")
     return extract(fx.manifest(spark, sf_dir), subs, customers, invoices, fx.EXTRACTED_AT, with_violations=False)
 
 
