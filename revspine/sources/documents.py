@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.variant import read_fields
+from ..functions.variant import read_fields, unreadable_fields
 from ..schemas import CORRUPT, MANIFEST_ENTRY, UNREADABLE
 from ..session import ensure_utc
 from .files import scratch
@@ -274,7 +274,7 @@ def read_split_manifest(spark: SparkSession, path, one: bool = False) -> DataFra
     ensure_utc(spark)
     rows = split_documents(spark, path, one=one)
     once = rows.select("document", "place", "text", "damaged", F.inline(F.array(F.struct(F.try_parse_json("text").alias("_e")))))
-    columns, unreadable = read_fields(F.col("_e"), MANIFEST_ENTRY)
+    columns, unreadable = read_fields(F.col("_e"), MANIFEST_ENTRY), unreadable_fields(F.col("_e"), MANIFEST_ENTRY)
     is_object = F.coalesce(F.schema_of_variant("_e").startswith("OBJECT"), F.lit(False))
     broken = F.when(F.col("damaged").isNotNull(), F.col("damaged")).when(~is_object, F.coalesce(F.col("_e").cast("string"), F.col("text")))
-    return once.select((F.col("document") * (1 << 32) + F.col("place")).alias("position"), *columns, broken.alias(CORRUPT), F.array_compact(F.array(*unreadable)).alias(UNREADABLE))
+    return once.select((F.col("document") * (1 << 32) + F.col("place")).alias("position"), *columns, broken.alias(CORRUPT), unreadable.alias(UNREADABLE))

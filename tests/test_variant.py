@@ -67,6 +67,17 @@ def test_one_parse_of_every_record(spark):
     assert out.getvalue().count("parseJson") == 1 and "hosted_invoice_url" not in out.getvalue()
 
 
+def test_the_list_of_unreadable_fields_is_made_once(spark):
+    """No filter on its size, for which it would be made again."""
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        field_violations(parse(spark, RAW_INVOICE, {"id": "i", "created": "soon"}), "invoices").explain()
+    assert "size(" not in out.getvalue()
+
+
 def test_damaged_manifests_are_reported(spark, tmp_path):
     docs = [(0, json.dumps({"customers": [{"customer_id": "c", "subscription_id": "s", "amount": "5.0"}, 3, None, {"customer_id": ["x"], "amount": "much"}]})),
             (1, '{"customers":[{"customer_id":"lost"'), (2, '{"customers":[]}'), (3, "{}"), (4, '{"customers":{}}')]
