@@ -53,8 +53,9 @@ def window_ranges(windows: DataFrame) -> DataFrame:
 
 
 def monthly_deltas(ranges: DataFrame, sub_key: str = "subscription_id", cust_key: str = "customer_id",
-                   value: str = "monthly_amount_cents") -> DataFrame:
-    """All events summed per month index ``idx`` (one row per month touched)."""
+                   value: str = "monthly_amount_cents", kinds: tuple[int, ...] = (VALUE, SUB, CUST)) -> DataFrame:
+    """All events summed per month index ``idx`` (one row per month touched); of
+    ``kinds`` that are left out no row is made, and their columns are 0."""
     v = F.col(value)
     valued = v.isNotNull().cast("int")
     no_key, no_last, zero = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(0)
@@ -63,12 +64,11 @@ def monthly_deltas(ranges: DataFrame, sub_key: str = "subscription_id", cust_key
         return F.struct(F.lit(kind).alias("kind"), key.alias("key"), idx.alias("idx"), last.alias("last_idx"),
                         d_rows.alias("d_rows"), d_valued.alias("d_valued"), d_cents.alias("d_cents"))
 
-    tagged = ranges.select(F.inline(F.array(
-        row(VALUE, no_key, F.col("first_idx"), no_last, F.lit(1), valued, v),
-        row(VALUE, no_key, F.col("last_idx") + 1, no_last, F.lit(-1), -valued, -v),
-        row(SUB, F.col(sub_key), F.col("first_idx"), F.col("last_idx"), zero, zero, F.lit(None).cast("bigint")),
-        row(CUST, F.col(cust_key), F.col("first_idx"), F.col("last_idx"), zero, zero, F.lit(None).cast("bigint")),
-    ))).filter((F.col("kind") == VALUE) | F.col("key").isNotNull())  # COUNT(DISTINCT) skips NULL keys
+    rows = {VALUE: [row(VALUE, no_key, F.col("first_idx"), no_last, F.lit(1), valued, v),
+                    row(VALUE, no_key, F.col("last_idx") + 1, no_last, F.lit(-1), -valued, -v)],
+            SUB: [row(SUB, F.col(sub_key), F.col("first_idx"), F.col("last_idx"), zero, zero, F.lit(None).cast("bigint"))],
+            CUST: [row(CUST, F.col(cust_key), F.col("first_idx"), F.col("last_idx"), zero, zero, F.lit(None).cast("bigint"))]}
+    tagged = ranges.select(F.inline(F.array(*[r for k in kinds for r in rows[k]]))).filter((F.col("kind") == VALUE) | F.col("key").isNotNull())  # COUNT(DISTINCT) skips NULL keys
     combined = tagged.groupBy("kind", "key", "idx").agg(
         F.sum("d_rows").alias("d_rows"), F.sum("d_valued").alias("d_valued"),
         F.sum("d_cents").alias("d_cents"), F.max("last_idx").alias("last_idx"))

@@ -8,7 +8,8 @@ with the stored ones: rows that are only in one of them are signed changes.
 * Amounts change by the events of the signed rows themselves.
 * Distinct counts change for the keys that occur in them: of each such
   subscription and customer, the events of its old windows are taken back and
-  those of its new windows are added.
+  those of its new windows are added (only events of that kind of key are made).
+  A view without windows has no old ones, so its first refresh looks nothing up.
 
 The changes are appended to the stored windows as signed rows, so a refresh
 writes as much as has changed; every ``COMPACT`` refreshes the windows are written
@@ -24,7 +25,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.interval_agg import DELTA_COLUMNS, monthly_deltas, running_totals, window_ranges
+from ..operators.interval_agg import CUST, DELTA_COLUMNS, SUB, monthly_deltas, running_totals, window_ranges
 from ..operators.joins import hot_join
 from ..operators.spine import START, month_bounds, spine_indices
 from ..functions.dates import as_of_date, index_month, month_index
@@ -89,11 +90,13 @@ class MaintainedView:
             current = self._windows({"windows": windows})
 
             parts = [self._values(signed)]
-            for key, column in (("subscription_id", "d_subs"), ("customer_id", "d_custs")):
+            if not state["windows"]:  # every key is new, and its windows are the signed rows: nothing to look up
+                parts.append(monthly_deltas(signed.where("sign > 0"), kinds=(SUB, CUST)))
+            for key, column, kind in (("subscription_id", "d_subs", SUB), ("customer_id", "d_custs", CUST)) if state["windows"] else ():
                 touched = signed.select(key).where(F.col(key).isNotNull()).distinct()
                 for rows, sign in ((old, -1), (current, 1)):
                     own = hot_join(rows.drop("sign"), touched, [key], "left_semi")
-                    parts.append(_only(monthly_deltas(own), column, sign))
+                    parts.append(_only(monthly_deltas(own, kinds=(kind,)), column, sign))
             if state["monthly"] is not None:
                 parts.append(self._monthly(state))
             total = parts[0]

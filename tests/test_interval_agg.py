@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from revspine.operators.interval_agg import OPEN_END, monthly_deltas, running_totals
+from revspine.operators.interval_agg import CUST, DELTA_COLUMNS, OPEN_END, SUB, monthly_deltas, running_totals
 
 SPINE = list(range(100, 130))
 
@@ -44,3 +44,26 @@ def test_brute_force_sanity():
     rows = [(0, 0, 100, 102, 5), (0, 0, 101, 103, 7), (1, 0, 103, None, None)]
     b = brute(rows)
     assert b[101] == (1, 1, 12) and b[103] == (2, 1, 7) and b[110] == (1, 1, None)
+
+
+def test_one_kind_of_key_makes_its_events_alone(spark):
+    rows = [("s1", "c1", 100, 102, 5), ("s1", "c2", 101, 104, 7), ("s2", "c1", 103, 103, None), (None, "c2", 101, 101, 1)]
+    df = spark.createDataFrame(rows, "subscription_id string, customer_id string, first_idx int, last_idx int, monthly_amount_cents long")
+    whole = {r.idx: r for r in monthly_deltas(df).collect()}
+    for kind, column in ((SUB, "d_subs"), (CUST, "d_custs")):
+        own = {r.idx: r for r in monthly_deltas(df, kinds=(kind,)).collect()}
+        assert {i: r[column] for i, r in own.items() if r[column]} == {i: r[column] for i, r in whole.items() if r[column]}
+        assert not any(r[c] for r in own.values() for c in DELTA_COLUMNS if c != column)
+
+
+def test_a_first_refresh_looks_no_keys_up(spark, tmp_path, monkeypatch):
+    from conftest import make_subs
+    from revspine.plans import maintained_view
+    from revspine.plans.mrr import monthly_mrr
+
+    subs = make_subs(spark, [dict(subscription_id="s1", created_at="2023-01-10"), dict(subscription_id="s1", created_at="2023-01-10"), dict(subscription_id="s2", created_at="2023-03-10", ended_at="2023-05-01")])
+    view = maintained_view.MaintainedView(spark, str(tmp_path / "v"))
+    with monkeypatch.context() as m:
+        m.setattr(maintained_view, "hot_join", lambda *_: (_ for _ in ()).throw(AssertionError("joined")))
+        assert view.refresh(subs) == 1
+    assert [tuple(r) for r in view.read("2023-07-01").collect()] == [tuple(r) for r in monthly_mrr(subs, "view", "2023-07-01").collect()]
