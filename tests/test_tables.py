@@ -14,7 +14,7 @@ from revspine.plans.etl import etl_full_refresh
 from revspine.schemas import RAW_CUSTOMER, RAW_SUBSCRIPTION
 from revspine.sources import fixtures as fx
 from revspine.sources.raw import parse_json, read_manifest, read_raw_subscriptions
-from revspine.sources.tables import SchemaViolation, create_mrr_view, ensure_tables, full_refresh, stage
+from revspine.sources.tables import SchemaViolation, create_mrr_view, ensure_tables, export_json, full_refresh, stage
 from conftest import make_subs
 
 SMOKE = "/root/testdata/sf0.001"
@@ -196,3 +196,20 @@ def test_t20_empty_manifest_gives_empty_frames(spark):
     assert ex.subscriptions.count() == 0 and ex.invoices.count() == 0 and ex.rejects.count() == 0
     assert [tuple(r) for r in ex.summary().orderBy("table_name").collect()] == [
         ("invoices", 0, 0, 0), ("subscriptions", 0, 0, 0)]
+
+
+def test_landing_zone_and_exports_are_compressed(spark, tmp_path):
+    from revspine.plans.registry import land
+    from revspine.sources.raw import read_raw_customers
+
+    sources = tmp_path / "sf"
+    spark.createDataFrame([(1, 1, "O", "1-URGENT", dt.date(2000, 1, 1))], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate date").write.parquet(f"{sources}/orders.parquet")
+    spark.createDataFrame([(1, "Customer#1"), (2, "Customer#2")], "c_custkey long, c_name string").write.parquet(f"{sources}/customer.parquet")
+    spark.createDataFrame([(1, 1, 7, 12.5, "A", dt.date(2000, 2, 1))], "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double, l_returnflag string, l_shipdate date").write.parquet(f"{sources}/lineitem.parquet")
+    land(spark, str(sources), str(tmp_path / "landing"))
+    for name in ("subscriptions", "customers", "invoices", "manifest"):
+        files = [f for f in os.listdir(tmp_path / "landing" / name) if f.startswith("part-")]
+        assert files and all(f.endswith(".gz") for f in files)
+    assert sorted(r.id for r in read_raw_customers(spark, str(tmp_path / "landing" / "customers")).collect()) == ["cus_1", "cus_2"]
+    export_json(spark.range(5), str(tmp_path / "out"), "gzip")
+    assert spark.read.json(str(tmp_path / "out")).count() == 5 and all(f.endswith(".json.gz") for f in os.listdir(tmp_path / "out") if f.startswith("part-"))
