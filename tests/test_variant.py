@@ -67,6 +67,20 @@ def test_one_parse_of_every_record(spark):
     assert out.getvalue().count("parseJson") == 1 and "hosted_invoice_url" not in out.getvalue()
 
 
+def test_fields_of_an_object_are_read_by_compiled_code(spark):
+    """No lambda, which Spark interprets, and the text of a field is read once for all looks at it."""
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    raw = parse(spark, RAW_INVOICE, {"id": "i", "created": 5, "status_transitions": {"paid_at": "2024-01-01"}})
+    with contextlib.redirect_stdout(out):
+        flatten_invoices(raw, NOW).select("invoice_id", "created_at", "paid_at").explain()
+    p = out.getvalue()
+    assert "transform(" not in p and p.count(", StringType,") == 4  # three fields and the mark of the end
+    assert [(r.invoice_id, r.created_at, r.paid_at) for r in flatten_invoices(raw, NOW).collect()] == [("i", dt.datetime(1970, 1, 1, 0, 0, 5), dt.datetime(2024, 1, 1))]
+
+
 def test_the_list_of_unreadable_fields_is_made_once(spark):
     """No filter on its size, for which it would be made again."""
     import contextlib
