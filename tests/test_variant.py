@@ -4,10 +4,11 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from revspine.operators.extract import field_violations, flatten_invoices, flatten_subscription_records, malformed_records
 from revspine.schemas import CORRUPT, RAW_CUSTOMER, RAW_INVOICE, RAW_SUBSCRIPTION, UNREADABLE
-from revspine.sources.raw import manifest_entries, parse_json, read_manifest
+from revspine.sources.raw import _parsed, manifest_entries, parse_json, read_manifest, read_raw_customers
 
 NOW = "2024-01-01 00:00:00"
 
@@ -109,3 +110,38 @@ def test_epochs_and_iso_times(spark):
 
     df = spark.createDataFrame([("1700000000",), ("-1",), ("2024-01-01T02:00:00+02:00",), ("99999999999999999999",), ("253402300800",), ("x",), (None,)], "t string")
     assert [r[0] for r in df.select(ts_utc("t")).collect()] == [dt.datetime(2023, 11, 14, 22, 13, 20), dt.datetime(1969, 12, 31, 23, 59, 59), dt.datetime(2024, 1, 1), None, None, None, None]
+
+
+_ODD = ["1", "0", "-0", "-5", "12.0", "12.50", "1e3", "9" * 18, "9" * 19, "1" * 40, "true", "null", "NaN", '"x"', '"{a"', '"[a"', '"12.0"', '"soon"', '""', '"a\\"b"', '"\\u0041"', "{}", "[]", '{"a":1}', "[1,null]",
+        "[{}]", '[{"quantity":null,"price":null},{"quantity":2}]', '[{"price":{"id":"p","unit_amount":"5"}}]', '[{"price":{"id":"p","unit_amount":5,"recurring":{"interval":{"x":1}}}}]', "[null]", '"2024-01-01T00:00:00+00:00"',
+        "1700000000", "99999999999999999", '{"data":[{"quantity":3,"price":{"id":"p","unit_amount":7}}]}', '{"data":null}', '{"data":[]}', '{"paid_at":5}', "'q'", "01", "tru"]
+
+
+@pytest.mark.parametrize("schema", [RAW_INVOICE, RAW_SUBSCRIPTION, RAW_CUSTOMER])
+def test_reading_every_field_gives_the_same(spark, schema):
+    """One pass over plain texts gives what reading field by field gives, whatever a text holds."""
+    texts = [f'{{"id":"i","{f.name}":{v}}}' for f in schema for v in _ODD] + [f'{{"id":"i","items":{{"data":{v}}}}}' for v in _ODD]
+    texts += ['{"id":"x"} y', '{"id":"x"}{}', '{"id":"x"}}', '{"id":"x"},"e":1}', ' {"id":"k"}\t', '{"id":"a","id":"b"}', '{"id":"x","more":1.50}', '{"id":"x","more":[[[{"a":"}"}]]]}', "{}", "[]", "3", '{"i\\u0064":"x"}', '{"ID":"x"}']
+    lines = spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1)
+    found = [[repr(r) for r in parse_json(lines, schema, every_field=every).collect()] for every in (False, True)]
+    assert len(found[0]) == len(texts) and found[0] == found[1]
+
+
+def test_a_plain_record_needs_no_variant(spark):
+    plain = ['{"id":"s","created":1700000000,"status":"a \\"b\\"","items":{"data":[{"quantity":2,"price":{"id":"p","recurring":null}}]}}', ' {"id":null,"ended_at":"2024-01-01T00:00:00+00:00","more":{"a":[true,-7]}}', "{}"]
+    other = ['{"id":1.5}', '{"created":"soon"}', '{"items":{"data":[{"quantity":"many"}]}}', '{"id":"x"}}', '{"id":{}}']
+    lines = spark.createDataFrame([(t,) for t in plain + other], "value string").coalesce(1)
+    rows = _parsed(lines, F.col("value"), RAW_SUBSCRIPTION).selectExpr("_plain IS NOT NULL AS plain", "_v IS NOT NULL AS parsed").collect()
+    assert [(r.plain, r.parsed) for r in rows] == [(True, False)] * 3 + [(False, True)] * 3 + [(False, False), (False, True)]
+
+
+def test_landed_records_are_read_in_one_pass(spark, tmp_path):
+    import contextlib
+    import io
+
+    (tmp_path / "a.json").write_text('{"id":"c","name":"n"}\n{"id":\n')
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        read_raw_customers(spark, str(tmp_path)).explain()
+    assert "from_json" in out.getvalue()
+    assert sorted((str(r.id), str(r[CORRUPT])) for r in read_raw_customers(spark, str(tmp_path)).collect()) == [("None", '{"id":'), ("c", "None")]
